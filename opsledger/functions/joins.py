@@ -47,9 +47,13 @@ def lookup_join(
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
     salts: int = SALTS,
+    is_small: bool | None = None,
 ) -> DataFrame:
     """Join ``big`` to a dimension: broadcast if measured small, salted otherwise.
 
+    The measurement runs a job over ``small``; a caller that joins the same
+    dimension many times passes its earlier result as ``is_small``.
+
     The salted form replicates the dimension ``salts`` times and spreads each
     key of ``big`` over as many tasks. ``how`` must keep the left side whole
     (inner, left, left_semi, left_anti), so that replicas on the right can
@@ -57,7 +61,9 @@ def lookup_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join cannot salt a {how} join")
-    if fits_broadcast(small, max_rows, max_bytes):
+    if is_small is None:
+        is_small = fits_broadcast(small, max_rows, max_bytes)
+    if is_small:
         return big.join(F.broadcast(small), on, how)
     salted = big.withColumn(_SALT, row_salt(big, salts))
     copies = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsledger.functions.timegrid import floor_to, seconds
+from opsledger.functions.workspace import stored
 
 INACTIVE = "inactive"
 PENDING = "pending"
@@ -94,8 +95,10 @@ def alert_states(
 
     ``hold_s`` is a number of seconds or the name of a column that holds it. An
     alert is pending until its condition has held that long, then firing; the
-    first miss makes it inactive.
+    first miss makes it inactive. The evaluations are stored first, because finding
+    the runs reads them twice and they are far smaller than what they come from.
     """
+    evaluations = stored(evaluations, "evaluations")
     hold = F.col(hold_s) if isinstance(hold_s, str) else F.lit(hold_s)
     held = F.col(eval_ts) - F.col("active_since") >= F.make_dt_interval(secs=hold)
     state = (

@@ -13,20 +13,24 @@ def subscribe(events: DataFrame, pattern: str = "#", key: str = "event_type") ->
     return events.where(F.col(key).rlike(topic_regex(pattern)))
 
 
-def with_channels(events: DataFrame, rules: DataFrame, default: Column) -> DataFrame:
+def with_channels(
+    events: DataFrame, rules: DataFrame, default: Column, is_small: bool | None = None
+) -> DataFrame:
     """Add ``channels``: the rule's list, or the default when there is no rule."""
-    joined = lookup_join(events, rules, ["event_type"], "left")
+    joined = lookup_join(events, rules, ["event_type"], "left", is_small=is_small)
     return joined.withColumn("channels", F.coalesce("channels", default))
 
 
-def route_events(events: DataFrame, rules: DataFrame, default: Column) -> DataFrame:
+def route_events(
+    events: DataFrame, rules: DataFrame, default: Column, is_small: bool | None = None
+) -> DataFrame:
     """One row per (event, channel), ``pos`` keeping the order of the channels.
 
     The list is exploded after the join: an empty list gives no rows, a missing
     rule gives the default list.
     """
     return (
-        with_channels(events, rules, default)
+        with_channels(events, rules, default, is_small)
         .select("*", F.posexplode("channels").alias("pos", "__c"))
         .withColumn("channel", F.coalesce("__c.type", F.lit(DEFAULT_CHANNEL)))
         .withColumn("template", F.coalesce("__c.template", F.lit(DEFAULT_TEMPLATE)))

@@ -4,14 +4,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsledger.functions.joins import MAX_BROADCAST_ROWS, lookup_join
+from opsledger.functions.text import matches_whole
 from opsledger.functions.timegrid import (
+    BUCKET,
     WINDOW_KEYS,
     check_grid,
+    expand_buckets,
     floor_to,
     seconds,
     sliding_sums,
 )
-from opsledger.functions.text import matches_whole
+from opsledger.functions.workspace import stored
 from opsledger.operators.quantiles import exact_quantile
 from opsledger.sources.logs import parse_log_json
 
@@ -54,7 +57,11 @@ def json_equals(field: str, value: str, ignore_case: bool = False) -> Column:
 
 def json_at_least(field: str, value: float) -> Column:
     """Numeric field of a parsed line; a field that is no number does not match."""
-    return F.expr(f"try_cast(fields.{field} AS DOUBLE)") >= value
+    return _number(field) >= value
+
+
+def _number(field: str) -> Column:
+    return F.col(f"fields.{field}").try_cast("double")
 
 
 def enrich(logs: DataFrame, targets: DataFrame) -> DataFrame:
@@ -86,20 +93,18 @@ def field_quantile(
     step_s: int,
     ts: str = "ts",
 ) -> DataFrame:
-    """Exact quantile of a numeric JSON field per label and sliding window."""
+    """Exact quantile of a numeric JSON field per label and sliding window.
+
+    Quantiles do not merge over step buckets, so rows are repeated per window. The
+    lines are parsed once; the numbers are stored, and all later passes read those.
+    """
     check_grid(range_s, step_s)
-    window = F.window(ts, f"{range_s} seconds", f"{step_s} seconds")
-    values = (
-        parse_log_json(logs)
-        .select(*by, ts, F.expr(f"try_cast(fields.{field} AS DOUBLE)").alias("value"))
-        .select(*by, window.alias("w"), "value")
-        .select(
-            *by,
-            F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
-            "value",
-        )
+    numbers = (
+        parse_log_json(logs, fields=(field,))
+        .select(*by, F.col(ts).alias(BUCKET), _number(field).alias("value"))
+        .where("value IS NOT NULL")
     )
+    values = expand_buckets(stored(numbers, "field-values"), range_s, step_s)
     return exact_quantile(values, [*by, *WINDOW_KEYS], "value", q)
 
 
@@ -120,10 +125,12 @@ def logs_during(
 
     Each interval is listed under the time slots it touches, so that the join
     has an equality on (labels, slot) and the range check sees only lines of the
-    same slot. Both edges of the interval belong to it.
+    same slot. Both edges of the interval belong to it. The intervals are stored,
+    because they are measured before they are joined.
     """
     listed = (
-        intervals.withColumn("__first", floor_to("start_ts", slot_s))
+        stored(intervals, "intervals")
+        .withColumn("__first", floor_to("start_ts", slot_s))
         .withColumn("__last", floor_to("end_ts", slot_s))
         .withColumn("__slot", F.explode(F.sequence("__first", "__last", seconds(slot_s))))
         .drop("__first", "__last")

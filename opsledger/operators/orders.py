@@ -199,7 +199,7 @@ def validate_requests(requests: DataFrame) -> DataFrame:
 
     Zero and negative quantities are accepted.
     """
-    quantity = F.expr("try_cast(quantity AS INT)")
+    quantity = F.col("quantity").try_cast("int")
     reason = (
         F.when(F.col("customer_id").isNull(), "customer_id missing")
         .when(F.col("product_id").isNull(), "product_id missing")

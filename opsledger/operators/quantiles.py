@@ -1,9 +1,9 @@
-"""Exact interpolated quantiles that never gather a group in one task.
+"""Exact interpolated quantiles that never gather a large group in one task.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer. Here a
-sketch with a known rank error brackets the quantile, the bracket is cut into cells,
-rows are counted per cell, and only the one or two cells that hold the wanted
-ranks are sorted.
+Spark's ``percentile`` keeps every distinct value of a group in one buffer, so it is
+used only for groups of counted, bounded size. For a larger group a sketch with a known
+rank error brackets the quantile, the bracket is cut into cells, rows are counted per
+cell, and only the one or two cells that hold the wanted ranks are sorted.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from opsledger.functions.joins import lookup_join
 from opsledger.functions.workspace import stored
 
+SMALL_GROUP = 100_000
 ACCURACY = 10_000
 CELLS = 1024
 
@@ -21,30 +22,46 @@ def exact_quantile(
     keys: list[str],
     value: str,
     q: float,
+    small_group: int = SMALL_GROUP,
     accuracy: int = ACCURACY,
     cells: int = CELLS,
 ) -> DataFrame:
     """``quantile`` of the non-null values per key, interpolated linearly.
 
-    ``accuracy`` and ``cells`` only decide how much is left to sort; the result
-    is exact for any setting. ``df`` is read three times, so it should be a scan
-    with cheap expressions on top. Two small tables, of some rows per key, are
-    written to the shared folder on the way.
+    Groups are counted first. The result is exact whatever ``small_group``,
+    ``accuracy`` and ``cells`` are; they decide how the work is spread. ``df`` is
+    read more than once, so it should be a scan with cheap expressions on top.
     """
     if not 0 <= q <= 1:
         raise ValueError(f"quantile {q} is outside [0, 1]")
     values = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("v"))
+    counts = stored(values.groupBy(*keys).agg(F.count("*").alias("n")), "quantile-counts")
+    large = counts.where(F.col("n") > small_group)
+    if large.isEmpty():
+        return _of_small_groups(values, keys, q)
+    groups = counts.select(*keys, (F.col("n") > small_group).alias("is_large"))
+    split = lookup_join(values, groups, keys)
+    return _of_small_groups(split.where("NOT is_large"), keys, q).unionByName(
+        _of_large_groups(split.where("is_large"), large, keys, q, accuracy, cells)
+    )
+
+
+def _of_small_groups(values: DataFrame, keys: list[str], q: float) -> DataFrame:
+    return values.groupBy(*keys).agg(F.percentile("v", q).alias("quantile"))
 
+
+def _of_large_groups(
+    values: DataFrame, counts: DataFrame, keys: list[str], q: float, accuracy: int, cells: int
+) -> DataFrame:
     # The sketch is off by at most 1 / accuracy in rank, so twice that on either
-    # side encloses the quantile. Should it not, as in a small group, the ranks
-    # fall in the cell below or above the bracket, which is sorted like any other.
+    # side encloses the quantile. Should it not, the ranks fall in the cell below
+    # or above the bracket, which is sorted like any other.
     margin = 2.0 / accuracy
     spread = [max(q - margin, 0.0), min(q + margin, 1.0)]
     target = F.lit(float(q)) * (F.col("n") - 1)
+    sketches = values.groupBy(*keys).agg(F.percentile_approx("v", spread, accuracy).alias("b"))
     brackets = stored(
-        values.groupBy(*keys)
-        .agg(F.count("*").alias("n"), F.percentile_approx("v", spread, accuracy).alias("b"))
-        .select(
+        sketches.join(counts, keys).select(
             *keys,
             F.col("b")[0].alias("low"),
             F.col("b")[1].alias("high"),

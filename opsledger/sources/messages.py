@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from opsledger.model import DEAD_LETTER_BYTES, UNKNOWN_EVENT
 
 _ENVELOPE = "array<struct<event_type:string,payload:string>>"
+_PAYLOAD = "map<string,string>"
 
 
 def stream_messages(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
@@ -45,33 +46,21 @@ def decode_messages(messages: DataFrame, body: str = "body") -> DataFrame:
     """
     text = F.trim(F.col(body))
     parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), _ENVELOPE)
-    return (
-        messages.withColumn("__m", parsed)
-        .withColumn(
-            "decoded",
-            F.coalesce(
-                (F.size("__m") == 1) & F.col("__m")[0].isNotNull() & text.endswith("}"),
-                F.lit(False),
-            ),
-        )
-        .withColumn(
-            "event_type",
-            F.when(
-                F.col("decoded"), F.coalesce(F.col("__m")[0]["event_type"], F.lit(UNKNOWN_EVENT))
-            ),
+
+    def fields(envelope):
+        first = F.try_element_at(envelope, F.lit(1))
+        valid = F.coalesce(
+            (F.size(envelope) == 1) & first.isNotNull() & text.endswith("}"), F.lit(False)
         )
-        .withColumn(
-            "payload",
-            F.when(
-                F.col("decoded"),
-                F.coalesce(
-                    F.from_json(F.col("__m")[0]["payload"], "map<string,string>"),
-                    F.create_map().cast("map<string,string>"),
-                ),
-            ),
+        payload = F.from_json(first["payload"], _PAYLOAD)
+        return F.struct(
+            valid.alias("decoded"),
+            F.when(valid, F.coalesce(first["event_type"], F.lit(UNKNOWN_EVENT))).alias("event_type"),
+            F.when(valid, F.coalesce(payload, F.create_map().cast(_PAYLOAD))).alias("payload"),
         )
-        .drop("__m")
-    )
+
+    # Generated columns are computed once; filters on them do not repeat the parse.
+    return messages.select("*", F.inline(F.transform(F.array(parsed), fields)))
 
 
 def good_messages(decoded: DataFrame, body: str = "body") -> DataFrame:

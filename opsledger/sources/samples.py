@@ -27,6 +27,6 @@ def parse_samples(lines: DataFrame, line: str = "line") -> DataFrame:
         lines.where(F.col(line).rlike(SAMPLE_LINE))
         .withColumn("metric", F.regexp_extract(line, SAMPLE_LINE, 1))
         .withColumn("labels", F.map_from_arrays(names, values))
-        .withColumn("value", F.expr(f"try_cast(regexp_extract({line}, r'{SAMPLE_LINE}', 3) AS DOUBLE)"))
+        .withColumn("value", F.regexp_extract(line, SAMPLE_LINE, 3).try_cast("double"))
         .drop(line)
     )

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from opsledger.functions.joins import fits_broadcast
 from opsledger.functions.text import matches_whole
 from opsledger.operators.alerts import FIRING, INACTIVE, PENDING
 from opsledger.operators.events import route_events
@@ -42,10 +43,16 @@ def route_messages(
     message neither gets lost nor is stored twice.
     """
 
+    is_small = fits_broadcast(rules)
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_messages(batch)
-        write_batch(route_events(good_messages(decoded), rules, default), notifications, batch_id)
-        write_batch(dead_letters(decoded), dead, batch_id)
+        decoded = decode_messages(batch).persist()
+        try:
+            routed = route_events(good_messages(decoded), rules, default, is_small)
+            write_batch(routed, notifications, batch_id)
+            write_batch(dead_letters(decoded), dead, batch_id)
+        finally:
+            decoded.unpersist()
 
     return (
         messages.writeStream.foreachBatch(store)
