@@ -23,20 +23,24 @@ RANGE_S = 300
 STEP_S = 30
 RESTART_RANGE_S = 900
 
-CHUNK_S = 86_400
+CHUNK_S = 3600
 
 
 def label_counts(df: DataFrame, labels: list[str], name: str = "n") -> DataFrame:
     return df.groupBy(*labels).agg(F.count("*").alias(name))
 
 
-def series_cardinality(samples: DataFrame, metric: str, labels: list[str]) -> DataFrame:
-    """Number of label sets per metric, exact.
+def series_cardinality(
+    samples: DataFrame, metric: str, labels: list[str], approximate: bool = False
+) -> DataFrame:
+    """Number of label sets per metric, exact unless asked otherwise.
 
     Spark removes duplicates by (metric, label set) before it counts per
     metric, so one dominant metric is spread over all tasks.
     """
-    return samples.groupBy(metric).agg(F.count_distinct(F.struct(*labels)).alias("n_series"))
+    label_set = F.struct(*labels)
+    count = F.approx_count_distinct(F.xxhash64(label_set)) if approximate else F.count_distinct(label_set)
+    return samples.groupBy(metric).agg(count.alias("n_series"))
 
 
 def counter_deltas(

@@ -41,42 +41,44 @@ def latest_sample(
     )
 
 
-def gauge_ratio(
-    samples: DataFrame,
-    series: list[str],
-    numerator: str,
-    denominator: str,
-    range_s: int,
-    step_s: int,
-    metric: str = "metric",
-    ts: str = "ts",
-    value: str = "value",
+def latest_ratio(
+    latest: DataFrame, series: list[str], numerator: str, denominator: str, metric: str = "metric"
 ) -> DataFrame:
-    """Ratio of the latest values of two metrics with equal labels.
+    """Ratio of two metrics in a table of latest samples, with equal labels.
 
     Both come from the same rows, so one grouping does the one-to-one match;
     windows in which either metric has no sample drop out.
     """
-    latest = latest_sample(
-        samples.where(F.col(metric).isin(numerator, denominator)),
-        [*series, metric],
-        range_s,
-        step_s,
-        ts,
-        value,
-    )
 
     def of(name: str):
         return F.max(F.when(F.col(metric) == name, F.col("value")))
 
     return (
-        latest.groupBy(*series, *WINDOW_KEYS)
+        latest.where(F.col(metric).isin(numerator, denominator))
+        .groupBy(*series, *WINDOW_KEYS)
         .agg(of(numerator).alias("numerator"), of(denominator).alias("denominator"))
         .where("numerator IS NOT NULL AND denominator IS NOT NULL")
         .withColumn("ratio", F.try_divide("numerator", "denominator"))
     )
 
 
+def gauge_ratio(
+    samples: DataFrame,
+    series: list[str],
+    numerator: str,
+    denominator: str,
+    range_s: int,
+    step_s: int,
+    metric: str = "metric",
+    ts: str = "ts",
+    value: str = "value",
+) -> DataFrame:
+    """Ratio of the latest values of two metrics with equal labels."""
+    chosen = samples.where(F.col(metric).isin(numerator, denominator))
+    latest = latest_sample(chosen, [*series, metric], range_s, step_s, ts, value)
+    return latest_ratio(latest, series, numerator, denominator, metric)
+
+
 def utilisation(
     usage: DataFrame,
     keys: list[str],

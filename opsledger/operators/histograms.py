@@ -9,13 +9,13 @@ from opsledger.model import LATENCY_BOUNDS
 INF = float("inf")
 
 
-def _bucket_counts(value: str, bounds: tuple) -> dict[str, Column]:
+def bucket_counts(value: str, bounds: tuple = LATENCY_BOUNDS) -> dict[str, Column]:
     """One conditional count per bound; a value equal to a bound is inside it."""
     counts = {f"__b{i}": F.count_if(F.col(value) <= b) for i, b in enumerate(bounds)}
     return {**counts, f"__b{len(bounds)}": F.count(value)}
 
 
-def _as_rows(wide: DataFrame, bounds: tuple) -> DataFrame:
+def bucket_rows(wide: DataFrame, bounds: tuple = LATENCY_BOUNDS) -> DataFrame:
     """From one column per bucket to ``le, cum_count`` rows."""
     les = [*bounds, INF]
     lines = F.array(
@@ -33,11 +33,11 @@ def latency_histogram(
 ) -> DataFrame:
     """``le, cum_count`` per label set, with its observation count and sum."""
     wide = df.groupBy(*keys).agg(
-        *[agg.alias(name) for name, agg in _bucket_counts(value, bounds).items()],
+        *[agg.alias(name) for name, agg in bucket_counts(value, bounds).items()],
         F.count(value).alias("observations"),
         F.sum(value).alias("observed_sum"),
     )
-    return _as_rows(wide, bounds)
+    return bucket_rows(wide, bounds)
 
 
 def windowed_histogram(
@@ -50,8 +50,8 @@ def windowed_histogram(
     bounds: tuple = LATENCY_BOUNDS,
 ) -> DataFrame:
     """The histogram of each sliding window."""
-    wide = sliding_sums(df, keys, ts, range_s, step_s, _bucket_counts(value, bounds))
-    return _as_rows(wide, bounds)
+    wide = sliding_sums(df, keys, ts, range_s, step_s, bucket_counts(value, bounds))
+    return bucket_rows(wide, bounds)
 
 
 def histogram_quantile(buckets: DataFrame, keys: list[str], q: float) -> DataFrame:

@@ -1,6 +1,6 @@
 """Log filters, enrichment, rates and correlation with alerts."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsledger.functions.joins import MAX_BROADCAST_ROWS, lookup_join
@@ -22,6 +22,7 @@ from opsledger.sources.logs import parse_log_json
 MAX_LINES = 1000
 
 SLOT_S = 3600
+TAIL_GROUPS = 512
 
 
 def label_is(**labels: str) -> Column:
@@ -92,11 +93,13 @@ def field_quantile(
     range_s: int,
     step_s: int,
     ts: str = "ts",
+    approximate: bool = False,
 ) -> DataFrame:
     """Exact quantile of a numeric JSON field per label and sliding window.
 
     Quantiles do not merge over step buckets, so rows are repeated per window. The
     lines are parsed once; the numbers are stored, and all later passes read those.
+    ``approximate`` trades exactness for a single pass that stores nothing.
     """
     check_grid(range_s, step_s)
     numbers = (
@@ -104,13 +107,31 @@ def field_quantile(
         .select(*by, F.col(ts).alias(BUCKET), _number(field).alias("value"))
         .where("value IS NOT NULL")
     )
+    keys = [*by, *WINDOW_KEYS]
+    if approximate:
+        near = F.percentile_approx("value", q).alias("quantile")
+        return expand_buckets(numbers, range_s, step_s).groupBy(*keys).agg(near)
     values = expand_buckets(stored(numbers, "field-values"), range_s, step_s)
-    return exact_quantile(values, [*by, *WINDOW_KEYS], "value", q)
+    return exact_quantile(values, keys, "value", q)
 
 
 def tail(logs: DataFrame, order: list[Column], limit: int = MAX_LINES) -> DataFrame:
-    """The newest lines; each task keeps ``limit`` rows, nothing is sorted whole."""
-    return logs.orderBy(*order).limit(limit)
+    """The first ``limit`` lines in ``order``, e.g. the newest.
+
+    Every task keeps its own first lines, then ``TAIL_GROUPS`` reducers merge those of
+    many tasks, so that the last sort sees ``limit`` lines per reducer, however many
+    tasks read the log. A limit above Spark's group limit threshold (1000) is
+    still right, but shuffles all lines.
+    """
+    grouped = logs.withColumn("__group", F.pmod(F.spark_partition_id(), F.lit(TAIL_GROUPS)))
+    place = F.row_number().over(Window.partitionBy("__group").orderBy(*order))
+    return (
+        grouped.withColumn("__place", place)
+        .where(F.col("__place") <= limit)
+        .drop("__place", "__group")
+        .orderBy(*order)
+        .limit(limit)
+    )
 
 
 def logs_during(

@@ -158,6 +158,7 @@ def report_html(summary: DataFrame) -> DataFrame:
         )
 
     start, end = F.to_date("period_start"), F.to_date("period_end")
+    # The wording of the report.
     html = F.format_string(
         "<!DOCTYPE html><html><head><title>Order Report %s – %s</title></head><body>"
         "<h1>Order Summary Report</h1><p>Period: %s – %s | Generated: %s</p><table>"

@@ -8,11 +8,18 @@ from pyspark.sql import functions as F
 
 from opsledger.functions.joins import union_all
 from opsledger.functions.text import duration_text, matches_whole, percent_text
+from opsledger.functions.timegrid import WINDOW_KEYS, sliding_sums
+from opsledger.functions.workspace import stored
 from opsledger.operators.alerts import alert_states
 from opsledger.operators.counters import counter_increase
 from opsledger.operators.gauges import gauge_ratio, latest_sample
-from opsledger.operators.histograms import latency_quantile
-from opsledger.operators.ratios import error_ratio, publishing_counts
+from opsledger.operators.histograms import (
+    bucket_counts,
+    bucket_rows,
+    histogram_quantile,
+    latency_quantile,
+)
+from opsledger.operators.ratios import SERVER_ERROR, error_ratio, publishing_counts
 
 SERIES = ["alert", "labels"]
 LOOKBACK_S = 300
@@ -118,23 +125,36 @@ def evaluations(rule: AlertRule, series: DataFrame, labels: list[str], value: st
     )
 
 
-def _latest(rule, samples, labels, step_s, **patterns):
-    chosen = samples
+def of_latest(rule: AlertRule, latest: DataFrame, labels: list[str], **patterns) -> DataFrame:
+    """A rule on the latest samples; ``patterns`` are label regex matchers."""
+    chosen = latest
     for label, pattern in patterns.items():
         chosen = chosen.where(matches_whole(label, pattern))
-    return evaluations(rule, latest_sample(chosen, labels, rule.range_s, step_s), labels, "value")
+    return evaluations(rule, chosen, labels, "value")
+
+
+def _sampled(rule, samples, labels, step_s, **patterns) -> DataFrame:
+    latest = latest_sample(samples, labels, rule.range_s, step_s)
+    return of_latest(rule, latest, labels, **patterns)
 
 
 def service_down(up, labels, step_s=EVAL_STEP_S, rule=SERVICE_DOWN, **patterns) -> DataFrame:
-    return _latest(rule, up, labels, step_s, **patterns)
+    return _sampled(rule, up, labels, step_s, **patterns)
 
 
 def pod_not_ready(ready, labels, step_s=EVAL_STEP_S, rule=POD_NOT_READY, **patterns) -> DataFrame:
-    return _latest(rule, ready, labels, step_s, **patterns)
+    return _sampled(rule, ready, labels, step_s, **patterns)
 
 
 def cron_job_failed(failed, labels, step_s=EVAL_STEP_S, rule=CRON_JOB_FAILED, **patterns) -> DataFrame:
-    return _latest(rule, failed, labels, step_s, **patterns)
+    return _sampled(rule, failed, labels, step_s, **patterns)
+
+
+def volume_filling_up(
+    volumes, labels, available, capacity, step_s=EVAL_STEP_S, rule=VOLUME_FILLING_UP
+) -> DataFrame:
+    series = gauge_ratio(volumes, labels, available, capacity, rule.range_s, step_s)
+    return evaluations(rule, series, labels, "ratio")
 
 
 def high_error_rate(requests, labels, step_s=EVAL_STEP_S, rule=HIGH_ERROR_RATE) -> DataFrame:
@@ -149,6 +169,34 @@ def high_latency(requests, labels, step_s=EVAL_STEP_S, rule=HIGH_LATENCY, q=0.95
     return evaluations(rule, series, labels, "quantile")
 
 
+def request_rules(
+    requests,
+    labels,
+    step_s=EVAL_STEP_S,
+    error_rule=HIGH_ERROR_RATE,
+    latency_rule=HIGH_LATENCY,
+    q=0.95,
+) -> list[DataFrame]:
+    """Both rules on requests from one pass, if they look back equally far."""
+    if error_rule.range_s != latency_rule.range_s:
+        raise ValueError("the two rules have different ranges; evaluate them one by one")
+    sums = {
+        **bucket_counts("duration_seconds"),
+        "n_errors": F.count_if(matches_whole("status_code", SERVER_ERROR)),
+        "n_all": F.count("*"),
+    }
+    windows = stored(
+        sliding_sums(requests, labels, "ts", error_rule.range_s, step_s, sums), "request-windows"
+    )
+    keys = [*labels, *WINDOW_KEYS]
+    ratio = windows.withColumn("ratio", F.try_divide("n_errors", "n_all"))
+    quantile = histogram_quantile(bucket_rows(windows.drop("n_errors", "n_all")), keys, q)
+    return [
+        evaluations(error_rule, ratio, labels, "ratio"),
+        evaluations(latency_rule, quantile, labels, "quantile"),
+    ]
+
+
 def event_publishing_failing(
     events, labels, step_s=EVAL_STEP_S, rule=EVENT_PUBLISHING_FAILING
 ) -> DataFrame:
@@ -163,13 +211,6 @@ def pod_crash_looping(restarts, labels, step_s=EVAL_STEP_S, rule=POD_CRASH_LOOPI
     return evaluations(rule, series, labels, "increase")
 
 
-def volume_filling_up(
-    volumes, labels, available, capacity, step_s=EVAL_STEP_S, rule=VOLUME_FILLING_UP
-) -> DataFrame:
-    series = gauge_ratio(volumes, labels, available, capacity, rule.range_s, step_s)
-    return evaluations(rule, series, labels, "ratio")
-
-
 def alert_table(evaluated: list[DataFrame], step_s: int = EVAL_STEP_S) -> DataFrame:
     """States of any number of rules, held in one pass over all their evaluations."""
     return alert_states(union_all(evaluated), SERIES, step_s, "hold_s").drop("breach", "hold_s")

@@ -474,6 +474,9 @@ _QUERIES = {
     "stream_dead_letter": """
         SELECT event_id, ts, body[1:200] AS body_head FROM fx_decoded WHERE NOT good""",
     "stream_dedup": "SELECT event_id, ts, event_type FROM fx_events",
+    "stream_event_rate": f"""
+        SELECT * FROM ({_RATE.format(keys="event_type", n="n", source="fx_events", where="true")})
+        WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
     "stream_error_ratio": """
         SELECT * FROM s_error_ratio
         WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",

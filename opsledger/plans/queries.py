@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsledger.functions import text
+from opsledger.functions.joins import union_all
 from opsledger.functions.timegrid import WINDOW_KEYS, in_last
-from opsledger.functions.workspace import new_folder
+from opsledger.functions.workspace import new_folder, stored
 from opsledger.operators import (
     alerts,
     counters,
@@ -234,26 +235,14 @@ def notifications(spark, sf):
 
 @_register
 def topic_subscribe(spark, sf):
-    """What a queue bound to ``*.c#``-like patterns receives, per pattern."""
-    found = v.fx_events(_events(spark, sf))
+    """Events per type that queues bound with different patterns receive."""
+    counts = counters.label_counts(v.fx_events(_events(spark, sf)), ["event_type"], "n_events")
     patterns = ("#", "order.*", "*.created", "order.c*", "#.shipped", "order")
-    bound = F.filter(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(p).alias("pattern"),
-                    F.col("event_type").rlike(text.topic_regex(p)).alias("hit"),
-                )
-                for p in patterns
-            ]
-        ),
-        lambda b: b["hit"],
-    )
-    return (
-        found.select("event_type", F.explode(bound).alias("b"))
-        .groupBy(F.col("b.pattern").alias("pattern"), "event_type")
-        .agg(F.count("*").alias("n_events"))
-    )
+    bound = [
+        ev.subscribe(counts, p).select(F.lit(p).alias("pattern"), "event_type", "n_events")
+        for p in patterns
+    ]
+    return union_all(bound)
 
 
 @_register
@@ -498,21 +487,27 @@ def alert_states(spark, sf):
 
 @_register
 def alert_rules(spark, sf):
-    """All eight rules, held in one pass."""
+    """All eight rules, held in one pass; gauges and requests are read once each."""
     raw = _events(spark, sf)
-    gauge, requests = v.fx_gauge(raw), v.fx_requests(raw)
     by_job = ["job"]
+    latest = stored(
+        gauges.latest_sample(v.fx_gauge(raw), ["metric", "job"], RANGE_S, STEP_S), "latest"
+    )
 
     def of(metric):
-        return gauge.where(F.col("metric") == metric)
+        return latest.where(F.col("metric") == metric)
 
+    free = gauges.latest_ratio(latest, by_job, "volume_available", "volume_capacity")
     return _shown(
         ar.alert_table(
             [
-                ar.service_down(of("up"), by_job, STEP_S, _rule(ar.SERVICE_DOWN), job="svc-.*"),
-                _error_rate(spark, sf),
-                ar.high_latency(
-                    requests, by_job, STEP_S, _rule(ar.HIGH_LATENCY, LATENCY_LIMIT)
+                ar.of_latest(_rule(ar.SERVICE_DOWN), of("up"), by_job, job="svc-.*"),
+                *ar.request_rules(
+                    v.fx_requests(raw),
+                    by_job,
+                    STEP_S,
+                    _rule(ar.HIGH_ERROR_RATE, ERROR_LIMIT),
+                    _rule(ar.HIGH_LATENCY, LATENCY_LIMIT),
                 ),
                 ar.event_publishing_failing(
                     v.fx_published(raw), by_job, STEP_S, _rule(ar.EVENT_PUBLISHING_FAILING)
@@ -520,18 +515,9 @@ def alert_rules(spark, sf):
                 ar.pod_crash_looping(
                     v.fx_counter(raw), _COUNTER, STEP_S, _rule(ar.POD_CRASH_LOOPING)
                 ),
-                ar.pod_not_ready(of("pod_ready"), by_job, STEP_S, _rule(ar.POD_NOT_READY)),
-                ar.cron_job_failed(
-                    of("job_failed"), by_job, STEP_S, _rule(ar.CRON_JOB_FAILED, hold_s=0)
-                ),
-                ar.volume_filling_up(
-                    gauge,
-                    by_job,
-                    "volume_available",
-                    "volume_capacity",
-                    STEP_S,
-                    _rule(ar.VOLUME_FILLING_UP),
-                ),
+                ar.of_latest(_rule(ar.POD_NOT_READY), of("pod_ready"), by_job),
+                ar.of_latest(_rule(ar.CRON_JOB_FAILED, hold_s=0), of("job_failed"), by_job),
+                ar.evaluations(_rule(ar.VOLUME_FILLING_UP), free, by_job, "ratio"),
             ],
             STEP_S,
         )
@@ -707,6 +693,17 @@ def stream_dedup(spark, sf):
     )
 
 
+@_register
+def stream_event_rate(spark, sf):
+    folder = new_folder(spark, "stream-rate")
+    found = pipelines.event_rate_stream(
+        v.fx_events(v.stream_table(spark, sf, "events")), ["event_type"], RANGE_S, STEP_S
+    )
+    pipelines.append_stream(found, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    rates = spark.read.parquet(f"{folder}/out")
+    return rates.withColumns({k: F.col(k).cast("timestamp_ntz") for k in WINDOW_KEYS})
+
+
 def _stream_ratios(spark, sf, folder):
     requests = v.fx_requests(v.stream_table(spark, sf, "events"))
     found = pipelines.error_ratio_stream(requests, ["job"], RANGE_S, STEP_S)

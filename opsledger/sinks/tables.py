@@ -34,6 +34,12 @@ def publish_event_stream(events: DataFrame, path: str, checkpoint: str):
     )
 
 
+def store_deliveries(deliveries: DataFrame, delivered: str, dead: str) -> None:
+    """Deliveries that succeeded in one table, those out of attempts in another."""
+    deliveries.where("delivered").write.mode("append").parquet(delivered)
+    deliveries.where("dead_letter").write.mode("append").parquet(dead)
+
+
 def append_alerts(states: DataFrame, path: str) -> None:
     """Alert states with their text, partitioned by alert."""
     states.write.mode("append").partitionBy("alert").parquet(path)

@@ -68,6 +68,31 @@ def dedup_stream(events: DataFrame, key: str = "event_id", ts: str = "ts", late_
     return timed.withWatermark(ts, f"{late_s} seconds").dropDuplicatesWithinWatermark([key])
 
 
+def _windowed(
+    df: DataFrame, keys: list[str], aggs: list[Column], range_s: int, step_s: int, ts: str, late_s: int
+) -> DataFrame:
+    """Aggregates per key and window; a window appears once it is final."""
+    timed = df.withColumn(ts, F.col(ts).cast("timestamp"))
+    window = F.window(ts, f"{range_s} seconds", f"{step_s} seconds")
+    counts = timed.withWatermark(ts, f"{late_s} seconds").groupBy(*keys, window).agg(*aggs)
+    edges = [F.col(f"window.{edge}").alias(f"window_{edge}") for edge in ("start", "end")]
+    values = [c for c in counts.columns if c not in (*keys, "window")]
+    return counts.select(*keys, *edges, *values)
+
+
+def event_rate_stream(
+    events: DataFrame,
+    keys: list[str],
+    range_s: int,
+    step_s: int,
+    ts: str = "ts",
+    late_s: int = LATE_S,
+) -> DataFrame:
+    """Rows per second, key and window."""
+    counts = _windowed(events, keys, [F.count("*").alias("n")], range_s, step_s, ts, late_s)
+    return counts.withColumn("rate", F.col("n") / range_s)
+
+
 def error_ratio_stream(
     requests: DataFrame,
     keys: list[str],
@@ -76,25 +101,12 @@ def error_ratio_stream(
     ts: str = "ts",
     late_s: int = LATE_S,
 ) -> DataFrame:
-    """Error ratio per key and window; a window appears once it is final."""
-    timed = requests.withColumn(ts, F.col(ts).cast("timestamp"))
-    window = F.window(ts, f"{range_s} seconds", f"{step_s} seconds")
-    return (
-        timed.withWatermark(ts, f"{late_s} seconds")
-        .groupBy(*keys, window)
-        .agg(
-            F.count_if(matches_whole("status_code", SERVER_ERROR)).alias("n_part"),
-            F.count("*").alias("n_all"),
-        )
-        .select(
-            *keys,
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "n_part",
-            "n_all",
-            F.try_divide("n_part", "n_all").alias("ratio"),
-        )
+    """Server errors over all requests per key and window."""
+    errors = F.count_if(matches_whole("status_code", SERVER_ERROR)).alias("n_part")
+    counts = _windowed(
+        requests, keys, [errors, F.count("*").alias("n_all")], range_s, step_s, ts, late_s
     )
+    return counts.withColumn("ratio", F.try_divide("n_part", "n_all"))
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -4,7 +4,7 @@ import pytest
 
 from opsledger.functions.text import topic_regex
 from opsledger.operators import events as ev
-from opsledger.sinks.tables import publish_events
+from opsledger.sinks.tables import publish_events, store_deliveries
 from opsledger.sources.messages import dead_letters, decode_messages, encode_events, good_messages
 from opsledger.sources.rules import NOTIFICATION_RULES, default_channels, load_rules, rules_table
 
@@ -163,3 +163,10 @@ def test_publish_writes_a_folder_per_routing_key(spark, tmp_path):
     publish_events(events, str(tmp_path / "out"))
     assert sorted(p.name for p in (tmp_path / "out").glob("routing_key=*")) == [
         "routing_key=order.created", "routing_key=order.shipped"]
+
+
+def test_deliveries_split_into_two_tables(spark, tmp_path):
+    frame = spark.createDataFrame([(1, 0), (2, 0), (5, 3)], "attempts_needed int, retry int")
+    store_deliveries(ev.delivery_attempts(frame), str(tmp_path / "ok"), str(tmp_path / "dead"))
+    assert spark.read.parquet(str(tmp_path / "ok")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "dead")).count() == 2

@@ -109,3 +109,19 @@ def test_lines_during_an_alert(spark, max_rows):
         (r.app, r.ts, start) for r in lines.collect() for app, start, end in spans
         if app == r.app and start <= r.ts <= end)
     assert sorted((r.app, r.ts, r.start_ts) for r in found.collect()) == expected
+
+
+def test_tail_keeps_the_newest_of_many_partitions(spark):
+    frame = spark.range(0, 5000, numPartitions=20).select(
+        (F.col("id") * 7919 % 5000).alias("ts"), F.col("id").cast("string").alias("line"))
+    found = lg.tail(frame, [F.col("ts").desc()], 1000)
+    assert [r.ts for r in found.collect()] == list(range(4999, 3999, -1))
+    assert [r.ts for r in lg.tail(frame, [F.col("ts").desc()], 1500).collect()] == list(range(4999, 3499, -1))
+
+
+def test_approximate_quantile_is_an_option(spark):
+    frame = spark.createDataFrame(
+        [("a", _at(i), '{"d":%d}' % i) for i in range(100)], "app string, ts timestamp_ntz, line string")
+    exact = lg.field_quantile(frame, ["app"], "d", 0.95, 300, 300).first()
+    near = lg.field_quantile(frame, ["app"], "d", 0.95, 300, 300, approximate=True).first()
+    assert exact["quantile"] == 94.05 and near["quantile"] == 94.0

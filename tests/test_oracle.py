@@ -31,8 +31,11 @@ def duck():
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_matches_sql(name, spark, sf, duck):
+def test_matches_sql(name, spark, sf, duck, capsys):
     found = QUERIES[name](spark, sf)
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     columns = sorted(found.columns)
     cursor = duck.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]

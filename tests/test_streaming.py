@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from opsledger.operators import alerts
+from opsledger.operators import logs as lg
 from opsledger.plans import views as v
 from opsledger.sinks.tables import publish_event_stream
+from opsledger.sources.logs import pod_targets, stream_log_files, with_file_keys
 from opsledger.sources.messages import stream_messages
 from opsledger.sources.rules import NOTIFICATION_RULES, default_channels, rules_table
 from opsledger.streaming import pipelines
@@ -124,3 +126,48 @@ def test_stored_orders_are_published_once(spark, tmp_path):
     (row,) = spark.read.text(str(tmp_path / "out")).collect()
     assert json.loads(row.value) == {"event_type": "order.created", "payload": {"order_id": "1"}}
     assert row.routing_key == "order.created"
+
+
+def test_stop_between_batches_and_go_on(spark, tmp_path):
+    _write(tmp_path / "in", "1.txt", ['{"event_type":"a"}'])
+
+    def start():
+        return pipelines.route_messages(
+            stream_messages(spark, str(tmp_path / "in")),
+            rules_table(spark, NOTIFICATION_RULES),
+            default_channels(NOTIFICATION_RULES),
+            str(tmp_path / "sent"),
+            str(tmp_path / "dead"),
+            str(tmp_path / "checkpoint"),
+            {"processingTime": "200 milliseconds"},
+        )
+
+    for name, body in (("2.txt", '{"event_type":"b"}'), ("3.txt", '{"event_type":"c"}')):
+        query = start()
+        query.processAllAvailable()
+        _write(tmp_path / "in", name, [body])
+        query.processAllAvailable()
+        query.stop()
+    sent = spark.read.parquet(str(tmp_path / "sent"))
+    assert sorted(r.event_type for r in sent.collect()) == ["a", "b", "c"]
+
+
+def test_flow_control_takes_one_file_per_batch(spark, tmp_path):
+    for i in range(3):
+        _write(tmp_path / "in", f"{i}.txt", [f'{{"event_type":"{i}"}}'])
+    _route(spark, tmp_path)
+    assert len(list((tmp_path / "sent").glob("batch_id=*"))) == 3
+
+
+def test_log_files_are_enriched_as_they_come(spark, tmp_path):
+    folder = tmp_path / "var/log/pods/u1/app"
+    folder.mkdir(parents=True)
+    (folder / "0.log").write_text('{"level":"ERROR"}\n')
+    pods = spark.createDataFrame(
+        [("u1", "ns", "p", "app", "svc", "Running")],
+        "uid string, namespace string, pod string, container string, app string, phase string")
+    lines = stream_log_files(spark, f"{tmp_path}/var/log/pods/*/*/*.log")
+    enriched = lg.enrich(with_file_keys(lines), pod_targets(pods))
+    pipelines.append_stream(enriched, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    (row,) = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert (row.namespace, row.pod, row.app, row.line) == ("ns", "p", "svc", '{"level":"ERROR"}')
