@@ -5,7 +5,7 @@ A sliding window that covers ``range_s`` and moves by ``step_s`` holds every row
 first and repeat only the buckets, which is exact for anything that merges.
 """
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,27 @@ BUCKET = "bucket"
 WINDOW_KEYS = ("window_start", "window_end")
 
 
+_UTC = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
+
+
+def check_utc(df: DataFrame) -> None:
+    """Times are read and printed in UTC, so the session must use it."""
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone not in _UTC:
+        raise ValueError(f"spark.sql.session.timeZone is {zone}; set it to UTC")
+
+
+def moment(value: datetime) -> Column:
+    """A Python time as a literal; without a zone it is UTC, wherever the driver runs."""
+    if value.tzinfo is not None:
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def moment_or_now(value: datetime | None) -> Column:
+    return F.current_timestamp() if value is None else moment(value).cast("timestamp")
+
+
 def check_grid(range_s: int, step_s: int) -> None:
     if step_s <= 0 or range_s <= 0 or range_s % step_s:
         raise ValueError(f"range {range_s}s must be a positive multiple of step {step_s}s")
@@ -30,6 +51,7 @@ def floor_to(ts: Column | str, width_s: int, offset_s: int = 0) -> Column:
 
 
 def with_bucket(df: DataFrame, ts: str, step_s: int, offset_s: int = 0) -> DataFrame:
+    check_utc(df)
     return df.withColumn(BUCKET, floor_to(ts, step_s, offset_s))
 
 
@@ -72,17 +94,27 @@ def sliding_sums(
 
 def literal_like(df: DataFrame, column: str, value: datetime | Column) -> Column:
     """``value`` in the exact type of ``column``, so that a filter reaches the scan."""
-    lit = value if isinstance(value, Column) else F.lit(value)
+    lit = value if isinstance(value, Column) else moment(value)
     return lit.cast(df.schema[column].dataType)
 
 
-def in_range(df: DataFrame, column: str, start, end) -> DataFrame:
-    """Rows with ``start <= column < end``."""
+def in_range(df: DataFrame, column: str, start, end, date_column: str | None = None) -> DataFrame:
+    """Rows with ``start <= column < end``.
+
+    ``date_column`` names a partition column that holds the date of ``column``, so that
+    folders of other dates are not even listed.
+    """
+    check_utc(df)
     low, high = literal_like(df, column, start), literal_like(df, column, end)
-    return df.where((F.col(column) >= low) & (F.col(column) < high))
+    rows = df.where((F.col(column) >= low) & (F.col(column) < high))
+    if date_column is None:
+        return rows
+    return rows.where(F.col(date_column).between(low.cast("date"), high.cast("date")))
 
 
-def in_last(df: DataFrame, column: str, length_s: int, as_of=None) -> DataFrame:
+def in_last(
+    df: DataFrame, column: str, length_s: int, as_of: datetime | None = None
+) -> DataFrame:
     """Rows of the last ``length_s`` seconds before ``as_of`` (default: now)."""
-    end = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
+    end = moment_or_now(as_of)
     return in_range(df, column, end - seconds(length_s), end)

@@ -28,6 +28,9 @@ ORDERS = T.StructType(
     ]
 )
 
+# Partition column of stored orders.
+CREATED_DATE = "created_date"
+
 ORDER_REQUESTS = T.StructType(
     [
         T.StructField("customer_id", T.StringType()),

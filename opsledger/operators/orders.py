@@ -6,8 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsledger.functions import text
-from opsledger.functions.timegrid import BUCKET, expand_buckets, in_range, with_bucket
-from opsledger.model import ORDERS, PENDING, STATUSES
+from opsledger.functions.timegrid import (
+    BUCKET,
+    expand_buckets,
+    in_range,
+    moment_or_now,
+    with_bucket,
+)
+from opsledger.model import CREATED_DATE, ORDERS, PENDING, STATUSES
 
 DAY_S = 86_400
 
@@ -17,12 +23,14 @@ REPORT_PERIOD_DAYS = 7
 
 def lookback(period_days: int, as_of: datetime | None = None) -> tuple[Column, Column]:
     """Start and end of the period that ends at ``as_of`` (default: now)."""
-    end = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
+    end = moment_or_now(as_of)
     return end - F.make_dt_interval(days=F.lit(period_days)), end
 
 
-def orders_in_period(orders: DataFrame, start, end, column: str = "created_at") -> DataFrame:
-    return in_range(orders, column, start, end)
+def orders_in_period(orders: DataFrame, start, end) -> DataFrame:
+    """Orders created in the period; a table partitioned by date is pruned to it."""
+    partition = CREATED_DATE if CREATED_DATE in orders.columns else None
+    return in_range(orders, "created_at", start, end, partition)
 
 
 def _counts() -> list[Column]:
@@ -220,7 +228,7 @@ def new_orders(requests: DataFrame, as_of: datetime | None = None) -> DataFrame:
     Ids are random, so a job must store these rows and publish events from the
     stored table, never from a second evaluation of this frame.
     """
-    now = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
+    now = moment_or_now(as_of)
     present = set(requests.columns)
 
     def given(name: str, default: Column) -> Column:

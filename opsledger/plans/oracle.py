@@ -276,6 +276,28 @@ _QUERIES = {
         UNION ALL SELECT period_start, period_end, 3, 'cancelled', cancelled,
                cancelled / greatest(total_orders, 1)::DOUBLE * 100 FROM s
         UNION ALL SELECT period_start, period_end, 4, 'total', total_orders, 100.0 FROM s""",
+    "report_html": f"""
+        WITH s AS ({_DAILY}), r AS (
+            SELECT period_start, 1 AS ordinal, 'pending' AS status, pending AS n, total_orders FROM s
+            UNION ALL SELECT period_start, 2, 'confirmed', confirmed, total_orders FROM s
+            UNION ALL SELECT period_start, 3, 'cancelled', cancelled, total_orders FROM s),
+        t AS (
+            SELECT period_start, string_agg(
+                '<tr class="' || status || '"><td>' || status || '</td><td>' || n || '</td><td>'
+                || printf('%.1f', round_even(n / total_orders::DOUBLE * 100, 1)) || '%</td>'
+                || '<td><span class="bar" style="width: '
+                || CAST(round_even(n / total_orders::DOUBLE * 100, 0) AS INTEGER)
+                || '%"></span></td></tr>', '' ORDER BY ordinal) AS body
+            FROM r GROUP BY period_start)
+        SELECT CAST(period_start AS DATE) AS period_start_date, CAST(period_end AS DATE) AS period_end_date,
+               '<!DOCTYPE html><html><head><title>Order Report ' || CAST(period_start AS DATE) || ' – '
+               || CAST(period_end AS DATE) || '</title></head><body><h1>Order Summary Report</h1><p>Period: '
+               || CAST(period_start AS DATE) || ' – ' || CAST(period_end AS DATE) || ' | Generated: '
+               || strftime(period_end, '%Y-%m-%d %H:%M UTC') || '</p><table>'
+               || '<tr><th>Status</th><th>Count</th><th>Share</th><th></th></tr>' || body
+               || '<tr class="total"><td>Total</td><td>' || total_orders
+               || '</td><td>100%</td><td></td></tr></table></body></html>' AS html
+        FROM s JOIN t USING (period_start)""",
     "orders_lookup": """
         SELECT id, status IS NOT NULL AS found, status, customer_id
         FROM (SELECT DISTINCT CAST(c_custkey * 20 AS VARCHAR) AS id FROM customer)

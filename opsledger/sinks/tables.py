@@ -5,13 +5,17 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opsledger.model import CREATED_DATE
 from opsledger.operators.orders import new_orders
 from opsledger.sources.messages import encode_events
 
 
 def append_orders(requests: DataFrame, path: str, as_of: datetime | None = None) -> None:
-    """Store accepted requests. Publish their events from the stored table only."""
-    new_orders(requests, as_of).write.mode("append").parquet(path)
+    """Store accepted requests by date. Publish their events from the stored table only."""
+    orders = new_orders(requests, as_of)
+    orders.withColumn(CREATED_DATE, F.to_date("created_at")).write.mode("append").partitionBy(
+        CREATED_DATE
+    ).parquet(path)
 
 
 def publish_events(events: DataFrame, path: str) -> None:
@@ -41,8 +45,9 @@ def store_deliveries(deliveries: DataFrame, delivered: str, dead: str) -> None:
 
 
 def append_alerts(states: DataFrame, path: str) -> None:
-    """Alert states with their text, partitioned by alert."""
-    states.write.mode("append").partitionBy("alert").parquet(path)
+    """Alert states with their text, partitioned by date and alert."""
+    dated = states.withColumn("eval_date", F.to_date("eval_ts"))
+    dated.write.mode("append").partitionBy("eval_date", "alert").parquet(path)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:

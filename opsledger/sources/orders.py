@@ -8,6 +8,7 @@ from opsledger.model import ORDERS
 
 
 def read_orders(spark: SparkSession, path: str) -> DataFrame:
+    """Stored orders; a table written by ``append_orders`` also has its date partition."""
     return spark.read.schema(ORDERS).parquet(path)
 
 

@@ -1,10 +1,11 @@
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from opsledger.functions import text
 from opsledger.functions.joins import fits_broadcast, lookup_join
+from opsledger.functions.timegrid import in_range, moment
 from opsledger.functions.workspace import new_folder, shared_folder, stored
 
 
@@ -89,3 +90,20 @@ def test_workspace(spark):
     assert new_folder(spark, "a").startswith(shared_folder(spark))
     kept = stored(spark.range(3), "numbers")
     assert kept.count() == 3 and kept.inputFiles()
+
+
+def test_python_times_are_utc(spark):
+    naive = datetime(2024, 1, 1, 6, 0, 0, 5)
+    ahead = datetime(2024, 1, 1, 8, 0, 0, 5, timezone(timedelta(hours=2)))
+    for value in (naive, ahead, naive.replace(tzinfo=timezone.utc)):
+        assert _one(spark, moment(value).cast("string")) == "2024-01-01 06:00:00.000005"
+
+
+def test_other_session_zones_are_refused(spark):
+    frame = spark.createDataFrame([(datetime(2024, 1, 1),)], "ts timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            in_range(frame, "ts", datetime(2024, 1, 1), datetime(2024, 1, 2))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

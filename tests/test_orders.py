@@ -198,6 +198,18 @@ def test_append_gives_defaults_and_distinct_ids(spark, tmp_path):
     assert {e.payload["order_id"] for e in events} == {r.id for r in rows}
 
 
+def test_stored_orders_are_pruned_by_date(spark, tmp_path, capsys):
+    schema = "customer_id string, product_id string, quantity string, created_at timestamp"
+    days = [("c", "p", "1", datetime(2024, 1, d, 12)) for d in range(1, 11)]
+    append_orders(spark.createDataFrame(days, schema), str(tmp_path / "orders"))
+    stored = read_orders(spark, str(tmp_path / "orders"))
+    period = od.orders_in_period(stored, datetime(2024, 1, 3), datetime(2024, 1, 5))
+    assert sorted(r.created_at.day for r in period.collect()) == [3, 4]
+    assert od.order_summary(stored, 7, datetime(2024, 1, 8)).first().total_orders == 7
+    period.explain("formatted")
+    assert "PartitionFilters: [isnotnull(created_date" in capsys.readouterr().out
+
+
 def test_quality_checks(spark):
     rows = [("a", "c", None, 1, "pending", START), ("a", "c", None, 1, "returned", START),
             ("b", "c", "p", None, None, START)]
