@@ -145,10 +145,11 @@ _VIEWS = {
     "s_quantile": """
         SELECT job, window_start, window_end,
                CASE WHEN le = 'Infinity'::DOUBLE THEN 10.0
-                    ELSE low + (le - low) * (0.95 * total - below) / (cum - below) END AS quantile
+                    ELSE low + (le - low) * ((0.95::DOUBLE * total - below) / (cum - below)) END
+                   AS quantile
         FROM (SELECT *, lag(le, 1, 0.0) OVER w AS low, lag(cum, 1, 0) OVER w AS below
               FROM w_buckets WINDOW w AS (PARTITION BY job, window_end ORDER BY le))
-        WHERE cum >= 0.95 * total AND below < 0.95 * total""",
+        WHERE cum >= 0.95::DOUBLE * total AND below < 0.95::DOUBLE * total""",
     "s_publishing": """
         SELECT job, window_start, window_end,
                count(*) FILTER (kind = 'created') AS created,
