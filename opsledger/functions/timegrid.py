@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 BUCKET = "bucket"
 WINDOW_KEYS = ("window_start", "window_end")
 
+FEW_COPIES = 4
+RANGES_PER_SLOT = 8
+
 
 _UTC = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
 
@@ -55,9 +58,25 @@ def with_bucket(df: DataFrame, ts: str, step_s: int, offset_s: int = 0) -> DataF
     return df.withColumn(BUCKET, floor_to(ts, step_s, offset_s))
 
 
-def expand_buckets(df: DataFrame, range_s: int, step_s: int, offset_s: int = 0) -> DataFrame:
-    """Replace ``bucket`` by each window that contains the whole bucket."""
+def expand_buckets(
+    df: DataFrame,
+    keys: list[str],
+    range_s: int,
+    step_s: int,
+    offset_s: int = 0,
+    clustered: bool = False,
+) -> DataFrame:
+    """Replace ``bucket`` by each window that contains the whole bucket.
+
+    A bucket becomes ``range_s / step_s`` rows. When that is many, neighbouring buckets
+    of a key are brought together first, so that their copies merge in the task that
+    makes them and not after a shuffle of all copies. ``clustered`` says that
+    they are together already, or that the copies are not going to be merged.
+    """
     check_grid(range_s, step_s)
+    if not clustered and range_s // step_s > FEW_COPIES:
+        slot = floor_to(BUCKET, RANGES_PER_SLOT * range_s, offset_s)
+        df = df.withColumn("__slot", slot).repartition(*keys, "__slot").drop("__slot")
     window = F.window(
         BUCKET, f"{range_s} seconds", f"{step_s} seconds", f"{offset_s} seconds"
     )
@@ -86,7 +105,7 @@ def sliding_sums(
         .agg(*[agg.alias(name) for name, agg in counts.items()])
     )
     return (
-        expand_buckets(per_bucket, range_s, step_s, offset_s)
+        expand_buckets(per_bucket, keys, range_s, step_s, offset_s)
         .groupBy(*keys, *WINDOW_KEYS)
         .agg(*[F.sum(name).alias(name) for name in counts])
     )

@@ -24,6 +24,7 @@ STEP_S = 30
 RESTART_RANGE_S = 900
 
 CHUNK_S = 3600
+_CHUNK = "__chunk"
 
 
 def label_counts(df: DataFrame, labels: list[str], name: str = "n") -> DataFrame:
@@ -56,26 +57,33 @@ def counter_deltas(
     value itself when the counter went down, which means it was restarted. The
     first sample of a series has no delta. A series has one sample per time.
     """
+    return _chunked_deltas(samples, series, ts, value, chunk_s).drop(_CHUNK)
+
+
+def _chunked_deltas(
+    samples: DataFrame, series: list[str], ts: str, value: str, chunk_s: int
+) -> DataFrame:
+    """The deltas, partitioned by series and the chunk that each row still names."""
     columns = [*series, ts, value]
-    chunked = samples.select(*columns, floor_to(ts, chunk_s).alias("__chunk"))
-    ends = chunked.groupBy(*series, "__chunk").agg(
+    chunked = samples.select(*columns, floor_to(ts, chunk_s).alias(_CHUNK))
+    ends = chunked.groupBy(*series, _CHUNK).agg(
         F.max(ts).alias(ts), F.max_by(value, ts).alias(value)
     )
-    in_series = Window.partitionBy(*series).orderBy("__chunk")
+    in_series = Window.partitionBy(*series).orderBy(_CHUNK)
     carried = (
-        ends.withColumn("__chunk", F.lead("__chunk").over(in_series))
-        .where("__chunk IS NOT NULL")
-        .select(*columns, "__chunk", F.lit(True).alias("__carried"))
+        ends.withColumn(_CHUNK, F.lead(_CHUNK).over(in_series))
+        .where(f"{_CHUNK} IS NOT NULL")
+        .select(*columns, _CHUNK, F.lit(True).alias("__carried"))
     )
     rows = chunked.withColumn("__carried", F.lit(False)).unionByName(carried)
-    in_chunk = Window.partitionBy(*series, "__chunk").orderBy(ts)
+    in_chunk = Window.partitionBy(*series, _CHUNK).orderBy(ts)
     growth = F.col(value) - F.col("prev_value")
     return (
         rows.withColumn("prev_ts", F.lag(ts).over(in_chunk))
         .withColumn("prev_value", F.lag(value).over(in_chunk))
         .where(~F.col("__carried"))
         .withColumn("delta", F.when(growth < 0, F.col(value)).otherwise(growth))
-        .drop("__carried", "__chunk")
+        .drop("__carried")
     )
 
 
@@ -93,13 +101,14 @@ def counter_increase(
     A delta counts only when both of its samples lie inside the window, and
     nothing is extrapolated to the window's edges. The delta of the first sample
     in a window always reaches out of it, so a window's growth is the sum of
-    its deltas without that first one; both parts merge over step buckets.
+    its deltas without that first one; both parts merge over step buckets. The
+    buckets are made per chunk, where the deltas already are, without a shuffle.
     """
     check_grid(range_s, step_s)
-    deltas = counter_deltas(samples, series, ts, value, chunk_s)
+    deltas = _chunked_deltas(samples, series, ts, value, chunk_s)
     per_bucket = (
         with_bucket(deltas, ts, step_s)
-        .groupBy(*series, BUCKET)
+        .groupBy(*series, _CHUNK, BUCKET)
         .agg(
             F.sum("delta").alias("total"),
             F.min(ts).alias("first_ts"),
@@ -109,7 +118,7 @@ def counter_increase(
     )
     zero = F.lit(0.0)
     return (
-        expand_buckets(per_bucket, range_s, step_s)
+        expand_buckets(per_bucket, series, range_s, step_s, clustered=True)
         .groupBy(*series, *WINDOW_KEYS)
         .agg(
             (

@@ -35,7 +35,7 @@ def latest_sample(
         .agg(F.max_by(value, ts).alias("value"), F.max(ts).alias("sample_ts"))
     )
     return (
-        expand_buckets(per_bucket, range_s, step_s)
+        expand_buckets(per_bucket, series, range_s, step_s)
         .groupBy(*series, *WINDOW_KEYS)
         .agg(F.max_by("value", "sample_ts").alias("value"), F.max("sample_ts").alias("sample_ts"))
     )
@@ -99,7 +99,7 @@ def utilisation(
     )
     mean = F.try_divide(F.sum("total"), F.sum("n"))
     return (
-        expand_buckets(per_bucket, range_s, step_s)
+        expand_buckets(per_bucket, keys, range_s, step_s)
         .groupBy(*keys, *WINDOW_KEYS)
         .agg(mean.alias("utilisation_pct"))
         .withColumn("above_target", F.col("utilisation_pct") > target_pct)

@@ -86,6 +86,21 @@ def histogram_quantile(buckets: DataFrame, keys: list[str], q: float) -> DataFra
     )
 
 
+def quantile_of_counts(q: float, bounds: tuple = LATENCY_BOUNDS) -> Column:
+    """The same quantile from one row that holds all of ``bucket_counts``."""
+    if not 0 <= q <= 1:
+        raise ValueError(f"quantile {q} is outside [0, 1]")
+    total = F.col(f"__b{len(bounds)}")
+    rank = F.lit(float(q)) * total
+    found = F.lit(float(bounds[-1]))
+    for i in reversed(range(len(bounds))):
+        cum, below = F.col(f"__b{i}"), F.col(f"__b{i - 1}") if i else F.lit(0)
+        low = bounds[i - 1] if i else min(0.0, bounds[0])
+        inside = F.coalesce(F.try_divide(rank - below, cum - below), F.lit(0.0))
+        found = F.when(cum >= rank, F.lit(low) + F.lit(bounds[i] - low) * inside).otherwise(found)
+    return F.when(total > 0, found)
+
+
 def latency_quantile(
     df: DataFrame,
     keys: list[str],
@@ -96,6 +111,6 @@ def latency_quantile(
     step_s: int,
     bounds: tuple = LATENCY_BOUNDS,
 ) -> DataFrame:
-    """Quantile per key and window, through the histogram."""
-    buckets = windowed_histogram(df, keys, value, ts, range_s, step_s, bounds)
-    return histogram_quantile(buckets, [*keys, *WINDOW_KEYS], q)
+    """Quantile per key and window, through a histogram that stays in one row."""
+    wide = sliding_sums(df, keys, ts, range_s, step_s, bucket_counts(value, bounds))
+    return wide.select(*keys, *WINDOW_KEYS, quantile_of_counts(q, bounds).alias("quantile"))

@@ -110,8 +110,9 @@ def field_quantile(
     keys = [*by, *WINDOW_KEYS]
     if approximate:
         near = F.percentile_approx("value", q).alias("quantile")
-        return expand_buckets(numbers, range_s, step_s).groupBy(*keys).agg(near)
-    values = expand_buckets(stored(numbers, "field-values"), range_s, step_s)
+        return expand_buckets(numbers, by, range_s, step_s, clustered=True).groupBy(*keys).agg(near)
+    kept = stored(numbers, "field-values")
+    values = expand_buckets(kept, by, range_s, step_s, clustered=True)
     return exact_quantile(values, keys, "value", q)
 
 

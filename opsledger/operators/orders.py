@@ -75,7 +75,7 @@ def sliding_summary(
     )
     names = ["total_orders", *STATUSES]
     return (
-        expand_buckets(per_step, period_s, every_s, anchor_s)
+        expand_buckets(per_step, [], period_s, every_s, anchor_s)
         .groupBy("window_start", "window_end")
         .agg(*[F.sum(name).alias(name) for name in names])
         .select(

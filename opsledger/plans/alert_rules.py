@@ -8,17 +8,12 @@ from pyspark.sql import functions as F
 
 from opsledger.functions.joins import union_all
 from opsledger.functions.text import duration_text, matches_whole, percent_text
-from opsledger.functions.timegrid import WINDOW_KEYS, sliding_sums
+from opsledger.functions.timegrid import sliding_sums
 from opsledger.functions.workspace import stored
 from opsledger.operators.alerts import alert_states
 from opsledger.operators.counters import counter_increase
 from opsledger.operators.gauges import gauge_ratio, latest_sample
-from opsledger.operators.histograms import (
-    bucket_counts,
-    bucket_rows,
-    histogram_quantile,
-    latency_quantile,
-)
+from opsledger.operators.histograms import bucket_counts, latency_quantile, quantile_of_counts
 from opsledger.operators.ratios import SERVER_ERROR, error_ratio, publishing_counts
 
 SERIES = ["alert", "labels"]
@@ -185,15 +180,16 @@ def request_rules(
         "n_errors": F.count_if(matches_whole("status_code", SERVER_ERROR)),
         "n_all": F.count("*"),
     }
-    windows = stored(
-        sliding_sums(requests, labels, "ts", error_rule.range_s, step_s, sums), "request-windows"
+    windows = sliding_sums(requests, labels, "ts", error_rule.range_s, step_s, sums).select(
+        *labels,
+        "window_end",
+        F.try_divide("n_errors", "n_all").alias("ratio"),
+        quantile_of_counts(q).alias("quantile"),
     )
-    keys = [*labels, *WINDOW_KEYS]
-    ratio = windows.withColumn("ratio", F.try_divide("n_errors", "n_all"))
-    quantile = histogram_quantile(bucket_rows(windows.drop("n_errors", "n_all")), keys, q)
+    kept = stored(windows, "request-windows")
     return [
-        evaluations(error_rule, ratio, labels, "ratio"),
-        evaluations(latency_rule, quantile, labels, "quantile"),
+        evaluations(error_rule, kept, labels, "ratio"),
+        evaluations(latency_rule, kept, labels, "quantile"),
     ]
 
 

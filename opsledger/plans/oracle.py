@@ -403,6 +403,8 @@ _QUERIES = {
         FROM fx_requests, bounds GROUP BY ALL""",
     "histogram_quantile": """
         SELECT job, window_start, window_end, round(quantile, 9) AS quantile FROM s_quantile""",
+    "latency_quantile": """
+        SELECT job, window_start, window_end, round(quantile, 9) AS quantile FROM s_quantile""",
     "error_ratio": "SELECT * FROM s_error_ratio",
     "series_cardinality": """
         SELECT 'requests_total' AS metric, count(*) AS n_series

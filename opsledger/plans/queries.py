@@ -324,6 +324,16 @@ def latency_histogram(spark, sf):
 
 @_register
 def histogram_quantile(spark, sf):
+    """From the rows of a windowed histogram, as a bucket series would give them."""
+    buckets = histograms.windowed_histogram(
+        v.fx_requests(_events(spark, sf)), ["job"], "duration_seconds", "ts", RANGE_S, STEP_S
+    )
+    found = histograms.histogram_quantile(buckets, ["job", *WINDOW_KEYS], 0.95)
+    return found.withColumn("quantile", F.round("quantile", 9))
+
+
+@_register
+def latency_quantile(spark, sf):
     found = histograms.latency_quantile(
         v.fx_requests(_events(spark, sf)), ["job"], "duration_seconds", 0.95, "ts", RANGE_S, STEP_S
     )

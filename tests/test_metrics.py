@@ -113,6 +113,18 @@ def test_histogram_quantile(spark, counts, q, expected):
     assert _quantile(spark, counts, q) == expected
 
 
+@pytest.mark.parametrize("q", [0.0, 0.5, 0.95, 1.0])
+def test_both_forms_of_the_quantile_agree(spark, q):
+    rng = random.Random(4)
+    rows = [(k, _at(i), rng.choice([0.001, 0.3, 2.5, 10.0, 50.0, rng.lognormvariate(0, 2)]))
+            for k in "ab" for i in range(0, 2000, 7)] + [("none", _at(0), None)]
+    frame = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
+    long = histograms.histogram_quantile(
+        histograms.windowed_histogram(frame, ["k"], "v", "ts", 300, 30), ["k", "window_start", "window_end"], q)
+    wide = histograms.latency_quantile(frame, ["k"], "v", q, "ts", 300, 30)
+    assert sorted(map(str, long.collect())) == sorted(map(str, wide.collect()))
+
+
 def test_histogram_without_unbounded_bucket_has_no_quantile(spark):
     assert _quantile(spark, (5, 10), 0.5, (1.0, 2.0)) is None
     with pytest.raises(ValueError):
