@@ -392,9 +392,13 @@ _QUERIES = {
     "event_rate": _RATE.format(keys="event_type", n="n", source="fx_events", where="true"),
     "received_vs_processed": """
         SELECT event_type, window_start, window_end,
-               round((count(*) FILTER (delivered) / 21600.0::DOUBLE) / (count(*) / 21600.0::DOUBLE), 9) AS ratio
+               round(count(*) FILTER (delivered) / count(*)::DOUBLE, 9) AS ratio
         FROM fx_attempts JOIN grid ON ts >= window_start AND ts < window_end
         GROUP BY ALL HAVING count(*) FILTER (delivered) > 0""",
+    "published_per_created": """
+        SELECT job, window_start, window_end,
+               round((published / 21600.0::DOUBLE) / (created / 21600.0::DOUBLE), 9) AS ratio
+        FROM s_publishing WHERE published > 0""",
     "request_counts": """
         SELECT method, path, status_code, count(*) AS n FROM fx_requests GROUP BY ALL""",
     "latency_histogram": """

@@ -214,7 +214,8 @@ def routing_rules(spark, sf):
 
 @_register
 def route_events(spark, sf):
-    return ev.route_events(v.fx_events(_events(spark, sf)), *v.rules(spark)).select(
+    found = v.fx_events(_events(spark, sf))
+    return ev.route_events(found, *v.rules(spark), is_small=True).select(
         "event_id", "event_type", "pos", "channel", "template", "retry", "level"
     )
 
@@ -223,7 +224,7 @@ def route_events(spark, sf):
 def notifications(spark, sf):
     """From message text to notification rows, payload included."""
     good = good_messages(decode_messages(v.fx_messages(_events(spark, sf))))
-    return ev.route_events(good, *v.rules(spark)).select(
+    return ev.route_events(good, *v.rules(spark), is_small=True).select(
         "event_id",
         "event_type",
         "pos",
@@ -295,13 +296,28 @@ def event_rate(spark, sf):
 
 @_register
 def received_vs_processed(spark, sf):
+    """Both series come from the same rows, so one pass gives their ratio."""
     attempts = ev.delivery_attempts(v.fx_attempts(_events(spark, sf), spark))
-    on = ["event_type", *WINDOW_KEYS]
+    shares = ratios.windowed_ratio(
+        attempts, ["event_type"], F.col("delivered"), "ts", RANGE_S, STEP_S
+    )
+    return shares.where("n_part > 0").select(
+        "event_type", *WINDOW_KEYS, F.round("ratio", 9).alias("ratio")
+    )
+
+
+@_register
+def published_per_created(spark, sf):
+    """The rate of one series over the rate of another with equal labels."""
+    raw = _events(spark, sf)
+    on = ["job", *WINDOW_KEYS]
 
     def rate(rows):
-        return counters.event_rate(rows, ["event_type"], "ts", RANGE_S, STEP_S)
+        return counters.event_rate(rows, ["job"], "ts", RANGE_S, STEP_S)
 
-    both = ratios.series_ratio(rate(attempts.where("delivered")), rate(attempts), on, "rate")
+    published = rate(v.fx_published(raw).where("kind = 'published'"))
+    created = rate(v.fx_requests(raw).where("method = 'POST'"))
+    both = ratios.series_ratio(published, created, on, "rate")
     return both.select(*on, F.round("ratio", 9).alias("ratio"))
 
 

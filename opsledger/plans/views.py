@@ -139,6 +139,7 @@ def fx_redelivered(events: DataFrame) -> DataFrame:
 
 
 def rules(spark: SparkSession) -> tuple[DataFrame, Column]:
+    """The rules in use; their config is bounded, so no join needs to measure them."""
     return rules_table(spark, NOTIFICATION_RULES), default_channels(NOTIFICATION_RULES)
 
 
@@ -147,15 +148,14 @@ def _attempts_needed() -> Column:
 
 
 def fx_attempts(events: DataFrame, spark: SparkSession) -> DataFrame:
-    routed = route_events(fx_events(events), *rules(spark))
+    routed = route_events(fx_events(events), *rules(spark), is_small=True)
     return routed.withColumn("attempts_needed", _attempts_needed())
 
 
 def fx_deliveries(events: DataFrame, spark: SparkSession) -> DataFrame:
     """One row per event, with its channels not yet exploded."""
-    return with_channels(fx_events(events), *rules(spark)).withColumn(
-        "attempts_needed", _attempts_needed()
-    )
+    events = with_channels(fx_events(events), *rules(spark), is_small=True)
+    return events.withColumn("attempts_needed", _attempts_needed())
 
 
 def _job() -> Column:

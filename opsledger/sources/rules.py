@@ -57,7 +57,12 @@ def _channel(entry: dict) -> tuple:
 
 
 def rules_table(spark: SparkSession, config: dict) -> DataFrame:
-    """One row per event type. A type mapped to ``[]`` keeps its empty array."""
+    """One row per event type. A type mapped to ``[]`` keeps its empty array.
+
+    The config is at most ``MAX_RULES_BYTES`` of text, so the table may be broadcast.
+    """
+    if len(json.dumps(config)) > MAX_RULES_BYTES:
+        raise ValueError(f"the rules exceed {MAX_RULES_BYTES} bytes; keep them in a table")
     handlers = config.get("handlers") or {}
     rows = [
         (event_type, [_channel(entry) for entry in channels])
