@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 
+from opsledger.functions.workspace import stored
 from opsledger.operators.orders import report_document, report_html, report_long
 
 _PERIOD = ["period_start_date", "period_end_date"]
@@ -32,3 +33,10 @@ def write_csv_reports(summaries: DataFrame, path: str) -> None:
 
 def write_html_reports(summaries: DataFrame, path: str) -> None:
     _writer(report_html(summaries)).text(path)
+
+
+def write_reports(summaries: DataFrame, path: str) -> None:
+    """JSON and CSV of the same summaries, which are computed only once."""
+    kept = stored(summaries, "summaries")
+    write_json_reports(kept, f"{path}/json")
+    write_csv_reports(kept, f"{path}/csv")
