@@ -405,6 +405,23 @@ _QUERIES = {
         SELECT method, path, le, count(*) FILTER (duration_seconds <= le) AS cum_count,
                count(*) AS observations, round(sum(duration_seconds), 4) AS observed_sum
         FROM fx_requests, bounds GROUP BY ALL""",
+    "metrics_text": """
+        WITH h AS (
+            SELECT 'method="' || method || '",path="' || path || '"' AS labels, * FROM fx_requests)
+        SELECT 'requests_total{' || labels || ',status_code="' || status_code || '"} ' || count(*) AS line
+        FROM h GROUP BY labels, status_code
+        UNION ALL
+        SELECT 'request_duration_seconds_bucket{' || labels || ',le="'
+               || CASE le WHEN 'Infinity'::DOUBLE THEN '+Inf'
+                          WHEN 1 THEN '1' WHEN 5 THEN '5' WHEN 10 THEN '10'
+                          ELSE CAST(le AS VARCHAR) END
+               || '"} ' || count(*) FILTER (duration_seconds <= le)
+        FROM h, bounds GROUP BY labels, le
+        UNION ALL
+        SELECT 'request_duration_seconds_sum{' || labels || '} '
+               || CAST(round(sum(duration_seconds)) AS BIGINT) FROM h GROUP BY labels
+        UNION ALL
+        SELECT 'request_duration_seconds_count{' || labels || '} ' || count(*) FROM h GROUP BY labels""",
     "histogram_quantile": """
         SELECT job, window_start, window_end, round(quantile, 9) AS quantile FROM s_quantile""",
     "latency_quantile": """

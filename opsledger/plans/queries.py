@@ -23,6 +23,7 @@ from opsledger.operators import (
 )
 from opsledger.plans import alert_rules as ar
 from opsledger.plans import views as v
+from opsledger.sinks.exposition import counter_lines, histogram_lines
 from opsledger.sources import logs as log_source
 from opsledger.sources.messages import (
     dead_letters,
@@ -338,6 +339,24 @@ def latency_histogram(spark, sf):
     ).withColumn("observed_sum", F.round("observed_sum", 4))
 
 
+@_register
+def metrics_text(spark, sf):
+    """Request counters and latency buckets in the text form."""
+    requests = v.fx_requests(_events(spark, sf))
+    labels = ["method", "path", "status_code"]
+    counts = counters.label_counts(requests, labels)
+    histogram = histograms.latency_histogram(requests, labels[:2], "duration_seconds")
+    kinds = [
+        counter_lines(counts, "requests_total", labels),
+        histogram_lines(
+            histogram.withColumn("observed_sum", F.round("observed_sum")),
+            "request_duration_seconds",
+            labels[:2],
+        ),
+    ]
+    return union_all(kinds)
+
+
 @_register
 def histogram_quantile(spark, sf):
     """From the rows of a windowed histogram, as a bucket series would give them."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from opsledger.functions.text import log_line
 from opsledger.operators.events import route_events, with_channels
+from opsledger.sinks.exposition import sample_line
 from opsledger.sources.messages import encode_events
 from opsledger.sources.rules import NOTIFICATION_RULES, default_channels, rules_table
 
@@ -204,15 +205,8 @@ def fx_counter(events: DataFrame) -> DataFrame:
 
 
 def fx_scrape(events: DataFrame) -> DataFrame:
-    return fx_counter(events).select(
-        "ts",
-        F.format_string(
-            'requests_total{job="%s",status_code="%s"} %d',
-            "job",
-            "status_code",
-            F.col("value").cast("bigint"),
-        ).alias("line"),
-    )
+    line = sample_line("requests_total", ["job", "status_code"], F.col("value"))
+    return fx_counter(events).select("ts", line.alias("line"))
 
 
 def fx_gauge(events: DataFrame) -> DataFrame:

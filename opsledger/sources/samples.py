@@ -1,6 +1,6 @@
 """Metric samples in the text exposition format."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The shape of a sample line, `name{a="x",b="y"} 42 [timestamp]`.
@@ -8,6 +8,24 @@ SAMPLE_LINE = r'^([a-zA-Z_:][a-zA-Z0-9_:]*)(\{.*\})?\s+(\S+)(?:\s+(-?\d+))?\s*$'
 LABEL = r'([a-zA-Z_][a-zA-Z0-9_]*)="((?:[^"\\]|\\.)*)"'
 
 
+def read_scrapes(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of stored scrapes, each file being one scrape at the time it was written."""
+    return spark.read.text(path).select(
+        F.col("_metadata.file_modification_time").alias("ts"), F.col("value").alias("line")
+    )
+
+
+def _unescape(text: Column) -> Column:
+    """Undo escapes; cutting at double backslashes keeps them apart from the others."""
+    parts = F.transform(
+        F.split(text, r"\\\\"),
+        lambda part: F.replace(
+            F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit('\\"'), F.lit('"')
+        ),
+    )
+    return F.array_join(parts, "\\")
+
+
 def parse_samples(lines: DataFrame, line: str = "line") -> DataFrame:
     """Replace ``line`` by ``metric``, ``labels`` and ``value``.
 
@@ -15,14 +33,7 @@ def parse_samples(lines: DataFrame, line: str = "line") -> DataFrame:
     """
     labels = F.regexp_extract(line, SAMPLE_LINE, 2)
     names = F.regexp_extract_all(labels, F.lit(LABEL), 1)
-    values = F.transform(
-        F.regexp_extract_all(labels, F.lit(LABEL), 2),
-        lambda v: F.replace(
-            F.replace(F.replace(v, F.lit("\\n"), F.lit("\n")), F.lit('\\"'), F.lit('"')),
-            F.lit("\\\\"),
-            F.lit("\\"),
-        ),
-    )
+    values = F.transform(F.regexp_extract_all(labels, F.lit(LABEL), 2), _unescape)
     return (
         lines.where(F.col(line).rlike(SAMPLE_LINE))
         .withColumn("metric", F.regexp_extract(line, SAMPLE_LINE, 1))

@@ -6,7 +6,8 @@ from datetime import datetime, timedelta
 import pytest
 
 from opsledger.operators import counters, gauges, histograms, ratios
-from opsledger.sources.samples import parse_samples
+from opsledger.sinks.exposition import counter_lines, histogram_lines
+from opsledger.sources.samples import parse_samples, read_scrapes
 
 T0 = datetime(2024, 1, 1)
 COUNTER = "s string, ts timestamp_ntz, value double"
@@ -195,3 +196,22 @@ def test_sample_text(spark):
     assert [rows[i].value for i in (0, 1, 2)] == [142.0, 1500.0, 1.0]
     assert rows[3].value != rows[3].value and rows[4].value == float("inf")
     assert rows[2].labels == {}
+
+
+def test_text_form_reads_back(spark, tmp_path):
+    rows = [('a,"b"\\n\n}', "x", 3.0), ("", None, 2.5)]
+    counts = spark.createDataFrame(rows, "p string, q string, n double")
+    lines = counter_lines(counts, "m_total", ["p", "q"])
+    lines.write.text(str(tmp_path / "scrape"))
+    found = parse_samples(read_scrapes(spark, str(tmp_path / "scrape")))
+    assert {(r.labels["p"], r.labels["q"]): r.value for r in found.collect()} == {
+        (rows[0][0], "x"): 3.0, ("", ""): 2.5}
+    assert found.where("ts IS NULL").count() == 0
+
+
+def test_text_form_of_a_histogram(spark):
+    frame = spark.createDataFrame([("k", 0.3), ("k", 11.0)], "k string, v double")
+    lines = {r.line for r in histogram_lines(histograms.latency_histogram(frame, ["k"], "v"), "d", ["k"]).collect()}
+    assert len(lines) == 14
+    assert {'d_bucket{k="k",le="0.5"} 1', 'd_bucket{k="k",le="+Inf"} 2', 'd_bucket{k="k",le="10"} 1',
+            'd_sum{k="k"} 11.3', 'd_count{k="k"} 2'} <= lines
