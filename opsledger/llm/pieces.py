@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 
 SPACE = "▁"
 LONG = 4000
-KEPT_WORDS = 600_000
-_CHUNK = 2_000_000
+KEPT_WORDS = 300_000
+_CHUNK = 1_000_000
 _NONE = np.int32(2**31 - 1)
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsledger.llm import mixing, pieces, warc
+from opsledger.llm import covertree, jaccard, mixing, pieces, quality, secret_scan, templates, topk, warc
 from opsledger.llm.ship import ship
 
 
@@ -11,6 +11,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(
+        _table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
+    )
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return quality.digests(documents, _table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return jaccard.near_duplicates(documents).drop("row")
+
+
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.digests(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "source", "text")
     rows = documents.select(
@@ -22,6 +46,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages", "page_id", "url", "html")
     archives = warc.write_archives(pages)
@@ -40,7 +68,13 @@ def registry():
     return {
         name: _shipped(query)
         for name, query in {
+            "op1_secrets": op1_secrets,
+            "op2_neardup": op2_neardup,
+            "op3_quality": op3_quality,
+            "op5_jaccard": op5_jaccard,
+            "op6_html": op6_html,
             "op7_mixing": op7_mixing,
+            "op8_topk": op8_topk,
             "op9_warc": op9_warc,
             "op10_sentencepiece": op10_sentencepiece,
         }.items()
@@ -56,8 +90,70 @@ def _shipped(query):
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": _MIXING, "op9_warc": _WARC}
+    return {
+        "op2_neardup": _NEARDUP,
+        "op5_jaccard": _JACCARD,
+        "op7_mixing": _MIXING,
+        "op8_topk": _TOPK,
+        "op9_warc": _WARC,
+    }
+
 
+_NEARDUP = """
+WITH RECURSIVE fine AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    AND list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+groups AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN groups g ON g.a = vec_id LEFT JOIN counts c ON c.a = vec_id
+"""
+
+_TOPK = """
+WITH fine AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM fine q JOIN fine c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+_JACCARD = """
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS s FROM worded),
+shingles AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS n, b.n AS m, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.t = b.t AND a.doc_id <> b.doc_id
+    AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+  GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM common WHERE 100 * c >= 75 * (n + m - c)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_id AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM sets JOIN least_id ON a = doc_id
+"""
 
 _MIXING = """
 WITH sized AS (
