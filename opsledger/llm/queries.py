@@ -3,7 +3,18 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsledger.llm import covertree, jaccard, mixing, pieces, quality, secret_scan, templates, topk, warc
+from opsledger.llm import (
+    covertree,
+    jaccard,
+    mixing,
+    pieces,
+    quality,
+    repeats,
+    secret_scan,
+    templates,
+    topk,
+    warc,
+)
 from opsledger.llm.ship import ship
 
 
@@ -26,6 +37,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digests(documents, _table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     return jaccard.near_duplicates(documents).drop("row")
@@ -71,6 +86,7 @@ def registry():
             "op1_secrets": op1_secrets,
             "op2_neardup": op2_neardup,
             "op3_quality": op3_quality,
+            "op4_repeats": op4_repeats,
             "op5_jaccard": op5_jaccard,
             "op6_html": op6_html,
             "op7_mixing": op7_mixing,
@@ -92,6 +108,7 @@ def _shipped(query):
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_neardup": _NEARDUP,
+        "op4_repeats": _REPEATS,
         "op5_jaccard": _JACCARD,
         "op7_mixing": _MIXING,
         "op8_topk": _TOPK,
@@ -133,6 +150,27 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+_REPEATS = """
+WITH worded AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS MATERIALIZED (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS t
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM worded)),
+late AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS k FROM windows)
+  WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM late),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM worded),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM words
+  WHERE (doc_id, i) NOT IN (SELECT doc_id, i FROM gone) GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM worded w LEFT JOIN kept k ON k.doc_id = w.doc_id LEFT JOIN counts c ON c.doc_id = w.doc_id
+"""
+
 _JACCARD = """
 WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all(
