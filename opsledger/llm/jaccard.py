@@ -239,7 +239,10 @@ def _other_pairs(groups, postings, pivots, checked, roots) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``doc_id``, ``row``, ``n_shingles`` and ``component_id`` of each row."""
+    """``doc_id``, ``row``, ``n_shingles``, ``component_id`` and ``group`` of each row.
+
+    ``group`` names the component and is null for rows without a set.
+    """
     rows = rows_with_keys(documents)
     signed = stored(_signatures(rows, width), "shingle-rows")
     counts = _counts(rows, width)
@@ -275,7 +278,34 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     final = components(links).select(F.col("node").alias("key"), "root")
     joined = classes.select("key", "least").join(final, "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = joined.join(smallest, "root").select("key", "component_id")
+    named = joined.join(smallest, "root").select("key", "component_id", F.col("root").alias("group"))
     out = signed.withColumn("key", F.when(F.col("n") > 0, F.col("key"))).join(named, "key", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "row", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return out.select(
+        "doc_id", "row", F.col("n").alias("n_shingles"), component.alias("component_id"), "group"
+    )
+
+
+def one_of_each_group(documents: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``documents`` with one row of each group of near-duplicates: the smallest id, null last.
+
+    Rows without a set stay. Of rows equal in id and text any one stays.
+    """
+    found = stored(near_duplicates(documents, width), "shingle-found")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    leads = found.filter("group IS NOT NULL").groupBy("group").agg(F.min(order).alias("lead"))
+    marked = found.join(leads, "group")
+    late = marked.filter("row <> lead.row").select(F.col("row").alias("__row")).distinct()
+    again = (
+        marked.filter("row = lead.row")
+        .groupBy(F.col("row").alias("__row"))
+        .agg(F.count("*").alias("__n"))
+        .filter("__n > 1")
+        .drop("__n")
+    )
+    name = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    kept = lookup_join(documents.withColumn("__row", name), late, ["__row"], "left_anti")
+    if not again.isEmpty():
+        repeated = lookup_join(kept, again, ["__row"], "left_semi").dropDuplicates(["__row"])
+        kept = lookup_join(kept, again, ["__row"], "left_anti").unionByName(repeated)
+    return kept.drop("__row").select(documents.columns)

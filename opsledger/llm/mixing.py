@@ -146,6 +146,12 @@ def sample(rows: DataFrame, key: Column, weights, cap, seed) -> DataFrame:
     )
 
 
+def mixed_rows(df: DataFrame, **options) -> DataFrame:
+    """The rows of ``df`` that the mix takes, each as often as it is taken."""
+    taken = mix(df, **options).filter("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
+
+
 def _plain(rows: DataFrame) -> list[Column]:
     """Columns of ``row`` that can be hashed, to order rows that share a key."""
     fields = rows.schema["row"].dataType.fields

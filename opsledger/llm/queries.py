@@ -43,7 +43,7 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
-    return jaccard.near_duplicates(documents).drop("row")
+    return jaccard.near_duplicates(documents).drop("row", "group")
 
 
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,8 +57,9 @@ def search(
         vector, lambda x: F.floor(x.cast("double") * float(SCALE)).cast("long")
     )
     rows = vectors.filter(finite(F.col(vector))).select(F.col(key).alias("id"), numbers.alias("x"))
-    asked = rows.filter(F.col("id").isNotNull() & F.coalesce(is_query, F.lit(False))).distinct()
-    sizes = rows.agg(F.count("*").alias("n")).crossJoin(asked.agg(F.count("*").alias("q"))).first()
+    wanted = F.col("id").isNotNull() & F.coalesce(is_query, F.lit(False))
+    asked = rows.filter(wanted).distinct()
+    sizes = rows.agg(F.count("*").alias("n"), F.count_if(wanted).alias("q")).first()
     blocks = max(1, -(-sizes["n"] // block))
     query_blocks = max(1, -(-sizes["q"] // query_block))
     place = F.xxhash64("id", "x")
