@@ -16,9 +16,9 @@ Texts are lower-cased (A-Z) and cut into words; a set holds the distinct runs of
    candidates are verified on whole sets. This joins large groups of near copies in a
    number of pairs linear in their size.
 5. Pairs of groups that still lie in different components and share a posting, expanded to
-   members, are all the candidates that remain. Size bounds and the triangle
-   inequality of the Jaccard distance, through the verified pairs with the pivot, remove what
-   cannot link; the rest is verified. So every link between components is found.
+   members, are all the candidates that remain. Sizes, the places of the shared shingle and the
+   triangle inequality of the Jaccard distance, through the verified pairs with the pivot, remove
+   what cannot link; the rest is verified. So every link between components is found.
 
 Null and empty texts and texts without words have no set and link with nothing; a text
 of fewer words is one shingle. Repeated rows and equal ids are rows of their own;
@@ -138,26 +138,38 @@ def _prefix_length(n: int, percent: int = PERCENT) -> int:
 
 
 def _groups(sets: DataFrame, counts: DataFrame) -> DataFrame:
-    """``key``, ``n``, ``prefix`` (postings only) and ``group`` of each class that has a posting."""
+    """``key``, ``n``, ``prefix`` (postings: token, place) and ``group`` of classes with postings."""
     shared = counts.filter("NOT unique").select(F.col("id").alias("token"), F.col("n").alias("c"))
     counted = sets.select("key", F.explode("counted").alias("token")).join(shared, "token")
     lists = counted.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("common"))
     room = F.expr(f"n - ((n * {PERCENT} + 99) div 100) + 1")
     joined = sets.select("key", "n", F.size("counted").alias("s"), "others").join(lists, "key", "left")
     common = F.coalesce(F.transform("common", lambda t: t["token"]), F.array().cast("array<long>"))
-    left = F.greatest(room - (F.col("s") - F.size(common)), F.lit(0)).cast("int")
-    prefix = F.concat(F.slice(common, F.lit(1), left), "others")
+    joined = joined.withColumn("tokens", common).withColumn("lone", F.col("s") - F.size("tokens"))
+    # unique shingles come first; places count them
+    ahead = F.transform("tokens", lambda t, i: F.struct(t.alias("token"), (F.col("lone") + i).alias("at")))
+    rest = F.transform("others", lambda t, i: F.struct(t.alias("token"), (F.col("s") + i).alias("at")))
+    left = F.greatest(room - F.col("lone"), F.lit(0)).cast("int")
+    prefix = F.concat(F.slice(ahead, F.lit(1), left), rest)
     out = joined.select("key", "n", prefix.alias("prefix")).filter(F.size("prefix") > 0).distinct()
     return stored(out.withColumn("group", F.xxhash64("prefix", "n")), "shingle-groups")
 
 
-def _compatible(n1: str, n2: str) -> F.Column:
-    return F.expr(f"100 * least({n1}, {n2}) >= {PERCENT} * greatest({n1}, {n2})")
+def _can_link(n1: str, at1: str, n2: str, at2: str):
+    """Could sets of these sizes link if their first common shingle has these places?
+
+    The intersection is then at most what lies behind, and must reach
+    PERCENT / (100 + PERCENT) of both sizes together.
+    """
+    return F.expr(
+        f"{100 + PERCENT} * least({n1} - {at1}, {n2} - {at2}) >= {PERCENT} * ({n1} + {n2})"
+    )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``a``, ``b``, their distance ``d`` and whether they link."""
-    narrow = sets.select("key", "n", "tokens")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    narrow = lookup_join(sets.select("key", "n", "tokens"), wanted, ["key"], "left_semi")
     one = narrow.toDF("a", "na", "ta")
     two = narrow.toDF("b", "nb", "tb")
 
@@ -187,7 +199,8 @@ def _first_pairs(groups: DataFrame, postings: DataFrame, pivots: DataFrame) -> D
     """Each member with the first of its group, each group with the pivot of its postings."""
     within = groups.join(groups.groupBy("group").agg(F.min("key").alias("b")), "group")
     within = within.filter("key <> b").select(F.col("key").alias("a"), "b")
-    across = postings.join(pivots, "token").filter("first <> pivot").filter(_compatible("n", "pivot_n"))
+    across = postings.join(pivots, "token").filter("first <> pivot")
+    across = across.filter(_can_link("n", "at", "pivot_n", "pivot_at"))
     across = across.select(F.col("first").alias("a"), F.col("pivot").alias("b"))
     return within.unionByName(across).distinct()
 
@@ -204,14 +217,14 @@ def _other_pairs(groups, postings, pivots, checked, roots) -> DataFrame:
     rows = rows.withColumn("d", F.when(F.col("first") == F.col("pivot"), 0.0).otherwise(F.col("d")))
     lone = F.col("m") == 1
     rows = rows.select(
-        "token", "group", "root", "n",
+        "token", "group", "root", "n", "at",
         F.coalesce(F.when(lone, F.col("d")), F.lit(0.0)).alias("lo"),
         F.coalesce(F.when(lone, F.col("d")), F.lit(1.0)).alias("hi"),
     )
     mixed = rows.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
     rows = stored(rows.join(mixed.select("token"), "token"), "shingle-mixed")
     parts = rows.groupBy("token", "root").agg(
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("n").alias("least"), F.max("n").alias("most")
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("at")).alias("rest")
     )
     most = 1 - PERCENT / 100 + 1e-9
 
@@ -219,14 +232,14 @@ def _other_pairs(groups, postings, pivots, checked, roots) -> DataFrame:
         return df.select("token", *(F.col(c).alias(f"{c}{k}") for c in df.columns if c != "token"))
 
     near = (F.col("lo1") - F.col("hi2") <= most) & (F.col("lo2") - F.col("hi1") <= most)
-    sizes = F.expr(f"100 * most1 >= {PERCENT} * least2 AND 100 * most2 >= {PERCENT} * least1")
+    sizes = F.expr(f"{100 + PERCENT} * least(rest1, rest2) >= {PERCENT} * (least1 + least2)")
     kept = side(parts, 1).join(side(parts, 2), "token").filter("root1 < root2").filter(near).filter(sizes)
     kept = kept.select("token", "root1", "root2")
     pairs = (
         kept.join(side(rows, 1), ["token", "root1"])
         .join(side(rows, 2), ["token", "root2"])
         .filter(near)
-        .filter(_compatible("n1", "n2"))
+        .filter(_can_link("n1", "at1", "n2", "at2"))
         .select("group1", "root1", "group2", "root2")
         .distinct()
     )
@@ -261,12 +274,14 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
         F.min("key").alias("first"), F.first("n").alias("n"),
         F.first("prefix").alias("prefix"), F.count("*").alias("m"),
     )
-    postings = firsts.select("group", "first", "n", "m", F.explode("prefix").alias("token"))
+    postings = firsts.select("group", "first", "n", "m", F.inline("prefix"))
     sizes = postings.groupBy("token").agg(
-        F.sum("m").alias("c"), F.min(F.struct("first", "n")).alias("p")
+        F.sum("m").alias("c"), F.min(F.struct("first", "n", "at")).alias("p")
     )
     pivots = stored(
-        sizes.filter("c > 1").select("token", F.col("p.first").alias("pivot"), F.col("p.n").alias("pivot_n")),
+        sizes.filter("c > 1").select(
+            "token", F.col("p.first").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.at").alias("pivot_at")
+        ),
         "shingle-pivots",
     )
     checked = _verified(stored(_first_pairs(groups, postings, pivots), "shingle-candidates"), sets)
