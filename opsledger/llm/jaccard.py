@@ -12,9 +12,9 @@ Texts are lower-cased (A-Z) and cut into words; a set holds the distinct runs of
    one more than the shingles that a partner may lack. Unique shingles take room in a prefix but
    need no posting.
 4. Classes with the same prefix and size are one group. In each posting list the groups
-   are compared to one pivot, and in each group the members to one member;
-   candidates are verified on whole sets. This joins large groups of near copies in a
-   number of pairs linear in their size.
+   are compared to one pivot, then those still apart to ``TURNS`` - 1 others, and in each group the
+   members to one member; candidates are verified on whole sets. This joins large groups of
+   near copies in a number of pairs linear in their size.
 5. Pairs of groups that still lie in different components and share a posting, expanded to
    members, are all the candidates that remain. Sizes, the places of the shared shingle and the
    triangle inequality of the Jaccard distance, through the verified pairs with the pivot, remove
@@ -40,7 +40,8 @@ from opsledger.llm.words import WordHashes, shingle_set, split_words
 
 WIDTH = 5
 PERCENT = 75
-_PART, _PARTS = 5, 16  # the counted part of all shingles; must exceed 1 - PERCENT / 100
+TURNS = 2
+_PART, _PARTS = 8, 16  # the counted part of all shingles; must exceed 1 - PERCENT / 100
 
 
 def _counted(tokens: np.ndarray) -> np.ndarray:
@@ -90,8 +91,8 @@ def _signatures(rows: DataFrame, width: int) -> DataFrame:
 
 
 def _counts(rows: DataFrame, width: int) -> DataFrame:
-    """Counted shingles: (``unique``, ``id``, ``n``): how many unique ones the set ``id``
-    has, or in how many texts the shingle ``id`` occurs, if more than one."""
+    """Counted shingles: (``unique``, ``id``, ``n``): how many the set ``id`` has that no other
+    set has, or in how many texts the shingle ``id`` occurs, if in several sets."""
 
     def run(batches):
         for _, sets in _sets(batches, width):
@@ -101,10 +102,14 @@ def _counts(rows: DataFrame, width: int) -> DataFrame:
 
     tokens = rows.select("text").mapInArrow(run, "key long, tokens array<long>")
     each = tokens.select("key", F.explode("tokens").alias("token"))
-    counts = each.groupBy("token").agg(F.count("*").alias("c"), F.min("key").alias("key"))
-    unique = F.col("c") == 1
+    counts = each.groupBy("token").agg(
+        F.count("*").alias("c"), F.min("key").alias("key"), F.max("key").alias("last")
+    )
+    unique = F.col("key") == F.col("last")
     marked = counts.select(
-        unique.alias("unique"), F.when(unique, F.col("key")).otherwise(F.col("token")).alias("id"), "c"
+        unique.alias("unique"),
+        F.when(unique, F.col("key")).otherwise(F.col("token")).alias("id"),
+        F.when(unique, F.lit(1)).otherwise(F.col("c")).alias("c"),
     )
     return stored(marked.groupBy("unique", "id").agg(F.sum("c").alias("n")), "shingle-counts")
 
@@ -195,14 +200,45 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _first_pairs(groups: DataFrame, postings: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Each member with the first of its group, each group with the pivot of its postings."""
-    within = groups.join(groups.groupBy("group").agg(F.min("key").alias("b")), "group")
-    within = within.filter("key <> b").select(F.col("key").alias("a"), "b")
+def _pivots(postings: DataFrame, turn: int) -> DataFrame:
+    """One group of each posting list that holds several classes, another one each turn."""
+    order = F.struct(F.xxhash64("first", F.lit(turn)).alias("h"), "first", "n", "at")
+    chosen = postings.groupBy("token").agg(F.sum("m").alias("c"), F.min(order).alias("p"))
+    return stored(
+        chosen.filter("c > 1").select(
+            "token", F.col("p.first").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.at").alias("pivot_at")
+        ),
+        "shingle-pivots",
+    )
+
+
+def _star_pairs(postings: DataFrame, pivots: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Each group with the pivot of its postings, unless they are in one component."""
     across = postings.join(pivots, "token").filter("first <> pivot")
     across = across.filter(_can_link("n", "at", "pivot_n", "pivot_at"))
-    across = across.select(F.col("first").alias("a"), F.col("pivot").alias("b"))
-    return within.unionByName(across).distinct()
+    pairs = across.select(F.col("first").alias("a"), F.col("pivot").alias("b")).distinct()
+    if roots is None:
+        return pairs
+    one, two = roots.toDF("a", "root_a"), roots.toDF("b", "root_b")
+    apart = pairs.join(one, "a", "left").join(two, "b", "left")
+    return apart.filter("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b")
+
+
+def _member_pairs(groups: DataFrame) -> DataFrame:
+    """Each member of a group with the first one."""
+    within = groups.join(groups.groupBy("group").agg(F.min("key").alias("b")), "group")
+    return within.filter("key <> b").select(F.col("key").alias("a"), "b")
+
+
+def _without(pairs: DataFrame, checked: DataFrame) -> DataFrame:
+    known = checked.select("a", "b")
+    known = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return pairs.join(known, ["a", "b"], "left_anti")
+
+
+def _roots(checked: DataFrame) -> DataFrame:
+    found = components(checked.filter("linked").select("a", "b"))
+    return stored(found.select(F.col("node").alias("key"), "root"), "shingle-roots")
 
 
 def _other_pairs(groups, postings, pivots, checked, roots) -> DataFrame:
@@ -211,7 +247,9 @@ def _other_pairs(groups, postings, pivots, checked, roots) -> DataFrame:
     member = member.withColumn("root", F.coalesce("root", "key"))
     units = member.select("group", "root").distinct()
     rows = postings.join(pivots, "token").join(units, "group")
-    distances = checked.select(F.col("a").alias("first"), F.col("b").alias("pivot"), "d")
+    both = checked.select("a", "b", "d")
+    both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
+    distances = both.select(F.col("a").alias("first"), F.col("b").alias("pivot"), "d")
     rows = rows.join(distances, ["first", "pivot"], "left")
     # a group of several members has no one distance
     rows = rows.withColumn("d", F.when(F.col("first") == F.col("pivot"), 0.0).otherwise(F.col("d")))
@@ -224,8 +262,9 @@ def _other_pairs(groups, postings, pivots, checked, roots) -> DataFrame:
     mixed = rows.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
     rows = stored(rows.join(mixed.select("token"), "token"), "shingle-mixed")
     parts = rows.groupBy("token", "root").agg(
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("at")).alias("rest")
-    )
+        F.count("*").alias("size"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.min("n").alias("least"), F.max(F.col("n") - F.col("at")).alias("rest"),
+    )
     most = 1 - PERCENT / 100 + 1e-9
 
     def side(df, k):
@@ -233,7 +272,9 @@ def _other_pairs(groups, postings, pivots, checked, roots) -> DataFrame:
 
     near = (F.col("lo1") - F.col("hi2") <= most) & (F.col("lo2") - F.col("hi1") <= most)
     sizes = F.expr(f"{100 + PERCENT} * least(rest1, rest2) >= {PERCENT} * (least1 + least2)")
-    kept = side(parts, 1).join(side(parts, 2), "token").filter("root1 < root2").filter(near).filter(sizes)
+    # the smaller part of a list is spelt out first
+    smaller = F.expr("root1 <> root2 AND (size1, root1) < (size2, root2)")
+    kept = side(parts, 1).join(side(parts, 2), "token").filter(smaller).filter(near).filter(sizes)
     kept = kept.select("token", "root1", "root2")
     pairs = (
         kept.join(side(rows, 1), ["token", "root1"])
@@ -245,10 +286,8 @@ def _other_pairs(groups, postings, pivots, checked, roots) -> DataFrame:
     )
     one = member.select(F.col("group").alias("group1"), F.col("root").alias("root1"), F.col("key").alias("a"))
     two = member.select(F.col("group").alias("group2"), F.col("root").alias("root2"), F.col("key").alias("b"))
-    expanded = pairs.join(one, ["group1", "root1"]).join(two, ["group2", "root2"]).select("a", "b")
-    known = checked.select("a", "b")
-    known = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return expanded.distinct().join(known, ["a", "b"], "left_anti")
+    expanded = pairs.join(one, ["group1", "root1"]).join(two, ["group2", "root2"])
+    return _without(expanded.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), checked)
 
 
 def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -275,20 +314,15 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
         F.first("prefix").alias("prefix"), F.count("*").alias("m"),
     )
     postings = firsts.select("group", "first", "n", "m", F.inline("prefix"))
-    sizes = postings.groupBy("token").agg(
-        F.sum("m").alias("c"), F.min(F.struct("first", "n", "at")).alias("p")
-    )
-    pivots = stored(
-        sizes.filter("c > 1").select(
-            "token", F.col("p.first").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.at").alias("pivot_at")
-        ),
-        "shingle-pivots",
-    )
-    checked = _verified(stored(_first_pairs(groups, postings, pivots), "shingle-candidates"), sets)
-    roots = components(checked.filter("linked").select("a", "b"))
-    roots = stored(roots.select(F.col("node").alias("key"), "root"), "shingle-roots")
-    others = stored(_other_pairs(groups, postings, pivots, checked, roots), "shingle-candidates")
-    late = _verified(others, sets)
+    postings = stored(postings, "shingle-postings")
+    first_pivots = _pivots(postings, 0)
+    pairs = _member_pairs(groups).unionByName(_star_pairs(postings, first_pivots, None)).distinct()
+    checked = _verified(stored(pairs, "shingle-candidates"), sets)
+    for turn in range(1, TURNS):
+        pairs = _without(_star_pairs(postings, _pivots(postings, turn), _roots(checked)), checked)
+        checked = checked.unionByName(_verified(stored(pairs, "shingle-candidates"), sets))
+    others = _other_pairs(groups, postings, first_pivots, checked, _roots(checked))
+    late = _verified(stored(others, "shingle-candidates"), sets)
     links = checked.unionByName(late).filter("linked").select("a", "b")
     final = components(links).select(F.col("node").alias("key"), "root")
     joined = classes.select("key", "least").join(final, "key", "left").withColumn("root", F.coalesce("root", "key"))
