@@ -17,15 +17,11 @@ def fits_broadcast(
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> bool:
-    """Measure whether ``df`` is small, reading at most ``max_rows + 1`` rows."""
-    size = (
-        df.limit(max_rows + 1)
-        .agg(
-            F.count("*").alias("rows"),
-            F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
-        )
-        .first()
-    )
+    """Measure whether ``df`` is small: counted where its rows are, one row per task."""
+    size = df.agg(
+        F.count("*").alias("rows"),
+        F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
+    ).first()
     return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 

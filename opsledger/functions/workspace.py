@@ -21,9 +21,22 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_made: list[str] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder; never reused, never deleted here."""
-    return f"{shared_folder(spark)}/opsledger/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; it stays until ``drop_intermediates``."""
+    path = f"{shared_folder(spark)}/opsledger/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete what this process has stored in the shared folder; for the end of a job."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(hadoop).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -99,36 +99,47 @@ def counter_increase(
     """Growth of each series in each window that holds two samples or more.
 
     A delta counts only when both of its samples lie inside the window, and
-    nothing is extrapolated to the window's edges. The delta of the first sample
-    in a window always reaches out of it, so a window's growth is the sum of
-    its deltas without that first one; both parts merge over step buckets. The
+    nothing is extrapolated to the window's edges. A step bucket keeps the growth
+    between its own samples apart from the delta of its first one; a window adds the
+    former of all its buckets, and the latter of all but its first bucket. Nothing is
+    subtracted, so small growth after a restart is not lost beside large values. The
     buckets are made per chunk, where the deltas already are, without a shuffle.
     """
     check_grid(range_s, step_s)
     deltas = _chunked_deltas(samples, series, ts, value, chunk_s)
+    inside = F.coalesce(F.col("prev_ts") >= F.col(BUCKET), F.lit(False))
     per_bucket = (
         with_bucket(deltas, ts, step_s)
         .groupBy(*series, _CHUNK, BUCKET)
         .agg(
-            F.sum("delta").alias("total"),
+            F.sum(F.when(inside, F.col("delta"))).alias("inner"),
             F.min(ts).alias("first_ts"),
-            F.min_by("delta", ts).alias("first_delta"),
+            F.min_by(F.when(~inside, F.col("delta")), ts).alias("first_delta"),
             F.count("*").alias("n_samples"),
         )
     )
     zero = F.lit(0.0)
+
+    def added(parts: Column) -> Column:
+        return F.aggregate(parts, zero, lambda total, part: total + F.coalesce(part, zero))
+
+    # One entry per bucket of the window, so the list is as short as range / step; a
+    # bucket that two chunks share has one entry for each.
+    parts = F.sort_array(F.collect_list(F.struct("first_ts", "first_delta", "inner")))
     return (
         expand_buckets(per_bucket, series, range_s, step_s, clustered=True)
         .groupBy(*series, *WINDOW_KEYS)
-        .agg(
+        .agg(parts.alias("parts"), F.sum("n_samples").alias("n_samples"))
+        .where("n_samples >= 2")
+        .withColumn("later", F.slice("parts", F.lit(2), F.size("parts")))
+        .select(
+            *series,
+            *WINDOW_KEYS,
             (
-                F.coalesce(F.sum("total"), zero)
-                - F.coalesce(F.min_by("first_delta", "first_ts"), zero)
+                added(F.transform("later", lambda p: p["first_delta"]))
+                + added(F.transform("parts", lambda p: p["inner"]))
             ).alias("increase"),
-            F.sum("n_samples").alias("n_samples"),
         )
-        .where("n_samples >= 2")
-        .select(*series, *WINDOW_KEYS, "increase")
     )
 
 

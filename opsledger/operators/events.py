@@ -44,21 +44,21 @@ def rule_usage(events: DataFrame, rules: DataFrame, default: Column) -> DataFram
     """Each rule entry, the default included, with the events that reach it.
 
     Events are counted per type before the join, so a common type costs no more
-    than a rare one.
+    than a rare one. The default is listed even if no event reaches it, and apart
+    from a rule that is called ``default``.
     """
     counts = events.groupBy("event_type").agg(F.count("*").alias("n_events"))
-    hits = counts.join(rules, "event_type", "full").withColumn(
-        "rule", F.when(F.col("channels").isNull(), F.lit("default")).otherwise(F.col("event_type"))
+    hits = counts.join(rules, "event_type", "full")
+    named = hits.where("channels IS NOT NULL").select(
+        F.col("event_type").alias("rule"),
+        "channels",
+        F.coalesce("n_events", F.lit(0)).alias("n_events"),
     )
-    entries = (
-        hits.withColumn("channels", F.coalesce("channels", default))
-        .groupBy("rule")
-        .agg(
-            F.first("channels").alias("channels"),
-            F.coalesce(F.sum("n_events"), F.lit(0)).alias("n_events"),
-        )
+    others = hits.where("channels IS NULL").agg(
+        F.coalesce(F.sum("n_events"), F.lit(0)).alias("n_events")
     )
-    return entries.select(
+    rest = others.select(F.lit("default").alias("rule"), default.alias("channels"), "n_events")
+    return named.unionByName(rest).select(
         "rule", F.posexplode("channels").alias("pos", "c"), "n_events"
     ).select(
         "rule",
@@ -86,14 +86,17 @@ def delivery_attempts(deliveries: DataFrame, needed: str = "attempts_needed") ->
     )
 
 
+def is_processed(needed: str = "attempts_needed") -> Column:
+    """Does each of an event's ``channels`` deliver within its attempts?"""
+    return F.forall("channels", lambda c: F.col(needed) <= attempts_allowed(c["retry"]))
+
+
 def message_counts(events: DataFrame, needed: str = "attempts_needed") -> DataFrame:
     """Received, processed and failed events per type.
 
     An event with ``channels`` is processed when each of them delivers in time.
     """
-    processed = F.forall(
-        "channels", lambda c: F.col(needed) <= F.coalesce(c["retry"], F.lit(0)) + 1
-    )
+    processed = is_processed(needed)
     return events.groupBy("event_type").agg(
         F.count("*").alias("received"),
         F.count_if(processed).alias("processed"),
@@ -101,11 +104,16 @@ def message_counts(events: DataFrame, needed: str = "attempts_needed") -> DataFr
     )
 
 
-def first_deliveries(events: DataFrame, key: str = "event_id") -> DataFrame:
-    """One row per key: the smallest of its copies, whatever order they come in."""
+def first_deliveries(events: DataFrame, key: str = "event_id", ts: str = "ts") -> DataFrame:
+    """One row per key: the earliest of its copies, whatever order they come in.
+
+    Copies of one time are told apart by their content, which may hold maps.
+    """
     rest = [c for c in events.columns if c != key]
-    smallest = events.groupBy(key).agg(F.min(F.struct(*rest)).alias("__first"))
-    return smallest.select(key, *[F.col("__first")[c].alias(c) for c in rest])
+    times = [ts] if ts in rest else []
+    order = F.struct(*times, F.to_json(F.struct(*rest)))
+    first = events.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("__first"))
+    return first.select(key, *[F.col("__first")[c].alias(c) for c in rest])
 
 
 def reconcile(orders: DataFrame, event_orders: DataFrame) -> DataFrame:

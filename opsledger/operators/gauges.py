@@ -88,19 +88,25 @@ def utilisation(
     used: str = "value",
     requested: str = "requested",
     target_pct: float = CPU_TARGET_PCT,
+    pod: str = "pod",
 ) -> DataFrame:
-    """Mean of usage over request in percent, and whether it is above the target."""
+    """Mean over pods of usage over request in percent, and whether it is above the target.
+
+    Each pod counts once per window, however often it reports.
+    """
     check_grid(range_s, step_s)
     pct = F.try_divide(used, requested) * 100
     per_bucket = (
         with_bucket(usage, ts, step_s)
-        .groupBy(*keys, BUCKET)
+        .groupBy(*keys, pod, BUCKET)
         .agg(F.sum(pct).alias("total"), F.count(pct).alias("n"))
     )
     mean = F.try_divide(F.sum("total"), F.sum("n"))
     return (
-        expand_buckets(per_bucket, keys, range_s, step_s)
+        expand_buckets(per_bucket, [*keys, pod], range_s, step_s)
+        .groupBy(*keys, pod, *WINDOW_KEYS)
+        .agg(mean.alias("__of_pod"))
         .groupBy(*keys, *WINDOW_KEYS)
-        .agg(mean.alias("utilisation_pct"))
+        .agg(F.avg("__of_pod").alias("utilisation_pct"))
         .withColumn("above_target", F.col("utilisation_pct") > target_pct)
     )

@@ -97,23 +97,25 @@ def field_quantile(
 ) -> DataFrame:
     """Exact quantile of a numeric JSON field per label and sliding window.
 
-    Quantiles do not merge over step buckets, so rows are repeated per window. The
-    lines are parsed once; the numbers are stored, and all later passes read those.
+    Quantiles do not merge over step buckets, but counts of equal values do: values are
+    counted per label and bucket, and only these counts are repeated per window. The
+    lines are parsed once; the counts are stored, and all later passes read those.
     ``approximate`` trades exactness for a single pass that stores nothing.
     """
     check_grid(range_s, step_s)
     numbers = (
         parse_log_json(logs, fields=(field,))
-        .select(*by, F.col(ts).alias(BUCKET), _number(field).alias("value"))
+        .select(*by, floor_to(ts, step_s).alias(BUCKET), _number(field).alias("value"))
         .where("value IS NOT NULL")
     )
     keys = [*by, *WINDOW_KEYS]
     if approximate:
         near = F.percentile_approx("value", q).alias("quantile")
         return expand_buckets(numbers, by, range_s, step_s, clustered=True).groupBy(*keys).agg(near)
-    kept = stored(numbers, "field-values")
+    counted = numbers.groupBy(*by, BUCKET, "value").agg(F.count("*").alias("copies"))
+    kept = stored(counted, "field-values")
     values = expand_buckets(kept, by, range_s, step_s, clustered=True)
-    return exact_quantile(values, keys, "value", q)
+    return exact_quantile(values, keys, "value", q, weight="copies")
 
 
 def tail(logs: DataFrame, order: list[Column], limit: int = MAX_LINES) -> DataFrame:
@@ -148,10 +150,17 @@ def logs_during(
     Each interval is listed under the time slots it touches, so that the join
     has an equality on (labels, slot) and the range check sees only lines of the
     same slot. Both edges of the interval belong to it. The intervals are stored,
-    because they are measured before they are joined.
+    because they are measured before they are joined; only lines between the first start and
+    the last end are read.
     """
+    kept = stored(intervals, "intervals")
+    bounds = kept.agg(F.min("start_ts").alias("a"), F.max("end_ts").alias("b")).first()
+    if bounds["a"] is not None:
+        kind = logs.schema[ts].dataType
+        first, last = (F.lit(bounds[k]).cast(kind) for k in "ab")
+        logs = logs.where((F.col(ts) >= first) & (F.col(ts) <= last))
     listed = (
-        stored(intervals, "intervals")
+        kept
         .withColumn("__first", floor_to("start_ts", slot_s))
         .withColumn("__last", floor_to("end_ts", slot_s))
         .withColumn("__slot", F.explode(F.sequence("__first", "__last", seconds(slot_s))))

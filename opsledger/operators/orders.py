@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsledger.functions import text
+from opsledger.functions.joins import lookup_join
 from opsledger.functions.timegrid import (
     BUCKET,
+    check_utc,
     expand_buckets,
     in_range,
     moment_or_now,
+    seconds,
     with_bucket,
 )
 from opsledger.model import CREATED_DATE, ORDERS, PENDING, STATUSES
@@ -63,7 +66,9 @@ def sliding_summary(
     every_s: int = DAY_S,
     anchor_s: int = 6 * 3600,
 ) -> DataFrame:
-    """The summary of every scheduled run whose period holds an order.
+    """The summary of every scheduled run from the first to the last that holds an order.
+
+    Runs over empty periods in between are listed with zeros.
 
     A run happens every ``every_s`` seconds, ``anchor_s`` after the epoch-aligned
     start (default: daily at 06:00 UTC; weekly on Monday at 06:00 is seven days
@@ -74,8 +79,18 @@ def sliding_summary(
         with_bucket(orders, "created_at", every_s, anchor_s).groupBy(BUCKET).agg(*_counts())
     )
     names = ["total_orders", *STATUSES]
+    counted = expand_buckets(per_step, [], period_s, every_s, anchor_s)
+    every, period = seconds(every_s), seconds(period_s)
+    runs = counted.agg(F.min("window_end").alias("a"), F.max("window_end").alias("b")).select(
+        F.explode(F.sequence("a", "b", every)).alias("window_end")
+    )
+    empty = runs.select(
+        (F.col("window_end") - period).alias("window_start"),
+        "window_end",
+        *[F.lit(0).cast("long").alias(name) for name in names],
+    )
     return (
-        expand_buckets(per_step, [], period_s, every_s, anchor_s)
+        counted.unionByName(empty)
         .groupBy("window_start", "window_end")
         .agg(*[F.sum(name).alias(name) for name in names])
         .select(
@@ -119,6 +134,7 @@ def status_shares(summary: DataFrame, with_other: bool = False) -> DataFrame:
 
 def report_document(summary: DataFrame) -> DataFrame:
     """The fields of the JSON report, plus the dates that name it."""
+    check_utc(summary)
     return summary.select(
         text.iso_timestamp("period_start").alias("period_start"),
         text.iso_timestamp("period_end").alias("period_end"),
@@ -131,6 +147,7 @@ def report_document(summary: DataFrame) -> DataFrame:
 
 def report_long(summary: DataFrame) -> DataFrame:
     """The six ``metric, value`` rows of the CSV report, in order."""
+    check_utc(summary)
     metrics = [
         ("period_start", text.iso_timestamp("period_start")),
         ("period_end", text.iso_timestamp("period_end")),
@@ -186,27 +203,34 @@ def report_html(summary: DataFrame) -> DataFrame:
 def lookup_orders(keys: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per distinct requested ``id``, with ``found``, status and customer.
 
-    Fails when a requested id is stored more than once. Repeated keys and
-    repeated stored ids both collapse before they are shuffled.
+    Fails when a requested id is stored more than once, whichever columns are read.
+    Only orders with a wanted id are aggregated; repeated keys and repeated stored ids
+    collapse before they are shuffled.
     """
     wanted = keys.select("id").distinct()
-    stored = orders.groupBy("id").agg(
+    stored = lookup_join(orders, wanted, ["id"], "left_semi").groupBy("id").agg(
         F.count("*").alias("copies"),
         F.min("status").alias("status"),
         F.min("customer_id").alias("customer_id"),
     )
     matched = wanted.join(stored, "id", "left")
     duplicate = F.raise_error(F.concat(F.lit("more than one order has id "), F.col("id")))
-    found = F.when(F.col("copies") > 1, duplicate.cast("boolean")).otherwise(
-        F.col("copies").isNotNull()
+
+    def single(value: Column, kind: str) -> Column:
+        return F.when(F.col("copies") > 1, duplicate.cast(kind)).otherwise(value)
+
+    return matched.select(
+        "id",
+        single(F.col("copies").isNotNull(), "boolean").alias("found"),
+        single(F.col("status"), "string").alias("status"),
+        single(F.col("customer_id"), "string").alias("customer_id"),
     )
-    return matched.select("id", found.alias("found"), "status", "customer_id")
 
 
 def validate_requests(requests: DataFrame) -> DataFrame:
     """Type the request fields; add ``accepted`` and the ``reason`` for a refusal.
 
-    Zero and negative quantities are accepted.
+    Zero and negative quantities are accepted. ``given_quantity`` is what was asked for.
     """
     quantity = F.col("quantity").try_cast("int")
     reason = (
@@ -216,12 +240,22 @@ def validate_requests(requests: DataFrame) -> DataFrame:
         .when(quantity.isNull(), "quantity not an integer")
     )
     return (
-        requests.withColumn("reason", reason)
+        requests.withColumn("given_quantity", F.col("quantity").cast("string"))
+        .withColumn("reason", reason)
         .withColumn("accepted", F.col("reason").isNull())
         .withColumn("quantity", quantity)
     )
 
 
+def rejected_requests(requests: DataFrame) -> DataFrame:
+    """Requests that are refused, as they were given, and why."""
+    refused = validate_requests(requests).where("NOT accepted")
+    quantity = F.col("given_quantity").alias("quantity")
+    return refused.select(
+        *[quantity if c == "quantity" else F.col(c) for c in requests.columns], "reason"
+    )
+
+
 def new_orders(requests: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Accepted requests as order rows, with defaults for status, time and id.
 

@@ -25,17 +25,23 @@ def exact_quantile(
     small_group: int = SMALL_GROUP,
     accuracy: int = ACCURACY,
     cells: int = CELLS,
+    weight: str | None = None,
 ) -> DataFrame:
     """``quantile`` of the non-null values per key, interpolated linearly.
 
+    ``weight`` names a column that says how often a row's value counts.
+
     Groups are counted first. The result is exact whatever ``small_group``,
     ``accuracy`` and ``cells`` are; they decide how the work is spread. ``df`` is
     read more than once, so it should be a scan with cheap expressions on top.
     """
     if not 0 <= q <= 1:
         raise ValueError(f"quantile {q} is outside [0, 1]")
-    values = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("v"))
-    counts = stored(values.groupBy(*keys).agg(F.count("*").alias("n")), "quantile-counts")
+    copies = F.lit(1) if weight is None else F.col(weight)
+    values = df.where(F.col(value).isNotNull()).select(
+        *keys, F.col(value).alias("v"), copies.cast("long").alias("w")
+    )
+    counts = stored(values.groupBy(*keys).agg(F.sum("w").alias("n")), "quantile-counts")
     large = counts.where(F.col("n") > small_group)
     if large.isEmpty():
         return _of_small_groups(values, keys, q)
@@ -47,7 +53,7 @@ def exact_quantile(
 
 
 def _of_small_groups(values: DataFrame, keys: list[str], q: float) -> DataFrame:
-    return values.groupBy(*keys).agg(F.percentile("v", q).alias("quantile"))
+    return values.groupBy(*keys).agg(F.percentile("v", q, F.col("w")).alias("quantile"))
 
 
 def _of_large_groups(
@@ -59,7 +65,8 @@ def _of_large_groups(
     margin = 2.0 / accuracy
     spread = [max(q - margin, 0.0), min(q + margin, 1.0)]
     target = F.lit(float(q)) * (F.col("n") - 1)
-    sketches = values.groupBy(*keys).agg(F.percentile_approx("v", spread, accuracy).alias("b"))
+    each = values.select(*keys, F.explode(F.array_repeat("v", F.col("w").cast("int"))).alias("v"))
+    sketches = each.groupBy(*keys).agg(F.percentile_approx("v", spread, accuracy).alias("b"))
     brackets = stored(
         sketches.join(counts, keys).select(
             *keys,
@@ -85,7 +92,7 @@ def _of_large_groups(
     wanted = stored(
         placed.groupBy(*keys, "cell")
         .agg(
-            F.count("*").alias("n"),
+            F.sum("w").alias("n"),
             F.max("low_rank").alias("low_rank"),
             F.max("high_rank").alias("high_rank"),
         )
@@ -99,7 +106,7 @@ def _of_large_groups(
     counted = (
         lookup_join(placed, wanted, [*keys, "cell"])
         .groupBy(*keys, "cell", "base", "low_rank", "high_rank", "weight", "v")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("w").alias("n"))
     )
     over_values = Window.partitionBy(*keys, "cell").orderBy("v")
     ranked = counted.withColumn(

@@ -1,28 +1,39 @@
 """Append-only tables: orders, events, notifications, dead letters, alerts."""
 
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsledger.model import CREATED_DATE
-from opsledger.operators.orders import new_orders
+from opsledger.functions.workspace import stored
+from opsledger.operators.orders import new_orders, rejected_requests
 from opsledger.sources.messages import encode_events
 
 
-def append_orders(requests: DataFrame, path: str, as_of: datetime | None = None) -> None:
-    """Store accepted requests by date. Publish their events from the stored table only."""
-    orders = new_orders(requests, as_of)
-    orders.withColumn(CREATED_DATE, F.to_date("created_at")).write.mode("append").partitionBy(
-        CREATED_DATE
-    ).parquet(path)
+def _by_folder(df: DataFrame, *keys: str):
+    """A writer with few files per folder; a large folder is still written by many tasks."""
+    return df.hint("rebalance", *keys).write.partitionBy(*keys)
+
+
+def append_orders(
+    requests: DataFrame, path: str, as_of: datetime | None = None, rejected: str | None = None
+) -> None:
+    """Store accepted requests by date. Publish their events from the stored table only.
+
+    Refused requests go to ``rejected``, by default beside the orders, with the reason.
+    """
+    orders = new_orders(requests, as_of).withColumn(CREATED_DATE, F.to_date("created_at"))
+    _by_folder(orders, CREATED_DATE).mode("append").parquet(path)
+    refused = rejected_requests(requests)
+    refused.write.mode("append").parquet(rejected or f"{path.rstrip('/')}_rejected")
 
 
 def publish_events(events: DataFrame, path: str) -> None:
     """Envelopes as text, in one folder per routing key."""
-    encode_events(events).select("routing_key", F.col("body").alias("value")).write.mode(
-        "append"
-    ).partitionBy("routing_key").text(path)
+    bodies = encode_events(events).select("routing_key", F.col("body").alias("value"))
+    _by_folder(bodies, "routing_key").mode("append").text(path)
 
 
 def publish_event_stream(events: DataFrame, path: str, checkpoint: str):
@@ -38,18 +49,27 @@ def publish_event_stream(events: DataFrame, path: str, checkpoint: str):
     )
 
 
-def store_deliveries(deliveries: DataFrame, delivered: str, dead: str) -> None:
-    """Deliveries that succeeded in one table, those out of attempts in another."""
-    deliveries.where("delivered").write.mode("append").parquet(delivered)
-    deliveries.where("dead_letter").write.mode("append").parquet(dead)
+def store_deliveries(deliveries: DataFrame, delivered: str, dead: str, run: str) -> None:
+    """Deliveries that succeeded in one table, those out of attempts in another.
 
+    Both come from one evaluation. A ``run`` that is repeated replaces what it stored.
+    """
+    once = stored(deliveries, "deliveries")
+    once.where("delivered").write.mode("overwrite").parquet(f"{delivered}/run={run}")
+    once.where("dead_letter").write.mode("overwrite").parquet(f"{dead}/run={run}")
 
-def append_alerts(states: DataFrame, path: str) -> None:
-    """Alert states with their text, partitioned by date and alert."""
+
+def append_alerts(states: DataFrame, path: str, run: str) -> None:
+    """Alert states with their text by date and alert; a repeated ``run`` replaces its own."""
     dated = states.withColumn("eval_date", F.to_date("eval_ts"))
-    dated.write.mode("append").partitionBy("eval_date", "alert").parquet(path)
+    _by_folder(dated, "eval_date", "alert").mode("overwrite").parquet(f"{path}/run={run}")
+
+
+def run_of(checkpoint: str) -> str:
+    """Name of a stream's run: the same when it goes on from its checkpoint, another otherwise."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """One folder per micro-batch: a replayed batch replaces what it wrote before."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def write_batch(df: DataFrame, path: str, batch_id: int, run: str) -> None:
+    """One folder per run and micro-batch: a replayed batch replaces what it wrote before."""
+    df.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")

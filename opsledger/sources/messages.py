@@ -7,27 +7,36 @@ from opsledger.model import DEAD_LETTER_BYTES, UNKNOWN_EVENT
 
 _ENVELOPE = "array<struct<event_type:string,payload:string>>"
 _PAYLOAD = "map<string,string>"
+# White space of JSON; other blanks are part of a text.
+_BLANKS = " \t\n\r"
+_TEXT_PAYLOAD = r'"payload"\s*:\s*"\s*\{'
 
 
-def stream_messages(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
-    """Message files, one body per line; ``max_files`` is the flow control."""
-    return (
-        spark.readStream.option("maxFilesPerTrigger", max_files)
-        .text(path)
-        .withColumnRenamed("value", "body")
-    )
+def stream_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Message files, one body per line.
+
+    ``max_files`` is the flow control: so many files at most per micro-batch. By
+    default a micro-batch takes all that is there, and reads it in parallel.
+    """
+    reader = spark.readStream
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.text(path).withColumnRenamed("value", "body")
 
 
 def stream_messages_kafka(
-    spark: SparkSession, servers: str, topic: str, max_offsets: int = 100_000
+    spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None
 ) -> DataFrame:
     """Message bodies of a Kafka topic; needs the Kafka package on the classpath."""
-    return (
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
-        .option("maxOffsetsPerTrigger", max_offsets)
-        .load()
+    )
+    if max_offsets is not None:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+    return (
+        reader.load()
         .select(
             F.col("key").cast("string").alias("routing_key"),
             F.col("value").cast("string").alias("body"),
@@ -40,17 +49,27 @@ def decode_messages(messages: DataFrame, body: str = "body") -> DataFrame:
     """Add ``decoded``, ``event_type`` and ``payload`` (a map of texts).
 
     A missing or null type becomes ``unknown``, a missing payload an empty map.
-    ``decoded`` is false for anything that is not exactly one JSON object. The
-    body is parsed as the only element of an array, so that text after the
-    object makes the whole body invalid instead of being ignored.
+    ``decoded`` is false for anything that is not exactly one JSON object, and for a
+    payload that is neither missing, null nor an object. The body is parsed as the
+    only element of an array, so that text after the object makes the whole body
+    invalid instead of being ignored.
     """
-    text = F.trim(F.col(body))
-    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), _ENVELOPE)
+    text = F.btrim(F.col(body), F.lit(_BLANKS))
+    parsed = F.from_json(
+        F.concat(F.lit("["), text, F.lit("]")), _ENVELOPE, {"allowSingleQuotes": "false"}
+    )
+    # A text that holds an object reads like one; only such bodies are looked at twice.
+    inner = F.try_variant_get(F.try_parse_json(text), "$.payload", "map<string,variant>")
+    is_object = F.when(text.rlike(_TEXT_PAYLOAD), inner.isNotNull()).otherwise(F.lit(True))
 
     def fields(envelope):
         first = F.try_element_at(envelope, F.lit(1))
         valid = F.coalesce(
-            (F.size(envelope) == 1) & first.isNotNull() & text.endswith("}"), F.lit(False)
+            (F.size(envelope) == 1)
+            & first.isNotNull()
+            & text.endswith("}")
+            & (first["payload"].isNull() | (first["payload"].startswith("{") & is_object)),
+            F.lit(False),
         )
         payload = F.from_json(first["payload"], _PAYLOAD)
         return F.struct(
@@ -68,11 +87,11 @@ def good_messages(decoded: DataFrame, body: str = "body") -> DataFrame:
 
 
 def dead_letters(decoded: DataFrame, body: str = "body") -> DataFrame:
-    """Bodies that could not be decoded, cut to the reported prefix."""
+    """Whole bodies that could not be decoded, and ``body_head``, the part that logs show."""
     return (
         decoded.where("NOT decoded")
         .withColumn("body_head", F.substring(body, 1, DEAD_LETTER_BYTES))
-        .drop("decoded", "event_type", "payload", body)
+        .drop("decoded", "event_type", "payload")
     )
 
 

@@ -3,9 +3,13 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opsledger.functions.timegrid import check_utc
+
 # The shape of a sample line, `name{a="x",b="y"} 42 [timestamp]`.
 SAMPLE_LINE = r'^([a-zA-Z_:][a-zA-Z0-9_:]*)(\{.*\})?\s+(\S+)(?:\s+(-?\d+))?\s*$'
 LABEL = r'([a-zA-Z_][a-zA-Z0-9_]*)="((?:[^"\\]|\\.)*)"'
+_PLAIN_LABEL = r'[a-zA-Z_][a-zA-Z0-9_]*="(?:[^"\\]|\\.)*"'
+LABELS = rf'^(?:\{{\s*(?:{_PLAIN_LABEL}\s*(?:,\s*{_PLAIN_LABEL}\s*)*,?\s*)?\}})?$'
 
 
 def read_scrapes(spark: SparkSession, path: str) -> DataFrame:
@@ -26,18 +30,49 @@ def _unescape(text: Column) -> Column:
     return F.array_join(parts, "\\")
 
 
-def parse_samples(lines: DataFrame, line: str = "line") -> DataFrame:
+def _label_names(line: str) -> Column:
+    return F.regexp_extract_all(F.regexp_extract(line, SAMPLE_LINE, 2), F.lit(LABEL), 1)
+
+
+def _is_sample(line: str) -> Column:
+    """A sample line whose labels are well formed and differ, and whose value is a number."""
+    names = _label_names(line)
+    good = (
+        F.col(line).rlike(SAMPLE_LINE)
+        & F.regexp_extract(line, SAMPLE_LINE, 2).rlike(LABELS)
+        & (F.size(F.array_distinct(names)) == F.size(names))
+        & F.regexp_extract(line, SAMPLE_LINE, 3).try_cast("double").isNotNull()
+    )
+    return F.coalesce(good, F.lit(False))
+
+
+def parse_samples(lines: DataFrame, line: str = "line", ts: str = "ts") -> DataFrame:
     """Replace ``line`` by ``metric``, ``labels`` and ``value``.
 
-    Comment and blank lines are dropped. Escapes in label values are undone.
+    A sample's own time, in milliseconds, replaces ``ts``. Comment and blank lines are
+    dropped; for what else is no sample see ``malformed_samples``. Escapes in label values
+    are undone.
     """
     labels = F.regexp_extract(line, SAMPLE_LINE, 2)
-    names = F.regexp_extract_all(labels, F.lit(LABEL), 1)
+    good = _is_sample(line)
+    # Rows may be parsed before they are filtered, so a bad line must not fail.
+    names = F.when(good, _label_names(line))
     values = F.transform(F.regexp_extract_all(labels, F.lit(LABEL), 2), _unescape)
-    return (
-        lines.where(F.col(line).rlike(SAMPLE_LINE))
+    parsed = (
+        lines.where(good)
         .withColumn("metric", F.regexp_extract(line, SAMPLE_LINE, 1))
         .withColumn("labels", F.map_from_arrays(names, values))
         .withColumn("value", F.regexp_extract(line, SAMPLE_LINE, 3).try_cast("double"))
-        .drop(line)
     )
+    if ts in lines.columns:
+        check_utc(lines)
+        own = F.timestamp_millis(F.regexp_extract(line, SAMPLE_LINE, 4).try_cast("long"))
+        kind = lines.schema[ts].dataType
+        parsed = parsed.withColumn(ts, F.coalesce(own.cast(kind), F.col(ts)))
+    return parsed.drop(line)
+
+
+def malformed_samples(lines: DataFrame, line: str = "line") -> DataFrame:
+    """Lines that are neither samples nor blank nor comments, for a table of their own."""
+    silent = F.col(line).isNull() | F.col(line).rlike(r"^\s*(?:#.*)?$")
+    return lines.where(~silent & ~_is_sample(line))
