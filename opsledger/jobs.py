@@ -1,7 +1,8 @@
 """Command line jobs: the scheduled order report and the notification stream.
 
 ``python -m opsledger.jobs report --orders PATH --output PATH [--days 7] [--as-of TIME]``
-``python -m opsledger.jobs route --messages PATH --output PATH [--rules FILE] [--every TIME]``
+``python -m opsledger.jobs route --messages PATH --output PATH [--rules FILE] [--every TIME]
+[--max-files N]``
 """
 
 import argparse
@@ -10,6 +11,7 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from opsledger.functions.workspace import drop_intermediates
 from opsledger.operators.orders import REPORT_PERIOD_DAYS, order_summary
 from opsledger.sinks.reports import write_reports
 from opsledger.sources.messages import stream_messages
@@ -35,11 +37,15 @@ def route(
     output: str,
     rules: str | None = None,
     every: str | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
-    """Route message files by the rules, once or ``every`` so often."""
+    """Route message files by the rules, once or ``every`` so often.
+
+    ``max_files`` bounds a micro-batch; by default it takes all there is, in parallel.
+    """
     config = load_rules(rules) if rules else NOTIFICATION_RULES
     return route_messages(
-        stream_messages(spark, messages),
+        stream_messages(spark, messages, max_files),
         rules_table(spark, config),
         default_channels(config),
         f"{output}/notifications",
@@ -62,6 +68,7 @@ def main(arguments: list[str] | None = None) -> None:
     routing.add_argument("--output", required=True)
     routing.add_argument("--rules")
     routing.add_argument("--every")
+    routing.add_argument("--max-files", type=int)
     chosen = parser.parse_args(arguments)
 
     spark = (
@@ -72,7 +79,10 @@ def main(arguments: list[str] | None = None) -> None:
     if chosen.job == "report":
         report(spark, chosen.orders, chosen.output, chosen.days, chosen.as_of)
     else:
-        route(spark, chosen.messages, chosen.output, chosen.rules, chosen.every).awaitTermination()
+        route(
+            spark, chosen.messages, chosen.output, chosen.rules, chosen.every, chosen.max_files
+        ).awaitTermination()
+    drop_intermediates(spark)
 
 
 if __name__ == "__main__":

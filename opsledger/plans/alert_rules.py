@@ -33,7 +33,7 @@ class AlertRule:
     description: str
 
 
-# Names, severities, limits, ranges and hold times of the rules.
+# Names, severities, limits, ranges, hold times and summaries of the rules.
 SERVICE_DOWN = AlertRule(
     "ServiceDown", "critical", "=", 0.0, LOOKBACK_S, 60,
     "{job} is down", "The metrics of {job} cannot be read.",
@@ -52,19 +52,20 @@ EVENT_PUBLISHING_FAILING = AlertRule(
 )
 POD_CRASH_LOOPING = AlertRule(
     "PodCrashLooping", "critical", ">", 3.0, 900, 300,
-    "{job} is crash looping", "{job} has restarted {value} times.",
+    "{namespace}/{pod} is crash looping", "{pod} has restarted {value} times.",
 )
 POD_NOT_READY = AlertRule(
     "PodNotReady", "warning", "=", 0.0, LOOKBACK_S, 300,
-    "{job} is not ready", "{job} has not been ready for some time.",
+    "{namespace}/{pod} is not ready", "{pod} has not been ready for some time.",
 )
 CRON_JOB_FAILED = AlertRule(
     "CronJobFailed", "warning", ">", 0.0, LOOKBACK_S, 0,
-    "{job} failed", "The last run of {job} failed.",
+    "{job_name} failed", "The last run of {job_name} failed.",
 )
 VOLUME_FILLING_UP = AlertRule(
     "PersistentVolumeFillingUp", "warning", "<", 0.15, LOOKBACK_S, 300,
-    "{job} is filling up", "{value:percent} of the volume of {job} is free.",
+    "{persistentvolumeclaim} is filling up",
+    "{value:percent} of the volume {persistentvolumeclaim} is free.",
 )
 RULES = (
     SERVICE_DOWN,
@@ -80,14 +81,17 @@ RULES = (
 _PLACEHOLDER = re.compile(r"\{(\w+)(?::(\w+))?\}")
 
 
-def annotation(template: str, value: Column) -> Column:
-    """Text with ``{label}``, ``{value}``, ``{value:percent}`` or ``{value:duration}``."""
+def annotation(template: str, value: Column, labels: list[str]) -> Column:
+    """Text with ``{label}``, ``{value}``, ``{value:percent}`` or ``{value:duration}``.
+
+    A label that the series does not have, or that is null, reads as empty text.
+    """
     parts, end = [], 0
     for found in _PLACEHOLDER.finditer(template):
         parts.append(F.lit(template[end : found.start()]))
         name, style = found.groups()
         if name != "value":
-            shown = F.coalesce(F.col(name).cast("string"), F.lit(""))
+            shown = F.col(name).cast("string") if name in labels else F.lit("")
         elif style == "percent":
             shown = percent_text(value)
         elif style == "duration":
@@ -115,8 +119,8 @@ def evaluations(rule: AlertRule, series: DataFrame, labels: list[str], value: st
         measured.alias("value"),
         F.coalesce(breach, F.lit(False)).alias("breach"),
         F.lit(rule.hold_s).alias("hold_s"),
-        annotation(rule.summary, measured).alias("summary"),
-        annotation(rule.description, measured).alias("description"),
+        annotation(rule.summary, measured, labels).alias("summary"),
+        annotation(rule.description, measured, labels).alias("description"),
     )
 
 

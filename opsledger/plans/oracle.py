@@ -34,12 +34,20 @@ _VIEWS = {
                     WHEN 1 THEN '[1]'
                     WHEN 2 THEN CAST(json_object('payload', payload) AS VARCHAR)
                     WHEN 3 THEN CAST(json_object('event_type', NULL, 'payload', payload) AS VARCHAR)
+                    WHEN 4 THEN chr(9) || CAST(json_object('event_type', event_type, 'payload', payload)
+                                               AS VARCHAR) || ' ' || chr(10)
+                    WHEN 5 THEN '{''event_type'':''order.created''}'
+                    WHEN 6 THEN '{"event_type":"order.created","payload":[1]}'
+                    WHEN 7 THEN '{"event_type":"order.created","payload":"{}"}'
                     ELSE CAST(json_object('event_type', event_type, 'payload', payload) AS VARCHAR)
                END AS body
         FROM (SELECT *, json_object('order_id', order_id, 'customer_id', customer_id) AS payload
               FROM fx_events)""",
     "fx_decoded": """
-        SELECT event_id, ts, body, json_valid(body) AND json_type(TRY_CAST(body AS JSON)) = 'OBJECT' AS good,
+        SELECT event_id, ts, body,
+               json_valid(body) AND json_type(TRY_CAST(body AS JSON)) = 'OBJECT'
+                   AND coalesce(json_type(TRY_CAST(body AS JSON), '$.payload'), 'NULL')
+                       IN ('NULL', 'OBJECT') AS good,
                coalesce(TRY_CAST(body AS JSON) ->> '$.event_type', 'unknown') AS event_type,
                TRY_CAST(body AS JSON) ->> '$.payload.order_id' AS order_id,
                TRY_CAST(body AS JSON) ->> '$.payload.customer_id' AS customer_id
@@ -85,8 +93,13 @@ _VIEWS = {
                      lead(ts) OVER (PARTITION BY job, status_code ORDER BY ts) AS next_ts
               FROM fx_requests)
         WHERE next_ts IS NULL OR date_trunc('hour', next_ts) <> date_trunc('hour', ts)""",
+    "fx_scrape_mixed": """
+        SELECT *, value % 11 = 0 AS broken, value % 13 = 0 AS doubled,
+               CASE WHEN value % 7 = 0 THEN date_trunc('milliseconds', ts) + INTERVAL 1 MINUTE ELSE ts END
+                   AS own_ts
+        FROM fx_counter""",
     "fx_gauge": """
-        SELECT ts, 'svc-' || (user_id % 5) AS job, m.metric,
+        SELECT ts, 'svc-' || (user_id % 5) AS job, 'pod-' || (user_id % 15) AS pod, m.metric,
                CASE m.metric
                     WHEN 'job_failed' THEN CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END
                     WHEN 'volume_available' THEN value
@@ -169,35 +182,74 @@ _VIEWS = {
                a.value / nullif(c.value, 0) AS ratio
         FROM s_latest a JOIN s_latest c USING (job, window_end)
         WHERE a.metric = 'volume_available' AND c.metric = 'volume_capacity'""",
-    "evaluated": """
+    "evaluated_all": """
         SELECT 'HighErrorRate' AS alert, 'critical' AS severity, '{"job":"' || job || '"}' AS labels,
                window_end AS eval_ts, ratio AS value, ratio > 0.2 AS breach, 3 AS hold_h,
-               'High error rate on ' || job AS summary FROM s_error_ratio""",
-    "evaluated_all": """
-        SELECT * FROM evaluated
+               'High error rate on ' || job AS summary,
+               'Server errors are ' || percent_of(ratio) || ' of the requests to ' || job || '.'
+                   AS description
+        FROM s_error_ratio
         UNION ALL
         SELECT 'ServiceDown', 'critical', '{"job":"' || job || '"}', window_end, value, value = 0, 3,
-               job || ' is down' FROM s_latest WHERE metric = 'up'
+               job || ' is down', 'The metrics of ' || job || ' cannot be read.'
+        FROM s_latest WHERE metric = 'up'
         UNION ALL
         SELECT 'HighLatency', 'warning', '{"job":"' || job || '"}', window_end, quantile,
-               quantile > 1.5, 3, 'High p95 latency on ' || job FROM s_quantile
+               quantile > 1.5, 3, 'High p95 latency on ' || job,
+               '95% of the requests to ' || job || ' take up to ' || duration_of(quantile) || '.'
+        FROM s_quantile
         UNION ALL
         SELECT 'EventPublishingFailing', 'critical', '{"job":"' || job || '"}', window_end,
                CASE WHEN published = 0 THEN created ELSE 0 END, created > 0 AND published = 0, 3,
-               job || ' is creating orders but not publishing events' FROM s_publishing
+               job || ' is creating orders but not publishing events',
+               CASE WHEN published = 0 THEN created ELSE 0 END || ' orders led to no event.'
+        FROM s_publishing
         UNION ALL
         SELECT 'PodCrashLooping', 'critical',
-               '{"job":"' || job || '","status_code":"' || status_code || '"}', window_end,
-               increase, increase > 3, 3, job || ' is crash looping' FROM s_increase
+               '{"namespace":"shop","pod":"' || job || '-0","status_code":"' || status_code || '"}',
+               window_end, increase, increase > 3, 3, 'shop/' || job || '-0 is crash looping',
+               job || '-0 has restarted ' || CAST(increase AS BIGINT) || ' times.' FROM s_increase
         UNION ALL
-        SELECT 'PodNotReady', 'warning', '{"job":"' || job || '"}', window_end, value, value = 0, 3,
-               job || ' is not ready' FROM s_latest WHERE metric = 'pod_ready'
+        SELECT 'PodNotReady', 'warning', '{"namespace":"shop","pod":"' || job || '-0"}', window_end,
+               value, value = 0, 3, 'shop/' || job || '-0 is not ready',
+               job || '-0 has not been ready for some time.' FROM s_latest WHERE metric = 'pod_ready'
         UNION ALL
-        SELECT 'CronJobFailed', 'warning', '{"job":"' || job || '"}', window_end, value, value > 0, 0,
-               job || ' failed' FROM s_latest WHERE metric = 'job_failed'
+        SELECT 'CronJobFailed', 'warning', '{"job_name":"report-' || job || '"}', window_end, value,
+               value > 0, 0, 'report-' || job || ' failed',
+               'The last run of report-' || job || ' failed.'
+        FROM s_latest WHERE metric = 'job_failed'
         UNION ALL
-        SELECT 'PersistentVolumeFillingUp', 'warning', '{"job":"' || job || '"}', window_end, ratio,
-               ratio < 0.15, 3, job || ' is filling up' FROM s_volume""",
+        SELECT 'PersistentVolumeFillingUp', 'warning',
+               '{"persistentvolumeclaim":"data-' || job || '"}', window_end, ratio, ratio < 0.15, 3,
+               'data-' || job || ' is filling up',
+               percent_of(ratio) || ' of the volume data-' || job || ' is free.' FROM s_volume""",
+}
+
+_DIGITS = (
+    "regexp_replace(printf('%.3f', CASE WHEN abs({v}) >= 1000 THEN round({v}, 0)"
+    " WHEN abs({v}) >= 100 THEN round({v}, 1) WHEN abs({v}) >= 10 THEN round({v}, 2)"
+    " ELSE round({v}, 3) END), '\\.?0+$', '')"
+)
+_VIEWS["evaluated_all"] = (
+    _VIEWS["evaluated_all"]
+    .replace("percent_of(ratio)", _DIGITS.format(v="(ratio * 100)") + " || '%'")
+    .replace(
+        "duration_of(quantile)",
+        f"CASE WHEN quantile >= 1 THEN {_DIGITS.format(v='quantile')} || 's'"
+        f" ELSE {_DIGITS.format(v='(quantile * 1000)')} || 'ms' END",
+    )
+)
+
+# Each alert query with the rules that it shows.
+_ALERTS = {
+    "service_down": "ServiceDown",
+    "high_error_rate": "HighErrorRate",
+    "high_latency": "HighLatency",
+    "event_publishing_failing": "EventPublishingFailing",
+    "pod_crash_looping": "PodCrashLooping",
+    "pod_not_ready": "PodNotReady",
+    "cron_job_failed": "CronJobFailed",
+    "volume_filling_up": "PersistentVolumeFillingUp",
 }
 
 # Evaluations that breach at consecutive hours share one value of (hour - rank).
@@ -205,7 +257,7 @@ _STATES = """
     SELECT e.alert, e.severity, e.labels, e.eval_ts, round(e.value, 6) AS value, i.active_since,
            CASE WHEN i.active_since IS NULL THEN 'inactive'
                 WHEN e.eval_ts - i.active_since >= e.hold_h * INTERVAL 1 HOUR THEN 'firing'
-                ELSE 'pending' END AS state, e.summary
+                ELSE 'pending' END AS state, e.summary, e.description
     FROM {source} e LEFT JOIN (
         SELECT alert, labels, eval_ts,
                min(eval_ts) OVER (PARTITION BY alert, labels, island) AS active_since
@@ -226,9 +278,12 @@ _SUMMARY = """
 
 
 def _sliding(days: int, every: int, first: str) -> str:
-    """Runs every ``every`` days, counted from ``first``, over the ``days`` before."""
+    """Runs every ``every`` days, counted from ``first``, over the ``days`` before.
+
+    From the first run that holds an order to the last, with those that hold none.
+    """
     return f"""
-    SELECT count(*) AS total_orders,
+    SELECT count(id) AS total_orders,
            count(*) FILTER (status = 'pending') AS pending,
            count(*) FILTER (status = 'confirmed') AS confirmed,
            count(*) FILTER (status = 'cancelled') AS cancelled,
@@ -236,7 +291,9 @@ def _sliding(days: int, every: int, first: str) -> str:
     FROM (SELECT unnest(generate_series(TIMESTAMP '{first}',
                  (SELECT max(o_orderdate) + INTERVAL {days + every} DAY FROM orders),
                  INTERVAL {every} DAY)) AS run)
-    JOIN fx_orders ON created_at >= run - INTERVAL {days} DAY AND created_at < run
+    LEFT JOIN fx_orders ON created_at >= run - INTERVAL {days} DAY AND created_at < run
+    WHERE run > (SELECT min(o_orderdate) FROM orders)
+      AND run - INTERVAL {days} DAY <= (SELECT max(o_orderdate) FROM orders)
     GROUP BY run"""
 
 
@@ -285,9 +342,9 @@ _QUERIES = {
         t AS (
             SELECT period_start, string_agg(
                 '<tr class="' || status || '"><td>' || status || '</td><td>' || n || '</td><td>'
-                || printf('%.1f', round_even(n / total_orders::DOUBLE * 100, 1)) || '%</td>'
+                || printf('%.1f', round_even(n / greatest(total_orders, 1)::DOUBLE * 100, 1)) || '%</td>'
                 || '<td><span class="bar" style="width: '
-                || CAST(round_even(n / total_orders::DOUBLE * 100, 0) AS INTEGER)
+                || CAST(round_even(n / greatest(total_orders, 1)::DOUBLE * 100, 0) AS INTEGER)
                 || '%"></span></td></tr>', '' ORDER BY ordinal) AS body
             FROM r GROUP BY period_start)
         SELECT CAST(period_start AS DATE) AS period_start_date, CAST(period_end AS DATE) AS period_end_date,
@@ -308,6 +365,9 @@ _QUERIES = {
                quantity <> 'x' AS accepted,
                CASE WHEN quantity = 'x' THEN 'quantity not an integer' END AS reason
         FROM fx_order_requests""",
+    "orders_rejected": """
+        SELECT customer_id, product_id, quantity, status, 'quantity not an integer' AS reason
+        FROM fx_order_requests WHERE quantity = 'x'""",
     "orders_append": """
         SELECT customer_id, product_id, CAST(quantity AS INTEGER) AS quantity,
                coalesce(status, 'pending') AS status
@@ -346,7 +406,7 @@ _QUERIES = {
     "events_decode": """
         SELECT event_id, ts, event_type, order_id, customer_id FROM fx_decoded WHERE good""",
     "dead_letter": """
-        SELECT event_id, ts, body[1:200] AS body_head FROM fx_decoded WHERE NOT good""",
+        SELECT event_id, ts, body, body[1:200] AS body_head FROM fx_decoded WHERE NOT good""",
     "routing_rules": """
         SELECT rule, pos, channel, template, retry, level,
                (SELECT count(*) FROM fx_events e
@@ -382,7 +442,7 @@ _QUERIES = {
                delivered, NOT delivered AS dead_letter
         FROM fx_attempts""",
     "events_dedup": """
-        SELECT DISTINCT event_id, ts, event_type, order_id FROM fx_redelivered""",
+        SELECT event_id, ts, event_type, order_id FROM fx_decoded WHERE good""",
     "orders_without_event": """
         SELECT id AS order_id, 'order without event' AS reason, 1::BIGINT AS n_orders, 0::BIGINT AS n_events
         FROM fx_orders WHERE id NOT IN (SELECT order_id FROM fx_events)
@@ -392,9 +452,10 @@ _QUERIES = {
     "event_rate": _RATE.format(keys="event_type", n="n", source="fx_events", where="true"),
     "received_vs_processed": """
         SELECT event_type, window_start, window_end,
-               round(count(*) FILTER (delivered) / count(*)::DOUBLE, 9) AS ratio
-        FROM fx_attempts JOIN grid ON ts >= window_start AND ts < window_end
-        GROUP BY ALL HAVING count(*) FILTER (delivered) > 0""",
+               round(count(*) FILTER (ok) / count(*)::DOUBLE, 9) AS ratio
+        FROM (SELECT event_id, ts, event_type, bool_and(delivered) AS ok FROM fx_attempts GROUP BY ALL)
+        JOIN grid ON ts >= window_start AND ts < window_end
+        GROUP BY event_type, window_start, window_end""",
     "published_per_created": """
         SELECT job, window_start, window_end,
                round((published / 21600.0::DOUBLE) / (created / 21600.0::DOUBLE), 9) AS ratio
@@ -444,7 +505,15 @@ _QUERIES = {
         FROM w_requests GROUP BY ALL
         HAVING count(*) FILTER (status_code = '201') > 0 AND count(*) FILTER (status_code = '500') > 0""",
     "samples_parse": """
-        SELECT ts, 'requests_total' AS metric, job, status_code, value FROM fx_counter""",
+        SELECT own_ts AS ts, 'requests_total' AS metric, job, status_code, value
+        FROM fx_scrape_mixed WHERE NOT broken AND NOT doubled""",
+    "samples_malformed": """
+        SELECT ts, CASE WHEN broken THEN 'requests_total{job="' || job || '",status_code="' || status_code || '"'
+                        ELSE 'requests_total{job="a",job="' || job || '"}' END AS name_and_labels
+        FROM fx_scrape_mixed WHERE broken OR doubled""",
+    "log_lines_escape": """
+        SELECT event_id, 'he said "' || event_type || '"\\ ' || chr(10) || chr(9) || user_id AS message
+        FROM events""",
     "counter_delta": """
         SELECT job, status_code, ts, value,
                lag(ts) OVER w AS prev_ts, lag(value) OVER w AS prev_value,
@@ -457,11 +526,16 @@ _QUERIES = {
     "latest_sample": "SELECT * FROM s_latest",
     "volume_free_ratio": "SELECT * FROM s_volume",
     "cpu_utilisation": """
-        SELECT job, window_start, window_end, round(avg(value / 100.0 * 100), 9) AS utilisation_pct,
-               avg(value / 100.0 * 100) > 70 AS above_target
-        FROM fx_gauge JOIN grid ON ts >= window_start AND ts < window_end
-        WHERE metric = 'cpu_usage' GROUP BY job, window_start, window_end""",
-    "alert_states": _STATES.format(source="evaluated"),
+        SELECT job, window_start, window_end, round(avg(pct), 9) AS utilisation_pct, avg(pct) > 70 AS above_target
+        FROM (SELECT job, pod, window_start, window_end, avg(value / 100.0 * 100) AS pct
+              FROM fx_gauge JOIN grid ON ts >= window_start AND ts < window_end
+              WHERE metric = 'cpu_usage' GROUP BY job, pod, window_start, window_end)
+        GROUP BY job, window_start, window_end""",
+    "alert_states": _STATES.format(source="(SELECT * FROM evaluated_all WHERE alert = 'HighErrorRate')"),
+    **{
+        f"alert_{name}": _STATES.format(source=f"(SELECT * FROM evaluated_all WHERE alert = '{alert}')")
+        for name, alert in _ALERTS.items()
+    },
     "alert_rules": _STATES.format(source="evaluated_all"),
     "log_scan": """
         SELECT ts, uid, 'app' AS container, strftime(ts, '%Y-%m-%d %H:%M:%S,%g') AS time, level,
@@ -518,18 +592,13 @@ _QUERIES = {
                            ELSE 'default' END
         WHERE e.good""",
     "stream_dead_letter": """
-        SELECT event_id, ts, body[1:200] AS body_head FROM fx_decoded WHERE NOT good""",
+        SELECT event_id, ts, body, body[1:200] AS body_head FROM fx_decoded WHERE NOT good""",
     "stream_dedup": "SELECT event_id, ts, event_type FROM fx_events",
-    "stream_event_rate": f"""
-        SELECT * FROM ({_RATE.format(keys="event_type", n="n", source="fx_events", where="true")})
-        WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
-    "stream_error_ratio": """
-        SELECT * FROM s_error_ratio
-        WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
+    "stream_event_rate": _RATE.format(keys="event_type", n="n", source="fx_events", where="true"),
+    "stream_error_ratio": "SELECT * FROM s_error_ratio",
     "stream_alert_states": f"""
         SELECT substr(labels, 9, 5) AS job, eval_ts, value, active_since, state
-        FROM ({_STATES.format(source="evaluated")})
-        WHERE eval_ts <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
+        FROM ({_STATES.format(source="(SELECT * FROM evaluated_all WHERE alert = 'HighErrorRate')")})""",
 }
 
 
@@ -547,9 +616,14 @@ def _used(body: str) -> list[str]:
     return [name for name in names if name in needed]
 
 
+def _once(name: str) -> str:
+    """Series and evaluations are read several times, so they are computed once."""
+    return "MATERIALIZED " if name.startswith(("s_", "w_", "evaluated")) else ""
+
+
 def oracle_sql() -> dict[str, str]:
     statements = {}
     for key, body in _QUERIES.items():
-        views = ", ".join(f"{name} AS ({_VIEWS[name]})" for name in _used(body))
+        views = ", ".join(f"{name} AS {_once(name)}({_VIEWS[name]})" for name in _used(body))
         statements[key] = f"WITH {views} SELECT * FROM ({body})" if views else body
     return statements

@@ -31,7 +31,7 @@ from opsledger.sources.messages import (
     encode_events,
     good_messages,
 )
-from opsledger.sources.samples import parse_samples
+from opsledger.sources.samples import malformed_samples, parse_samples
 from opsledger.streaming import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,6 +127,13 @@ def orders_ingest_valid(spark, sf):
     )
 
 
+@_register
+def orders_rejected(spark, sf):
+    return od.rejected_requests(v.fx_order_requests(spark, sf)).select(
+        "customer_id", "product_id", "quantity", "status", "reason"
+    )
+
+
 @_register
 def orders_append(spark, sf):
     return od.new_orders(v.fx_order_requests(spark, sf)).select(
@@ -274,9 +281,14 @@ def delivery_attempts(spark, sf):
 
 @_register
 def events_dedup(spark, sf):
-    firsts = ev.first_deliveries(v.fx_redelivered(_events(spark, sf)))
-    return firsts.select(
-        "event_id", "ts", "event_type", F.get_json_object("payload", "$.order_id").alias("order_id")
+    """Over decoded messages, payload map included."""
+    decoded = good_messages(decode_messages(v.fx_messages(_events(spark, sf))))
+    copies = decoded.unionByName(decoded.where("event_id % 10 = 0"))
+    return ev.first_deliveries(copies).select(
+        "event_id",
+        "ts",
+        "event_type",
+        F.try_element_at("payload", F.lit("order_id")).alias("order_id"),
     )
 
 
@@ -297,12 +309,12 @@ def event_rate(spark, sf):
 
 @_register
 def received_vs_processed(spark, sf):
-    """Both series come from the same rows, so one pass gives their ratio."""
-    attempts = ev.delivery_attempts(v.fx_attempts(_events(spark, sf), spark))
+    """Messages, not channels; a window in which nothing was processed has ratio 0."""
+    messages = v.fx_deliveries(_events(spark, sf), spark)
     shares = ratios.windowed_ratio(
-        attempts, ["event_type"], F.col("delivered"), "ts", RANGE_S, STEP_S
+        messages, ["event_type"], ev.is_processed(), "ts", RANGE_S, STEP_S
     )
-    return shares.where("n_part > 0").select(
+    return shares.select(
         "event_type", *WINDOW_KEYS, F.round("ratio", 9).alias("ratio")
     )
 
@@ -432,7 +444,8 @@ def created_and_failing(spark, sf):
 
 @_register
 def samples_parse(spark, sf):
-    parsed = parse_samples(v.fx_scrape(_events(spark, sf)))
+    """Some samples have their own time; broken lines are left to ``samples_malformed``."""
+    parsed = parse_samples(v.fx_scrape_mixed(_events(spark, sf)))
     return parsed.select(
         "ts",
         "metric",
@@ -442,6 +455,22 @@ def samples_parse(spark, sf):
     )
 
 
+@_register
+def samples_malformed(spark, sf):
+    bad = malformed_samples(v.fx_scrape_mixed(_events(spark, sf)))
+    return bad.select("ts", F.substring_index("line", " ", 1).alias("name_and_labels"))
+
+
+@_register
+def log_lines_escape(spark, sf):
+    """User text with quotes, backslashes and breaks, written as a log line and read back."""
+    raw = _events(spark, sf)
+    said = F.concat(F.lit('he said "'), F.col("event_type"), F.lit('"\\ \n\t'), F.col("user_id").cast("string"))
+    line = text.log_line(F.col("ts"), F.lit("INFO"), F.lit("src.main"), said)
+    parsed = log_source.parse_log_json(raw.select("event_id", "ts", line.alias("line")))
+    return parsed.select("event_id", "fields.message")
+
+
 _COUNTER = ["job", "status_code"]
 
 
@@ -506,7 +535,7 @@ def _rule(rule: ar.AlertRule, limit: float | None = None, hold_s: int = HOLD_S)
 
 
 def _shown(states: DataFrame) -> DataFrame:
-    """Job as a column, values rounded; the description text is left to the sink."""
+    """All that a stored alert has, values rounded."""
     return states.select(
         "alert",
         "severity",
@@ -516,6 +545,7 @@ def _shown(states: DataFrame) -> DataFrame:
         "active_since",
         "state",
         "summary",
+        "description",
     )
 
 
@@ -530,39 +560,122 @@ def alert_states(spark, sf):
     return _shown(ar.alert_table([_error_rate(spark, sf)], STEP_S))
 
 
+_POD = ["namespace", "pod"]
+
+
+def _with_labels(series: DataFrame) -> DataFrame:
+    """The labels of pods, jobs and volumes, one of each per service."""
+    job = F.col("job")
+    return series.withColumns(
+        {
+            "namespace": F.lit("shop"),
+            "pod": F.concat(job, F.lit("-0")),
+            "job_name": F.concat(F.lit("report-"), job),
+            "persistentvolumeclaim": F.concat(F.lit("data-"), job),
+        }
+    )
+
+
+def _evaluated(spark, sf) -> dict[str, Callable[[], list[DataFrame]]]:
+    """The evaluations of each rule, or of two that share a pass over the requests."""
+    raw = _events(spark, sf)
+
+    def of(metric):
+        gauge = v.fx_gauge(raw).where(F.col("metric") == metric).drop("pod")
+        return _with_labels(gauges.latest_sample(gauge, ["metric", "job"], RANGE_S, STEP_S))
+
+    def volumes():
+        free = gauges.gauge_ratio(
+            v.fx_gauge(raw), ["job"], "volume_available", "volume_capacity", RANGE_S, STEP_S
+        )
+        return _with_labels(free)
+
+    def latest(rule, metric, labels, **options):
+        patterns = options.pop("patterns", {})
+        return lambda: [ar.of_latest(_rule(rule, **options), of(metric), labels, **patterns)]
+
+    def restarts():
+        series = _with_labels(v.fx_counter(raw))
+        return [
+            ar.pod_crash_looping(series, [*_POD, "status_code"], STEP_S, _rule(ar.POD_CRASH_LOOPING))
+        ]
+
+    return {
+        "service_down": latest(ar.SERVICE_DOWN, "up", ["job"], patterns={"job": "svc-.*"}),
+        "high_error_rate": lambda: [_error_rate(spark, sf)],
+        "high_latency": lambda: [
+            ar.high_latency(
+                v.fx_requests(raw), ["job"], STEP_S, _rule(ar.HIGH_LATENCY, LATENCY_LIMIT)
+            )
+        ],
+        "event_publishing_failing": lambda: [
+            ar.event_publishing_failing(
+                v.fx_published(raw), ["job"], STEP_S, _rule(ar.EVENT_PUBLISHING_FAILING)
+            )
+        ],
+        "pod_crash_looping": restarts,
+        "pod_not_ready": latest(ar.POD_NOT_READY, "pod_ready", _POD),
+        "cron_job_failed": latest(ar.CRON_JOB_FAILED, "job_failed", ["job_name"], hold_s=0),
+        "volume_filling_up": lambda: [
+            ar.evaluations(
+                _rule(ar.VOLUME_FILLING_UP), volumes(), ["persistentvolumeclaim"], "ratio"
+            )
+        ],
+    }
+
+
+def _register_rule(name: str) -> None:
+    def query(spark, sf):
+        return _shown(ar.alert_table(_evaluated(spark, sf)[name](), STEP_S))
+
+    query.__name__ = f"alert_{name}"
+    _register(query)
+
+
+RULE_NAMES = (
+    "service_down",
+    "high_error_rate",
+    "high_latency",
+    "event_publishing_failing",
+    "pod_crash_looping",
+    "pod_not_ready",
+    "cron_job_failed",
+    "volume_filling_up",
+)
+for _name in RULE_NAMES:
+    _register_rule(_name)
+
+
 @_register
 def alert_rules(spark, sf):
     """All eight rules, held in one pass; gauges and requests are read once each."""
     raw = _events(spark, sf)
-    by_job = ["job"]
-    latest = stored(
-        gauges.latest_sample(v.fx_gauge(raw), ["metric", "job"], RANGE_S, STEP_S), "latest"
-    )
+    gauge = v.fx_gauge(raw).drop("pod")
+    latest = stored(gauges.latest_sample(gauge, ["metric", "job"], RANGE_S, STEP_S), "latest")
 
     def of(metric):
-        return latest.where(F.col("metric") == metric)
+        return _with_labels(latest.where(F.col("metric") == metric))
 
-    free = gauges.latest_ratio(latest, by_job, "volume_available", "volume_capacity")
+    free = gauges.latest_ratio(latest, ["job"], "volume_available", "volume_capacity")
+    rules = _evaluated(spark, sf)
     return _shown(
         ar.alert_table(
             [
-                ar.of_latest(_rule(ar.SERVICE_DOWN), of("up"), by_job, job="svc-.*"),
+                ar.of_latest(_rule(ar.SERVICE_DOWN), of("up"), ["job"], job="svc-.*"),
                 *ar.request_rules(
                     v.fx_requests(raw),
-                    by_job,
+                    ["job"],
                     STEP_S,
                     _rule(ar.HIGH_ERROR_RATE, ERROR_LIMIT),
                     _rule(ar.HIGH_LATENCY, LATENCY_LIMIT),
                 ),
-                ar.event_publishing_failing(
-                    v.fx_published(raw), by_job, STEP_S, _rule(ar.EVENT_PUBLISHING_FAILING)
-                ),
-                ar.pod_crash_looping(
-                    v.fx_counter(raw), _COUNTER, STEP_S, _rule(ar.POD_CRASH_LOOPING)
+                *rules["event_publishing_failing"](),
+                *rules["pod_crash_looping"](),
+                ar.of_latest(_rule(ar.POD_NOT_READY), of("pod_ready"), _POD),
+                ar.of_latest(_rule(ar.CRON_JOB_FAILED, hold_s=0), of("job_failed"), ["job_name"]),
+                ar.evaluations(
+                    _rule(ar.VOLUME_FILLING_UP), _with_labels(free), ["persistentvolumeclaim"], "ratio"
                 ),
-                ar.of_latest(_rule(ar.POD_NOT_READY), of("pod_ready"), by_job),
-                ar.of_latest(_rule(ar.CRON_JOB_FAILED, hold_s=0), of("job_failed"), by_job),
-                ar.evaluations(_rule(ar.VOLUME_FILLING_UP), free, by_job, "ratio"),
             ],
             STEP_S,
         )
@@ -723,7 +836,7 @@ def stream_dead_letter(spark, sf):
     pipelines.route_messages(
         messages, *v.rules(spark), f"{folder}/sent", f"{folder}/dead", f"{folder}/checkpoint"
     ).awaitTermination()
-    return spark.read.parquet(f"{folder}/dead").select("event_id", "ts", "body_head")
+    return spark.read.parquet(f"{folder}/dead").select("event_id", "ts", "body", "body_head")
 
 
 @_register
@@ -741,49 +854,43 @@ def stream_dedup(spark, sf):
 @_register
 def stream_event_rate(spark, sf):
     folder = new_folder(spark, "stream-rate")
-    found = pipelines.event_rate_stream(
-        v.fx_events(v.stream_table(spark, sf, "events")), ["event_type"], RANGE_S, STEP_S
-    )
-    pipelines.append_stream(found, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    rates = spark.read.parquet(f"{folder}/out")
-    return rates.withColumns({k: F.col(k).cast("timestamp_ntz") for k in WINDOW_KEYS})
+    keys = ["event_type"]
+    events = v.fx_events(v.stream_table(spark, sf, "events"))
+    pipelines.event_rate_stream(
+        events, keys, STEP_S, f"{folder}/buckets", f"{folder}/checkpoint"
+    ).awaitTermination()
+    return pipelines.event_rates(spark.read.parquet(f"{folder}/buckets"), keys, RANGE_S, STEP_S)
 
 
 def _stream_ratios(spark, sf, folder):
     requests = v.fx_requests(v.stream_table(spark, sf, "events"))
-    found = pipelines.error_ratio_stream(requests, ["job"], RANGE_S, STEP_S)
-    pipelines.append_stream(found, f"{folder}/ratios", f"{folder}/ratios-checkpoint").awaitTermination()
-    return spark.read.parquet(f"{folder}/ratios")
+    pipelines.error_ratio_stream(
+        requests, ["job"], STEP_S, f"{folder}/buckets", f"{folder}/checkpoint"
+    ).awaitTermination()
+    return pipelines.error_ratios(spark.read.parquet(f"{folder}/buckets"), ["job"], RANGE_S, STEP_S)
 
 
 @_register
 def stream_error_ratio(spark, sf):
-    """Windows closed by the watermark; the last open ones are held back."""
-    found = _stream_ratios(spark, sf, new_folder(spark, "stream-ratio"))
-    return found.withColumns({k: F.col(k).cast("timestamp_ntz") for k in WINDOW_KEYS})
+    return _stream_ratios(spark, sf, new_folder(spark, "stream-ratio"))
 
 
 @_register
 def stream_alert_states(spark, sf):
-    """The closed windows, read as a stream again and held as state per job."""
+    """The windows of the stream, read as a stream again; states come from all evaluations."""
     folder = new_folder(spark, "stream-alerts")
-    schema = _stream_ratios(spark, sf, folder).schema
-    evaluated = (
-        spark.readStream.schema(schema)
-        .parquet(f"{folder}/ratios")
-        .select(
-            "job",
-            F.col("window_end").alias("eval_ts"),
-            F.col("ratio").alias("value"),
-            (F.col("ratio") > ERROR_LIMIT).alias("breach"),
-        )
-    )
-    states = pipelines.alert_state_stream(evaluated, ["job"], STEP_S, HOLD_S)
-    pipelines.append_stream(states, f"{folder}/states", f"{folder}/states-checkpoint").awaitTermination()
-    return spark.read.parquet(f"{folder}/states").select(
+    shares = _stream_ratios(spark, sf, folder)
+    evaluated = shares.select(
         "job",
-        F.col("eval_ts").cast("timestamp_ntz").alias("eval_ts"),
-        F.round("value", 6).alias("value"),
-        F.col("active_since").cast("timestamp_ntz").alias("active_since"),
-        "state",
-    )
+        F.col("window_end").alias("eval_ts"),
+        F.col("ratio").alias("value"),
+        (F.col("ratio") > ERROR_LIMIT).alias("breach"),
+    )
+    evaluated.write.parquet(f"{folder}/evaluated")
+    stream = spark.readStream.schema(evaluated.schema).parquet(f"{folder}/evaluated")
+    checkpoint = f"{folder}/states-checkpoint"
+    pipelines.alert_state_stream(
+        stream, ["job"], STEP_S, HOLD_S, f"{folder}/alerts", checkpoint
+    ).awaitTermination()
+    states = pipelines.latest_states(spark, f"{folder}/alerts", ["job"], checkpoint)
+    return states.select("job", "eval_ts", F.round("value", 6).alias("value"), "active_since", "state")

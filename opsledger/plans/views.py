@@ -115,7 +115,8 @@ def fx_events(events: DataFrame) -> DataFrame:
 
 
 def fx_messages(events: DataFrame) -> DataFrame:
-    """Encoded events with bad text, a bare array, no type and a null type among them."""
+    """Encoded events, and among them bad text, a bare array, no type, a null type, blanks
+    around the object, single quotes, and payloads that are a list or a text."""
     kind = F.col("event_id") % 50
     typed = fx_events(events).withColumn("event_type", F.when(kind != 3, F.col("event_type")))
     untyped = F.to_json(F.struct("payload"))
@@ -125,6 +126,10 @@ def fx_messages(events: DataFrame) -> DataFrame:
         F.when(kind == 0, "not json {")
         .when(kind == 1, "[1]")
         .when(kind == 2, untyped)
+        .when(kind == 4, F.concat(F.lit("\t"), F.col("body"), F.lit(" \n")))
+        .when(kind == 5, "{'event_type':'order.created'}")
+        .when(kind == 6, '{"event_type":"order.created","payload":[1]}')
+        .when(kind == 7, '{"event_type":"order.created","payload":"{}"}')
         .otherwise(F.col("body"))
         .alias("body"),
     )
@@ -209,6 +214,21 @@ def fx_scrape(events: DataFrame) -> DataFrame:
     return fx_counter(events).select("ts", line.alias("line"))
 
 
+def fx_scrape_mixed(events: DataFrame) -> DataFrame:
+    """Scrapes in which some samples have a time of their own and some lines are broken."""
+    line = sample_line("requests_total", ["job", "status_code"], F.col("value"))
+    own = F.unix_millis(F.col("ts").cast("timestamp")) + 60_000
+    twice = F.concat(F.lit('requests_total{job="a",job="'), "job", F.lit('"} 1'))
+    return fx_counter(events).select(
+        "ts",
+        F.when(F.col("value") % 11 == 0, F.replace(line, F.lit("}"), F.lit("")))
+        .when(F.col("value") % 13 == 0, twice)
+        .when(F.col("value") % 7 == 0, F.concat(line, F.lit(" "), own.cast("string")))
+        .otherwise(line)
+        .alias("line"),
+    )
+
+
 def fx_gauge(events: DataFrame) -> DataFrame:
     """Six gauges per event, in long form."""
     error = F.col("event_type") == "error"
@@ -224,7 +244,8 @@ def fx_gauge(events: DataFrame) -> DataFrame:
     lines = F.array(
         *[F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, v in gauges.items()]
     )
-    return events.select("ts", _job().alias("job"), F.inline(lines))
+    pod = F.concat(F.lit("pod-"), (F.col("user_id") % 15).cast("string"))
+    return events.select("ts", _job().alias("job"), pod.alias("pod"), F.inline(lines))
 
 
 def fx_pods(spark: SparkSession, sf_dir: str) -> DataFrame:

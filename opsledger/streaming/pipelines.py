@@ -5,24 +5,20 @@ checkpoint when started again. Pass another ``trigger`` to keep them running, an
 call ``stop()`` on the returned query to end them between two micro-batches.
 """
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from opsledger.functions.joins import fits_broadcast
+from opsledger.functions.joins import fits_broadcast, lookup_join
 from opsledger.functions.text import matches_whole
-from opsledger.operators.alerts import FIRING, INACTIVE, PENDING
-from opsledger.operators.events import route_events
+from opsledger.functions.timegrid import BUCKET, WINDOW_KEYS, expand_buckets, with_bucket
+from opsledger.operators.alerts import alert_states
+from opsledger.operators.events import delivery_attempts, route_events
 from opsledger.operators.ratios import SERVER_ERROR
-from opsledger.sinks.tables import write_batch
+from opsledger.sinks.tables import run_of, write_batch
 from opsledger.sources.messages import dead_letters, decode_messages, good_messages
 
-# Our choice: how late a row may come. Later rows do not count.
+# Our choice: how far apart the copies of an event may be.
 LATE_S = 600
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -36,21 +32,31 @@ def route_messages(
     dead: str,
     checkpoint: str,
     trigger: dict | None = None,
+    attempts: Column | None = None,
+    undelivered: str | None = None,
 ) -> StreamingQuery:
     """Decode and route each message; store notifications and undecodable bodies.
 
-    A failed micro-batch is replayed as a whole and replaces its own output, so a
-    message neither gets lost nor is stored twice.
+    ``attempts`` says how many attempts a notification needs; those that need more than their
+    channel allows go to ``undelivered``. A failed micro-batch is replayed as a whole
+    and replaces its own output, so a message neither gets lost nor is stored twice.
     """
-
+    if (attempts is None) != (undelivered is None):
+        raise ValueError("attempts and undelivered belong together")
     is_small = fits_broadcast(rules)
+    run = run_of(checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         decoded = decode_messages(batch).persist()
         try:
             routed = route_events(good_messages(decoded), rules, default, is_small)
-            write_batch(routed, notifications, batch_id)
-            write_batch(dead_letters(decoded), dead, batch_id)
+            if attempts is not None:
+                routed = delivery_attempts(routed.withColumn("attempts_needed", attempts))
+                late = routed.where("dead_letter").drop("delivered", "dead_letter")
+                write_batch(late, undelivered, batch_id, run)
+                routed = routed.where("delivered").drop("delivered", "dead_letter")
+            write_batch(routed, notifications, batch_id, run)
+            write_batch(dead_letters(decoded), dead, batch_id, run)
         finally:
             decoded.unpersist()
 
@@ -68,44 +74,92 @@ def dedup_stream(events: DataFrame, key: str = "event_id", ts: str = "ts", late_
     return timed.withWatermark(ts, f"{late_s} seconds").dropDuplicatesWithinWatermark([key])
 
 
-def _windowed(
-    df: DataFrame, keys: list[str], aggs: list[Column], range_s: int, step_s: int, ts: str, late_s: int
+def rows_behind_watermark(query: StreamingQuery) -> int:
+    """Rows that came later than a stream's watermark allows, in its known progress."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
+def bucket_stream(
+    df: DataFrame,
+    keys: list[str],
+    counts: dict[str, Column],
+    step_s: int,
+    path: str,
+    checkpoint: str,
+    ts: str = "ts",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Additive aggregates per key and step bucket; each micro-batch stores its own part.
+
+    Nothing is held back or dropped: a row counts in its bucket however late it
+    comes, and a replayed micro-batch replaces its part. ``windows_of`` adds the parts.
+    """
+    run = run_of(checkpoint)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        parts = with_bucket(batch, ts, step_s).groupBy(*keys, BUCKET)
+        write_batch(parts.agg(*[agg.alias(name) for name, agg in counts.items()]), path, batch_id, run)
+
+    return (
+        df.writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .start()
+    )
+
+
+def windows_of(
+    buckets: DataFrame, keys: list[str], names: list[str], range_s: int, step_s: int
 ) -> DataFrame:
-    """Aggregates per key and window; a window appears once it is final."""
-    timed = df.withColumn(ts, F.col(ts).cast("timestamp"))
-    window = F.window(ts, f"{range_s} seconds", f"{step_s} seconds")
-    counts = timed.withWatermark(ts, f"{late_s} seconds").groupBy(*keys, window).agg(*aggs)
-    edges = [F.col(f"window.{edge}").alias(f"window_{edge}") for edge in ("start", "end")]
-    values = [c for c in counts.columns if c not in (*keys, "window")]
-    return counts.select(*keys, *edges, *values)
+    """Sliding totals of the stored buckets, up to all that has come so far."""
+    sums = [F.sum(name).alias(name) for name in names]
+    merged = buckets.groupBy(*keys, BUCKET).agg(*sums)
+    return (
+        expand_buckets(merged, keys, range_s, step_s).groupBy(*keys, *WINDOW_KEYS).agg(*sums)
+    )
 
 
 def event_rate_stream(
     events: DataFrame,
     keys: list[str],
-    range_s: int,
     step_s: int,
+    path: str,
+    checkpoint: str,
     ts: str = "ts",
-    late_s: int = LATE_S,
-) -> DataFrame:
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Count rows per key and bucket, for ``event_rates``."""
+    return bucket_stream(events, keys, {"n": F.count("*")}, step_s, path, checkpoint, ts, trigger)
+
+
+def event_rates(buckets: DataFrame, keys: list[str], range_s: int, step_s: int) -> DataFrame:
     """Rows per second, key and window."""
-    counts = _windowed(events, keys, [F.count("*").alias("n")], range_s, step_s, ts, late_s)
+    counts = windows_of(buckets, keys, ["n"], range_s, step_s)
     return counts.withColumn("rate", F.col("n") / range_s)
 
 
 def error_ratio_stream(
     requests: DataFrame,
     keys: list[str],
-    range_s: int,
     step_s: int,
+    path: str,
+    checkpoint: str,
     ts: str = "ts",
-    late_s: int = LATE_S,
-) -> DataFrame:
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Count server errors and requests per key and bucket, for ``error_ratios``."""
+    errors = F.count_if(matches_whole("status_code", SERVER_ERROR))
+    counts = {"n_part": errors, "n_all": F.count("*")}
+    return bucket_stream(requests, keys, counts, step_s, path, checkpoint, ts, trigger)
+
+
+def error_ratios(buckets: DataFrame, keys: list[str], range_s: int, step_s: int) -> DataFrame:
     """Server errors over all requests per key and window."""
-    errors = F.count_if(matches_whole("status_code", SERVER_ERROR)).alias("n_part")
-    counts = _windowed(
-        requests, keys, [errors, F.count("*").alias("n_all")], range_s, step_s, ts, late_s
-    )
+    counts = windows_of(buckets, keys, ["n_part", "n_all"], range_s, step_s)
     return counts.withColumn("ratio", F.try_divide("n_part", "n_all"))
 
 
@@ -124,70 +178,61 @@ def running_counts(
 ) -> StreamingQuery:
     """Labelled counter over a stream: each micro-batch stores the changed totals."""
     counts = events.groupBy(*labels).agg(F.count("*").alias("n"))
+    run = run_of(checkpoint)
     return (
         counts.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id))
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id, run))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or AVAILABLE_NOW))
         .start()
     )
 
 
-_STATE = T.StructType(
-    [T.StructField("active_since", T.TimestampType()), T.StructField("last_eval", T.TimestampType())]
-)
-
-
 def alert_state_stream(
-    evaluations: DataFrame, series: list[str], step_s: int, hold_s: int
-) -> DataFrame:
-    """Alert state of each evaluation, held as state per series.
+    evaluations: DataFrame,
+    series: list[str],
+    step_s: int,
+    hold_s: int,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Alert states of a stream of evaluations, which may come in any order.
 
-    ``evaluations`` has the series columns (text), ``eval_ts``, ``value`` and
-    ``breach``. The state is the start of the current run and the last
-    evaluation, so it does not grow. Evaluations must come in time order from one
-    micro-batch to the next; an evaluation older than the last one is ignored.
+    ``evaluations`` has the series columns, ``eval_ts``, ``value`` and ``breach``. Each
+    micro-batch is stored, and the states of its series are found again from its
+    earliest evaluation on, by the batch operator. So an evaluation that comes late
+    corrects what follows it; ``latest_states`` reads the last word on each.
     """
-    output = T.StructType(
-        [T.StructField(name, T.StringType()) for name in series]
-        + [
-            T.StructField("eval_ts", T.TimestampType()),
-            T.StructField("value", T.DoubleType()),
-            T.StructField("active_since", T.TimestampType()),
-            T.StructField("state", T.StringType()),
-        ]
-    )
-    step, hold = pd.Timedelta(seconds=step_s), pd.Timedelta(seconds=hold_s)
-
-    def advance(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        since, last = state.get if state.exists else (None, None)
-        since = None if since is None or pd.isna(since) else pd.Timestamp(since)
-        last = None if last is None or pd.isna(last) else pd.Timestamp(last)
-        rows = pd.concat(list(batches)).sort_values("eval_ts")
-        out = []
-        for at, value, breach in zip(rows["eval_ts"], rows["value"], rows["breach"]):
-            if last is not None and at <= last:
-                continue
-            if not breach:
-                since = None
-            elif since is None or at - last != step:
-                since = at
-            last = at
-            held = INACTIVE if since is None else FIRING if at - since >= hold else PENDING
-            out.append((*key, at, value, since, held))
-        state.update(
-            (
-                None if since is None else since.to_pydatetime(),
-                None if last is None else last.to_pydatetime(),
-            )
+    run = run_of(checkpoint)
+    columns = [*series, "eval_ts", "value", "breach"]
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        write_batch(batch.select(columns), f"{path}/evaluations", batch_id, run)
+        folder = f"{path}/evaluations/run={run}"
+        known = spark.read.option("basePath", folder).parquet(f"{folder}/batch_id=*")
+        known = known.where(F.col("batch_id") <= batch_id)
+        firsts = known.where(F.col("batch_id") == batch_id).groupBy(*series).agg(
+            F.min("eval_ts").alias("__from")
         )
-        frame = pd.DataFrame(out, columns=output.names)
-        yield frame.assign(active_since=pd.to_datetime(frame["active_since"]))
+        touched = lookup_join(known, firsts, series)
+        last = F.max_by(F.struct("value", "breach", "__from"), "batch_id").alias("e")
+        once = touched.groupBy(*series, "eval_ts").agg(last).select(*series, "eval_ts", "e.*")
+        states = alert_states(once, series, step_s, hold_s).where("eval_ts >= __from")
+        write_batch(states.drop("__from"), f"{path}/states", batch_id, run)
 
     return (
-        evaluations.select(*series, F.col("eval_ts").cast("timestamp"), "value", "breach")
-        .groupBy(*series)
-        .applyInPandasWithState(advance, output, _STATE, "append", GroupStateTimeout.NoTimeout)
+        evaluations.writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .start()
     )
+
+
+def latest_states(spark: SparkSession, path: str, series: list[str], checkpoint: str) -> DataFrame:
+    """The newest state of each evaluation that ``alert_state_stream`` has stored."""
+    states = spark.read.parquet(f"{path}/states/run={run_of(checkpoint)}")
+    values = ["value", "breach", "active_since", "state"]
+    last = F.max_by(F.struct(*values), "batch_id").alias("s")
+    return states.groupBy(*series, "eval_ts").agg(last).select(*series, "eval_ts", "s.*")
