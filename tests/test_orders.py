@@ -145,6 +145,12 @@ def test_sliding_equals_one_summary_per_run(spark):
         assert (r.period_end.hour, r.period_end.minute) == (6, 0)
 
 
+def test_empty_periods_are_listed(spark):
+    orders = _orders(spark, [("pending", datetime(2024, 1, 1)), ("pending", datetime(2024, 1, 31))])
+    totals = [r.total_orders for r in od.sliding_summary(orders).orderBy("period_end").collect()]
+    assert totals == [1] * 7 + [0] * 23 + [1] * 7
+
+
 def test_half_hourly_schedule_over_one_day(spark):
     orders = _orders(spark, [("pending", datetime(2024, 1, 1, 5, 59))])
     runs = od.sliding_summary(orders, od.DAY_S, 1800, 0).collect()
@@ -168,6 +174,8 @@ def test_lookup_of_a_repeated_id_fails(spark):
         od.lookup_orders(spark.createDataFrame([("a",)], "id string"), orders).collect()
     others = spark.createDataFrame([("b",)], "id string")
     assert od.lookup_orders(others, orders).first().found is False
+    with pytest.raises(Exception, match="more than one order has id a"):
+        od.lookup_orders(spark.createDataFrame([("a",)], "id string"), orders).select("status").collect()
 
 
 def test_requests_are_typed_and_refused(spark):
@@ -193,6 +201,8 @@ def test_append_gives_defaults_and_distinct_ids(spark, tmp_path):
     assert sorted(r.status for r in rows) == ["confirmed", "confirmed", "pending", "pending"]
     assert len({r.id for r in rows}) == 4 and all(len(r.id) == 36 for r in rows)
     assert {r.created_at for r in rows} == {START}
+    refused = spark.read.parquet(str(tmp_path / "orders_rejected")).collect()
+    assert [(r.quantity, r.reason) for r in refused] == [("x", "quantity not an integer")] * 2
     events = od.created_events(stored).collect()
     assert {e.event_type for e in events} == {"order.created"}
     assert {e.payload["order_id"] for e in events} == {r.id for r in rows}

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from opsledger.functions.joins import fits_broadcast
 
 QUERIES = contract.queries()
 
@@ -46,6 +47,24 @@ def test_tail_cuts_before_the_shuffle(plan):
     assert text.count("WindowGroupLimit") >= 2 and "TakeOrderedAndProject" in text
 
 
+def test_lookup_filters_by_key_before_it_aggregates(plan):
+    text = plan("orders_lookup")
+    assert text.index("LeftSemi") > 0 and "BroadcastHashJoin LeftSemi" in text
+
+
+def test_size_is_measured_without_gathering_rows(spark, capsys, monkeypatch):
+    plans = []
+    frame = type(spark.range(1))
+    real = frame.first
+    monkeypatch.setattr(frame, "first", lambda self: (plans.append(self._jdf.queryExecution().toString()), real(self))[1])
+    assert fits_broadcast(spark.range(100))
+    assert "Limit" not in plans[0] and "partial_count" in plans[0]
+
+
+def test_quantiles_repeat_counts_not_lines(plan):
+    assert "percentile(v" in plan("log_quantile")
+
+
 def test_samples_are_sorted_per_chunk(plan):
     text = plan("counter_delta")
     assert "__chunk" in text and "Join" not in text

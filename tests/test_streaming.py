@@ -21,9 +21,9 @@ def _write(folder, name, bodies):
     (folder / name).write_text("\n".join(bodies) + "\n")
 
 
-def _route(spark, folder):
+def _route(spark, folder, max_files=None):
     query = pipelines.route_messages(
-        stream_messages(spark, str(folder / "in")),
+        stream_messages(spark, str(folder / "in"), max_files),
         rules_table(spark, NOTIFICATION_RULES),
         default_channels(NOTIFICATION_RULES),
         str(folder / "sent"),
@@ -50,10 +50,10 @@ def test_failed_batch_is_replayed(spark, tmp_path, monkeypatch):
     _write(tmp_path / "in", "1.txt", ['{"event_type":"order.cancelled"}', "broken"])
     real = pipelines.write_batch
 
-    def fail_on_dead(df, path, batch_id):
+    def fail_on_dead(df, path, batch_id, run):
         if path.endswith("dead"):
             raise RuntimeError("sink down")
-        real(df, path, batch_id)
+        real(df, path, batch_id, run)
 
     monkeypatch.setattr(pipelines, "write_batch", fail_on_dead)
     with pytest.raises(Exception, match="sink down"):
@@ -77,35 +77,50 @@ def test_dedup_within_the_watermark(spark, tmp_path):
     assert sorted(r.event_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3]
 
 
-def test_row_later_than_the_watermark_does_not_count(spark, tmp_path):
+def test_late_rows_and_open_windows_count(spark, tmp_path):
     schema = "ts timestamp, job string, status_code string"
 
     def run(rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         requests = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-        ratio = pipelines.error_ratio_stream(requests, ["job"], 300, 300)
-        pipelines.append_stream(ratio, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
-        out = spark.read.parquet(str(tmp_path / "out"))
+        pipelines.error_ratio_stream(
+            requests, ["job"], 300, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+        out = pipelines.error_ratios(spark.read.parquet(str(tmp_path / "out")), ["job"], 300, 300)
         return sorted((r.window_start, r.n_part, r.n_all) for r in out.collect())
 
     minute = timedelta(minutes=1)
-    assert run([(T0, "a", "500"), (T0 + 30 * minute, "a", "200")]) == [(T0, 1, 1)]
-    assert run([(T0 + minute, "a", "500"), (T0 + 60 * minute, "a", "200")]) == [
+    assert run([(T0, "a", "500"), (T0 + 30 * minute, "a", "200")]) == [
         (T0, 1, 1), (T0 + 30 * minute, 0, 1)]
+    assert run([(T0 + minute, "a", "500"), (T0 + 60 * minute, "a", "200")]) == [
+        (T0, 2, 2), (T0 + 30 * minute, 0, 1), (T0 + 60 * minute, 0, 1)]
+
+
+def _stream_states(spark, folder, parts):
+    schema = "job string, eval_ts timestamp, value double, breach boolean"
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(folder / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(folder / "in"))
+        pipelines.alert_state_stream(
+            stream, ["job"], 30, 90, str(folder / "out"), str(folder / "c")).awaitTermination()
+    states = pipelines.latest_states(spark, str(folder / "out"), ["job"], str(folder / "c"))
+    found = {r.eval_ts: (r.active_since, r.state) for r in states.collect()}
+    rows = [row for part in parts for row in part]
+    batch = alerts.alert_states(spark.createDataFrame(rows, schema), ["job"], 30, 90)
+    return found, {r.eval_ts: (r.active_since, r.state) for r in batch.collect()}
 
 
 def test_streamed_alert_state_equals_batch_across_restarts(spark, tmp_path):
     breaches = [True] * 5 + [False] + [True] * 7 + [None, True, True] + [True] * 6
     rows = [("a", T0 + timedelta(seconds=30 * i), float(i), bool(b)) for i, b in enumerate(breaches) if b is not None]
-    schema = "job string, eval_ts timestamp, value double, breach boolean"
-    for part in (rows[:4], rows[4:12], rows[12:]):
-        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-        states = pipelines.alert_state_stream(stream, ["job"], 30, 90)
-        pipelines.append_stream(states, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
-    found = {r.eval_ts: (r.active_since, r.state) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    batch = alerts.alert_states(spark.createDataFrame(rows, schema), ["job"], 30, 90)
-    assert found == {r.eval_ts: (r.active_since, r.state) for r in batch.collect()}
+    found, batch = _stream_states(spark, tmp_path, (rows[:4], rows[4:12], rows[12:]))
+    assert found == batch
+
+
+def test_streamed_alert_state_equals_batch_out_of_order(spark, tmp_path):
+    rows = [("a", T0 + timedelta(seconds=30 * i), float(i), True) for i in range(6)]
+    found, batch = _stream_states(spark, tmp_path, ([rows[0], rows[2]], [rows[1]], [rows[5], rows[3], rows[4]]))
+    assert found == batch
+    assert [s for _, (_, s) in sorted(found.items())] == ["pending"] * 3 + ["firing"] * 3
 
 
 def test_running_counts_end_at_the_totals(spark, sf, tmp_path):
@@ -155,8 +170,45 @@ def test_stop_between_batches_and_go_on(spark, tmp_path):
 def test_flow_control_takes_one_file_per_batch(spark, tmp_path):
     for i in range(3):
         _write(tmp_path / "in", f"{i}.txt", [f'{{"event_type":"{i}"}}'])
+    _route(spark, tmp_path, max_files=1)
+    assert len(list((tmp_path / "sent").glob("run=*/batch_id=*"))) == 3
+
+
+def test_a_new_checkpoint_does_not_replace_stored_batches(spark, tmp_path):
+    _write(tmp_path / "in", "1.txt", ['{"event_type":"a"}'])
     _route(spark, tmp_path)
-    assert len(list((tmp_path / "sent").glob("batch_id=*"))) == 3
+    (tmp_path / "checkpoint").rename(tmp_path / "old")
+    pipelines.route_messages(
+        stream_messages(spark, str(tmp_path / "in")),
+        rules_table(spark, NOTIFICATION_RULES),
+        default_channels(NOTIFICATION_RULES),
+        str(tmp_path / "sent"),
+        str(tmp_path / "dead"),
+        str(tmp_path / "other"),
+    ).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "sent")).count() == 2
+
+
+def test_notifications_out_of_attempts_are_set_aside(spark, tmp_path):
+    bodies = [f'{{"event_type":"order.created","payload":{{"n":"{n}"}}}}' for n in (1, 3, 9)]
+    _write(tmp_path / "in", "1.txt", bodies)
+    pipelines.route_messages(
+        stream_messages(spark, str(tmp_path / "in")),
+        rules_table(spark, NOTIFICATION_RULES),
+        default_channels(NOTIFICATION_RULES),
+        str(tmp_path / "sent"),
+        str(tmp_path / "dead"),
+        str(tmp_path / "c"),
+        attempts=F.try_element_at("payload", F.lit("n")).cast("int"),
+        undelivered=str(tmp_path / "late"),
+    ).awaitTermination()
+
+    def pairs(name):
+        rows = spark.read.parquet(str(tmp_path / name)).collect()
+        return sorted((r.payload["n"], r.channel) for r in rows)
+
+    assert pairs("sent") == [("1", "email"), ("1", "push"), ("3", "email")]
+    assert pairs("late") == [("3", "push"), ("9", "email"), ("9", "push")]
 
 
 def test_log_files_are_enriched_as_they_come(spark, tmp_path):
