@@ -28,6 +28,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -73,10 +74,27 @@ def _words(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, 300):
             part = batch.slice(at, 300)
-            words = [split_words(t) for t in part.column("text").to_pylist()]
+            if "packed" in part.schema.names:
+                unpack = zstandard.ZstdDecompressor().decompress
+                words = [unpack(z).split() for z in part.column("packed").to_pylist()]
+            else:
+                words = [split_words(t) for t in part.column("text").to_pylist()]
             yield part, words, [hashes.of(w) for w in words]
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """``row`` and its text, compressed, so that a join moves less."""
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            packed = [pack((t or "").encode("utf-8", "surrogatepass")) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(packed, pa.binary())], ["row", "packed"])
+
+    return rows.select("row", "text").mapInArrow(run, "row long, packed binary")
+
+
 def _signed(rows: DataFrame) -> DataFrame:
     """``doc_id``, ``row``, ``n_words``, ``n_anchors``, ``sequence`` (a hash) and ``sha``."""
 
@@ -123,7 +141,7 @@ def _edges(rows: DataFrame, known: DataFrame) -> DataFrame:
                 [part.column("place"), _longs(places, np.int32), _longs(edges, np.int64)], ["place", "at", "edges"]
             )
 
-    joined = rows.select("row", "text").join(known, "row").select("text", "place", "unique")
+    joined = _packed(rows).join(known, "row").select("packed", "place", "unique")
     listed = joined.mapInArrow(run, "place long, at array<int>, edges array<long>")
     zipped = listed.select("place", F.explode(F.arrays_zip("edges", "at")).alias("e"))
     return zipped.select(F.col("e.edges").alias("edge"), "place", F.col("e.at").alias("at"))
@@ -182,7 +200,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
                 ["row", "part_removed", "kept", "part_sha"],
             )
 
-    joined = rows.select("row", "text").join(touched, "row").select("row", "text", "unique", "spans")
+    joined = _packed(rows).join(touched, "row").select("row", "packed", "unique", "spans")
     parts = joined.mapInArrow(run, "row long, part_removed long, kept string, part_sha string")
     parts = parts.filter("part_removed > 0").dropDuplicates(["row"])
     out = marked.join(parts, "row", "left")
