@@ -124,38 +124,42 @@ def _unique_anchors(rows: DataFrame) -> DataFrame:
 
     each = rows.select("row", "text").mapInArrow(run, "row long, anchors array<long>")
     each = each.select("row", F.posexplode("anchors").alias("number", "anchor"))
-    counts = each.groupBy("anchor").agg(F.count("*").alias("c"), F.min(F.struct("row", "number")).alias("one"))
-    lone = counts.filter("c = 1").select("one.row", "one.number")
+    counts = each.groupBy("anchor").agg(
+        F.count("*").alias("c"), F.min("row").alias("row"), F.min("number").alias("number")
+    )
+    lone = counts.filter("c = 1").select("row", "number")
     return stored(lone.groupBy("row").agg(F.collect_list("number").alias("unique")), "repeat-unique")
 
 
-def _edges(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Each open window as (``edge``, ``place`` of its document, ``at``)."""
+def _edges(rows: DataFrame, known: DataFrame, bits: int) -> DataFrame:
+    """Each open window as (``edge``, ``spot``): the place of its document, then its own."""
 
     def run(batches):
         for part, _, hashes in _words(batches):
             unique = part.column("unique").to_pylist()
             places = [open_windows(h, np.array(u or [], np.int64)) for h, u in zip(hashes, unique)]
             edges = [window_hashes(h, WINDOW)[p].view(np.int64) for h, p in zip(hashes, places)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("place"), _longs(places, np.int32), _longs(edges, np.int64)], ["place", "at", "edges"]
-            )
+            documents = part.column("place").to_pylist()
+            spots = [(d << bits) + p for d, p in zip(documents, places)]
+            yield pa.RecordBatch.from_arrays([_longs(spots, np.int64), _longs(edges, np.int64)], ["spots", "edges"])
 
     joined = _packed(rows).join(known, "row").select("packed", "place", "unique")
-    listed = joined.mapInArrow(run, "place long, at array<int>, edges array<long>")
-    zipped = listed.select("place", F.explode(F.arrays_zip("edges", "at")).alias("e"))
-    return zipped.select(F.col("e.edges").alias("edge"), "place", F.col("e.at").alias("at"))
+    listed = joined.mapInArrow(run, "spots array<long>, edges array<long>")
+    zipped = listed.select(F.explode(F.arrays_zip("edges", "spots")).alias("e"))
+    return zipped.select(F.col("e.edges").alias("edge"), F.col("e.spots").alias("spot"))
 
 
-def source_paths(edges: DataFrame) -> DataFrame:
+def source_paths(edges: DataFrame, bits: int) -> DataFrame:
     """Nonbranching paths as spans of their sources: ``place``, ``first``, ``last``, ``c``."""
-    sources = edges.groupBy("edge").agg(F.count("*").alias("c"), F.min(F.struct("place", "at")).alias("s"))
-    sources = stored(sources.select("s.place", "s.at", "c"), "repeat-sources")
-    here = sources.select("place", "at", "c", F.lit(True).alias("here"))
-    after = sources.select("place", (F.col("at") + 1).alias("at"), "c", F.lit(True).alias("before"))
-    # a place without a predecessor starts a path; one past a place without a successor ends it
-    met = here.join(after, ["place", "at", "c"], "full_outer").filter("here IS NULL OR before IS NULL")
-    met = stored(met.select("place", "at", "c", F.col("here").isNotNull().alias("starts")), "repeat-ends")
+    sources = edges.groupBy("edge").agg(F.count("*").alias("c"), F.min("spot").alias("spot"))
+    sources = stored(sources.select("spot", "c"), "repeat-sources")
+    here = sources.select("spot", "c", F.lit(True).alias("here"))
+    after = sources.select((F.col("spot") + 1).alias("spot"), "c", F.lit(True).alias("before"))
+    # a spot without a predecessor starts a path; one past a spot without a successor ends it
+    met = here.join(after, ["spot", "c"], "full_outer").filter("here IS NULL OR before IS NULL")
+    place = F.shiftright("spot", bits).alias("place")
+    at = F.col("spot").bitwiseAND((1 << bits) - 1).alias("at")
+    met = stored(met.select(place, at, "c", F.col("here").isNotNull().alias("starts")), "repeat-ends")
     order = Window.partitionBy("place", "starts", "c").orderBy("at")
     numbered = met.withColumn("number", F.row_number().over(order))
     keys = ["place", "c", "number"]
@@ -180,7 +184,9 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     placed = with_positions(ordered, None, order, "repeat-order").withColumnRenamed("__pos", "place")
     known = placed.join(unique, "row", "left").filter(F.coalesce(F.size("unique"), F.lit(0)) < F.col("n_anchors"))
     known = stored(known.select("row", "place", "unique"), "repeat-known")
-    paths = source_paths(_edges(rows, known))
+    # as many bits as the longest document needs, one to spare for the place past its end
+    bits = 1 + (marked.agg(F.max("n_words")).first()[0] or 0).bit_length()
+    paths = source_paths(_edges(rows, known, bits), bits)
     spans = paths.groupBy("place").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     touched = known.join(spans, "place", "left").select("row", "unique", "spans")
 
