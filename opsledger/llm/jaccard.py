@@ -146,16 +146,18 @@ def _groups(sets: DataFrame, counts: DataFrame) -> DataFrame:
     """``key``, ``n``, ``prefix`` (postings: token, place) and ``group`` of classes with postings."""
     shared = counts.filter("NOT unique").select(F.col("id").alias("token"), F.col("n").alias("c"))
     counted = sets.select("key", F.explode("counted").alias("token")).join(shared, "token")
-    lists = counted.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("common"))
+    lists = counted.groupBy("key").agg(
+        F.sort_array(F.collect_list(F.struct("c", "token"))).alias("common"), F.count("*").alias("k")
+    )
     room = F.expr(f"n - ((n * {PERCENT} + 99) div 100) + 1")
     joined = sets.select("key", "n", F.size("counted").alias("s"), "others").join(lists, "key", "left")
-    common = F.coalesce(F.transform("common", lambda t: t["token"]), F.array().cast("array<long>"))
-    joined = joined.withColumn("tokens", common).withColumn("lone", F.col("s") - F.size("tokens"))
     # unique shingles come first; places count them
-    ahead = F.transform("tokens", lambda t, i: F.struct(t.alias("token"), (F.col("lone") + i).alias("at")))
-    rest = F.transform("others", lambda t, i: F.struct(t.alias("token"), (F.col("s") + i).alias("at")))
-    left = F.greatest(room - F.col("lone"), F.lit(0)).cast("int")
-    prefix = F.concat(F.slice(ahead, F.lit(1), left), rest)
+    lone = F.col("s") - F.coalesce("k", F.lit(0))
+    left = F.greatest(room - lone, F.lit(0)).cast("int")
+    nearest = F.slice(F.coalesce("common", F.array().cast("array<struct<c:bigint,token:bigint>>")), F.lit(1), left)
+    ahead = F.transform(nearest, lambda t, i: F.struct(t["token"].alias("token"), (lone + i).alias("at")))
+    rest = F.transform("others", lambda t, i: F.struct(t.alias("token"), (F.col("s") + i).cast("long").alias("at")))
+    prefix = F.concat(ahead, rest)
     out = joined.select("key", "n", prefix.alias("prefix")).filter(F.size("prefix") > 0).distinct()
     return stored(out.withColumn("group", F.xxhash64("prefix", "n")), "shingle-groups")
 
