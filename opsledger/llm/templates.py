@@ -1,13 +1,17 @@
 """Main text of web pages, with the template of each site removed.
 
-Pass one parses every page and hashes its element subtrees (tag, text and children); a
-hash counts once per page. Spark counts the pages of each host that hold a
-subtree. Subtrees on at least ``LEAST_PAGES`` pages and ``LEAST_SHARE`` of the pages of a host are
-its template. Pass two parses again, deletes the template, what is marked as
+Pass one parses every page and hashes its element subtrees (tag, text and children). Spark
+counts the pages of each host that hold a subtree. Subtrees on at least ``LEAST_PAGES`` pages of
+a host are its template, however large the host is. Pass two parses again, deletes the template,
+what is marked as
 navigation, header, footer, sidebar, notice, advert, form, script or comment by its tag,
 role, class or id, and takes the text of the article (else of the main
 element, else of the body). Inside the article only containers count as template, never its
-headings, paragraphs and other blocks of text, so a sentence that many pages quote stays.
+headings, paragraphs and other blocks of text, so a sentence that many pages quote stays;
+outside, no part of a sentence does.
+
+The template is a table of (host, mark). If it is measured to be small, each task of pass two
+gets it whole; otherwise it is joined to the marks of the pages, and each page gets its own.
 
 Character references are decoded, white space within a block becomes one space, blocks
 are joined by a newline. Pages without closing tags, with stray ones or with bare
@@ -25,10 +29,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsledger.functions.joins import lookup_join
+from opsledger.functions.joins import MAX_BROADCAST_ROWS, fits_broadcast, lookup_join
+from opsledger.functions.workspace import stored
 
 LEAST_PAGES = 5
-LEAST_SHARE = 0.05
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -161,20 +165,24 @@ def hashes(root: Element) -> dict[int, int]:
 
 def candidates(root: Element, found: dict[int, int]) -> set[int]:
     """Hashes of the subtrees that may be template."""
-    out, stack = set(), [(root, False)]
+    out, stack = set(), [(root, False, False)]
     while stack:
-        element, inside = stack.pop()
-        if _may_go(element, inside) and id(element) in found:
+        element, inside, worded = stack.pop()
+        if _may_go(element, inside, worded) and id(element) in found:
             out.add(found[id(element)])
         inside = inside or element.tag in ("article", "main")
-        stack += [(p, inside) for p in element.parts if isinstance(p, Element)]
+        worded = worded or element.tag in _TEXT_BLOCKS
+        stack += [(p, inside, worded) for p in element.parts if isinstance(p, Element)]
     return out
 
 
-def _may_go(element: Element, inside: bool) -> bool:
+def _may_go(element: Element, inside: bool, worded: bool = False) -> bool:
+    """May it be template: ``inside`` an article, or elsewhere ``worded``, in a block of text?"""
     if element.tag in _WHOLE or element.tag in ("", "article", "head", "title", "meta"):
         return False
-    return element.tag in _CONTAINERS if inside else True
+    if inside:
+        return element.tag in _CONTAINERS
+    return not worded or element.tag in _BLOCKS
 
 
 def _marked(element: Element, inside: bool) -> bool:
@@ -210,10 +218,10 @@ def main_text(page: str | None, template: set[int] = frozenset()) -> str:
     return ""
 
 
-def _gone(element, inside, template, found) -> bool:
+def _gone(element, inside, template, found, worded=False) -> bool:
     if _marked(element, inside):
         return True
-    return bool(template) and found.get(id(element)) in template and _may_go(element, inside)
+    return bool(template) and found.get(id(element)) in template and _may_go(element, inside, worded)
 
 
 def _tops(root, wanted, template, found) -> list[Element]:
@@ -243,19 +251,21 @@ def _blocks(top: Element, template, found, inside: bool) -> list[str]:
         text.clear()
 
     stack = [iter(top.parts)]
-    ends = [True]
+    ends, worded = [True], [False]
     while stack:
         part = next(stack[-1], None)
         if part is None:
             stack.pop()
+            worded.pop()
             if ends.pop():
                 flush()
         elif isinstance(part, str):
             text.append(part)
         elif part.tag == "br":
             text.append(" ")
-        elif not _gone(part, inside, template, found):
+        elif not _gone(part, inside, template, found, worded[-1]):
             block = part.tag in _BLOCKS
+            worded.append(worded[-1] or part.tag in _TEXT_BLOCKS)
             if block:
                 flush()
             stack.append(iter(part.parts))
@@ -267,8 +277,8 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]+)", 1)), F.lit(""))
 
 
-def site_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """``host`` and the hashes of its template; hosts without one are absent."""
+def site_templates(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
+    """Rows (``host``, ``mark``): the hashes of the template of each host."""
 
     def run(batches):
         for batch in batches:
@@ -277,43 +287,63 @@ def site_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share
                 if host and page:
                     root = parse(page)
                     mine = candidates(root, hashes(root))
-                    hosts += [host] * (len(mine) + 1)
-                    marks += [*mine, None]  # null counts the page itself
+                    hosts += [host] * len(mine)
+                    marks += mine
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(marks, pa.int64())], ["host", "mark"])
 
     keyed = pages.select(host_of(F.col("url")).alias("host"), "html")
     counts = keyed.mapInArrow(run, "host string, mark long").groupBy("host", "mark").agg(F.count("*").alias("n"))
-    counts = counts.filter(F.col("mark").isNull() | (F.col("n") >= least_pages))
-    size = F.max(F.when(F.col("mark").isNull(), F.col("n")))
-    # at most pages * marks per page / least_share marks can pass, so the list of a host is bounded
-    grouped = counts.groupBy("host").agg(
-        size.alias("size"), F.collect_list(F.when(F.col("mark").isNotNull(), F.struct("mark", "n"))).alias("marks")
-    )
-    often = F.filter("marks", lambda m: m["n"] >= F.col("size") * least_share)
-    out = grouped.select("host", F.transform(often, lambda m: m["mark"]).alias("template"))
-    return out.filter(F.size("template") > 0)
-
-
-def main_texts(pages: DataFrame, **limits) -> DataFrame:
-    """``page_id``, ``url`` and the main text of each page."""
+    return counts.filter(F.col("n") >= least_pages).select("host", "mark")
+
+
+def _page_templates(keyed: DataFrame, template: DataFrame) -> DataFrame:
+    """Rows (``page``, ``marks``): the template of a host as far as a page holds it."""
 
     def run(batches):
         for batch in batches:
-            texts, known = [], {}
-            for page, marks in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist()):
-                marks = tuple(marks or ())
-                if marks not in known:
-                    known[marks] = frozenset(marks)
-                texts.append(main_text(page, known[marks]))
+            pages, hosts, marks = [], [], []
+            for page, host, html in zip(*(batch.column(c).to_pylist() for c in ("page", "host", "html"))):
+                if host and html:
+                    root = parse(html)
+                    mine = candidates(root, hashes(root))
+                    pages += [page] * len(mine)
+                    hosts += [host] * len(mine)
+                    marks += mine
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]
+                [pa.array(pages, pa.int64()), pa.array(hosts, pa.string()), pa.array(marks, pa.int64())],
+                ["page", "host", "mark"],
             )
 
+    held = keyed.select("page", "host", "html").mapInArrow(run, "page long, host string, mark long")
+    held = lookup_join(held, template, ["host", "mark"], "left_semi", is_small=False)
+    # a list is bounded by the subtrees of one page
+    return held.groupBy("page").agg(F.collect_set("mark").alias("marks"))
+
+
+def main_texts(pages: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, **limits) -> DataFrame:
+    """``page_id``, ``url`` and the main text of each page."""
     rows = pages.select("page_id", "url", "html")
     keyed = rows.withColumn("host", host_of(F.col("url")))
-    joined = lookup_join(keyed, site_templates(rows, **limits), ["host"], "left")
+    template = stored(site_templates(rows, **limits), "site-templates")
+    known = {}
+    if fits_broadcast(template, max_rows):
+        for row in template.collect():
+            known.setdefault(row["host"], set()).add(row["mark"])
+        keyed = keyed.withColumn("marks", F.lit(None).cast("array<long>"))
+    else:
+        keyed = keyed.withColumn("page", F.xxhash64("host", "html"))
+        keyed = keyed.join(_page_templates(keyed, template), "page", "left")
+
+    def run(batches):
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("html", "host", "marks"))
+            texts = [main_text(page, known.get(host) or set(marks or ())) for page, host, marks in zip(*columns)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]
+            )
+
     kind = rows.schema["page_id"].dataType.simpleString()
-    out = joined.select("page_id", "url", "html", "template")
+    out = keyed.select("page_id", "url", "html", "host", "marks")
     return out.mapInArrow(run, f"page_id {kind}, url string, text string")
 
 

@@ -393,6 +393,18 @@ def test_repeated_sentences_of_articles_stay(spark):
     assert {r["text"] for r in templates.digests(rows).collect()} == {f"Same words.\nNo {i}" for i in range(20)}
 
 
+@pytest.mark.parametrize("max_rows", [100_000, 0])
+def test_a_large_host_loses_the_same_template_as_a_small_one(spark, max_rows):
+    notice = "<div><span>We moved to a new office</span></div>"
+    pages = [
+        (i, "http://a.example/x", f"<body>{notice if i < 6 else ''}<p>Story <b>number</b> {i}.</p></body>")
+        for i in range(200)
+    ]
+    rows = spark.createDataFrame(pages + [(200, None, None)], "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in templates.main_texts(rows, max_rows=max_rows).collect()}
+    assert found == {i: f"Story number {i}." for i in range(200)} | {200: ""}
+
+
 # --- 7 mixing
 
 
