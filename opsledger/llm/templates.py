@@ -1,8 +1,10 @@
 """Main text of web pages, with the template of each site removed.
 
 Pass one parses every page and hashes its element subtrees (tag, text and children). Spark
-counts the pages of each host that hold a subtree. Subtrees on at least ``LEAST_PAGES`` pages of
-a host are its template, however large the host is. Pass two parses again, deletes the template,
+counts the pages of each host that hold a subtree; pages with the same main text, template
+included, count once, so copies of a page make no template. Subtrees on at least ``LEAST_PAGES``
+such pages of a host are its template, however large the host is; an element that holds an
+article or main element never is. Pass two parses again, deletes the template,
 what is marked as
 navigation, header, footer, sidebar, notice, advert, form, script or comment by its tag,
 role, class or id, and takes the text of the article (else of the main
@@ -17,7 +19,7 @@ Character references are decoded, white space within a block becomes one space,
 are joined by a newline. Pages without closing tags, with stray ones or with bare
 angle brackets are read as browsers would; nothing is cut. Null and empty html give
 the empty text. Pages without a host are their own template-free
-group. Repeated pages count once per row. An empty table gives no rows. Other
+group. An empty table gives no rows. Other
 columns of the pages are ignored.
 """
 
@@ -67,6 +69,7 @@ _NAMES = _COMMENTS | {
     "sharing", "social", "related", "recommended", "toolbar", "skip",
 }
 _WHOLE = {"html", "body", "main"}
+_MAIN_ROLE = re.compile(r"""\brole\s*=\s*["']?main\b""", re.I)
 # an open element of the first kind ends when one of the others starts
 _ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"},
@@ -78,10 +81,11 @@ _FENCES = {"table", "ul", "ol", "dl", "td", "th", "html"}
 
 
 class Element:
-    __slots__ = ("tag", "marks", "parts")
+    __slots__ = ("tag", "marks", "parts", "whole")
 
     def __init__(self, tag: str, marks: str):
         self.tag, self.marks, self.parts = tag, marks, []
+        self.whole = False  # is it, or does it hold, an article or main element?
 
 
 def parse(page: str) -> Element:
@@ -109,6 +113,12 @@ def parse(page: str) -> Element:
         _end_implied(path, tag)
         element = Element(tag, marks)
         path[-1].parts.append(element)
+        if tag in ("article", "main") or _main_role(element):
+            element.whole = True
+            for above in reversed(path):
+                if above.whole:
+                    break
+                above.whole = True
         if tag in _RAW:
             lower = lower or page.lower()
             if len(lower) != size:  # a character that has two in lower case
@@ -124,6 +134,10 @@ def parse(page: str) -> Element:
     return root
 
 
+def _main_role(element: Element) -> bool:
+    return bool(element.marks) and _MAIN_ROLE.search(element.marks) is not None
+
+
 def _close(path: list[Element], tag: str) -> None:
     for i in range(len(path) - 1, 0, -1):
         if path[i].tag == tag:
@@ -178,7 +192,7 @@ def candidates(root: Element, found: dict[int, int]) -> set[int]:
 
 def _may_go(element: Element, inside: bool, worded: bool = False) -> bool:
     """May it be template: ``inside`` an article, or elsewhere ``worded``, in a block of text?"""
-    if element.tag in _WHOLE or element.tag in ("", "article", "head", "title", "meta"):
+    if element.whole or element.tag in _WHOLE or element.tag in ("", "head", "title", "meta"):
         return False
     if inside:
         return element.tag in _CONTAINERS
@@ -210,7 +224,10 @@ def main_text(page: str | None, template: set[int] = frozenset()) -> str:
     if not page:
         return ""
     root = parse(page)
-    found = hashes(root) if template else {}
+    return _text(root, template, hashes(root) if template else {})
+
+
+def _text(root: Element, template, found) -> str:
     for wanted in ("article", "main", ""):
         tops = _tops(root, wanted, template, found)
         if tops:
@@ -231,7 +248,7 @@ def _tops(root, wanted, template, found) -> list[Element]:
     out, stack = [], [root]
     while stack:
         element = stack.pop()
-        role = wanted == "main" and re.search(r"""\brole\s*=\s*["']?main\b""", element.marks, re.I)
+        role = wanted == "main" and _main_role(element)
         if element is not root and _gone(element, False, template, found):
             continue
         if element.tag == wanted or role:
@@ -282,17 +299,23 @@ def site_templates(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFram
 
     def run(batches):
         for batch in batches:
-            hosts, marks = [], []
+            hosts, marks, texts = [], [], []
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
                 if host and page:
                     root = parse(page)
                     mine = candidates(root, hashes(root))
+                    text = _text(root, frozenset(), {}).encode("utf-8", "replace")
                     hosts += [host] * len(mine)
                     marks += mine
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(marks, pa.int64())], ["host", "mark"])
+                    texts += [xxhash.xxh3_64_intdigest(text) - (1 << 63)] * len(mine)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array(marks, pa.int64()), pa.array(texts, pa.int64())],
+                ["host", "mark", "text"],
+            )
 
     keyed = pages.select(host_of(F.col("url")).alias("host"), "html")
-    counts = keyed.mapInArrow(run, "host string, mark long").groupBy("host", "mark").agg(F.count("*").alias("n"))
+    distinct = keyed.mapInArrow(run, "host string, mark long, text long").distinct()
+    counts = distinct.groupBy("host", "mark").agg(F.count("*").alias("n"))
     return counts.filter(F.col("n") >= least_pages).select("host", "mark")
 
 

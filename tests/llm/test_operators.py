@@ -405,6 +405,24 @@ def test_a_large_host_loses_the_same_template_as_a_small_one(spark, max_rows):
     assert found == {i: f"Story number {i}." for i in range(200)} | {200: ""}
 
 
+def test_copies_of_a_page_make_no_template(spark):
+    bodies = {
+        "a": "<div id=wrap><article><p>Told once.</p><div>In a box.</div></article></div>",
+        "b": "<div id=wrap><div role=main><p>Told once.</p></div></div>",
+        "c": "<div id=wrap><p>Told once.</p><p>And again.</p></div>",
+    }
+    pages = [(f"http://{h}.example/{i}", f"<title>{i}</title><body>{b}</body>") for h, b in bodies.items() for i in range(12)]
+    # distinct pages that share what holds the article
+    pages += [(f"http://d.example/{i}", f"<div>{bodies['a']}</div><article>Reply {i}</article>") for i in range(12)]
+    rows = spark.createDataFrame(pages, "url string, html string").selectExpr("monotonically_increasing_id() AS page_id", "*")
+    found = {}
+    for r in templates.digests(rows).collect():
+        found.setdefault(r["url"][7], []).append(r["text"])
+    assert found["a"] == ["Told once.\nIn a box."] * 12 and found["b"] == ["Told once."] * 12
+    assert found["c"] == ["Told once.\nAnd again."] * 12
+    assert sorted(found["d"]) == sorted(f"Told once.\nReply {i}" for i in range(12))
+
+
 # --- 7 mixing
 
 
