@@ -108,6 +108,26 @@ def test_network_scores_what_rules_leave_of_a_run():
     assert parts == ([(20, 44)], [(0, 20)], [(60, 76)])
 
 
+def test_network_reads_whole_runs_and_short_ones_behind_a_hint():
+    rng = random.Random(7)
+
+    def key(size):
+        return "".join(rng.choice("0123456789abcdef") for _ in range(size))
+
+    texts = labelled(1, 400) + [f"password: '{key(8)}' and the password generator, token numbers" for _ in range(200)]
+    net = secret_scan.train(*secret_scan.labelled_findings(texts))
+    path = "internationalization/thequickbrownfox/"
+    hidden = f"{path * 3}{key(20)}-{key(19)}/{path * 3}"
+    assert [s[:3] for s in secret_scan.all_spans(f"see {hidden} there", net)] == [("network", 4, 4 + len(hidden))]
+    assert secret_scan.all_spans(f"see {path * 6} there", net) == []
+    text = "his password is 7c1e90ab, the generator 7c1e90ab"
+    assert [s[:3] for s in secret_scan.all_spans(text, net)] == [("network", 16, 24)]
+    assert secret_scan.hinted("my pwd=abc123 author abcdefg") == [(3, 13), (14, 20)]
+    assert secret_scan.hinted("key " + "a" * 15 + " key " + "b" * 16) == [(4, 19)]
+    assert secret_scan.windows(5, 53) == [(5, 53)]
+    assert secret_scan.windows(5, 65) == [(5, 53), (17, 65), (5, 29), (17, 41), (29, 53), (41, 65)]
+
+
 def test_secrets_on_odd_rows(spark):
     docs = frame(spark, [*ODD, (9, 'password="hunter22"', "a")])
     net = secret_scan.fit(docs)
