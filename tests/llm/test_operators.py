@@ -128,6 +128,15 @@ def test_network_reads_whole_runs_and_short_ones_behind_a_hint():
     assert secret_scan.windows(5, 65) == [(5, 53), (17, 65), (5, 29), (17, 41), (29, 53), (41, 65)]
 
 
+def test_threshold_keeps_the_recall_where_secrets_look_like_words():
+    rng = random.Random(8)
+    words = ["thequickbrownfox", "internationalization", "responsibilities", "characteristically"]
+    texts = [f"password: {rng.choice(words)} and then {' '.join(rng.choices(words, k=6))}" for _ in range(400)]
+    net = secret_scan.train(*secret_scan.labelled_findings(texts))
+    # half of the findings are read without context, and those look alike
+    assert net.threshold < 0.5 and net.recall >= secret_scan.RECALL
+
+
 def test_secrets_on_odd_rows(spark):
     docs = frame(spark, [*ODD, (9, 'password="hunter22"', "a")])
     net = secret_scan.fit(docs)
