@@ -62,10 +62,12 @@ class CoverTree:
         nearest = np.zeros(len(points), np.int64)  # place of the centre that holds a point
         gap = distance(points, points[:1])[:, 0]
         self.levels = [(chosen, np.zeros(1, np.int64), np.array([gap.max()]))]
+        gap[0] = 0.0  # rounding may put a point apart from itself
         radius = 1.0
         while len(chosen) < len(points):
             new = self._net(np.flatnonzero(gap > radius), radius)
-            if radius < least:  # finer levels prune nothing: the rest become centres
+            # finer levels prune nothing, or only points equal to a centre are left: the rest become centres
+            if radius < least or not gap.any():
                 others = np.ones(len(points), bool)
                 others[chosen] = False
                 new = np.flatnonzero(others)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import signal
 
 import numpy as np
 import pyarrow as pa
@@ -214,6 +215,23 @@ def test_cover_tree_levels_nest():
     assert sorted(zip(i.tolist(), j.tolist())) == sorted(map(tuple, expected.tolist()))
 
 
+def test_cover_tree_ends_on_equal_directions(spark):
+    rng = np.random.default_rng(3)
+    points = covertree.unit(rng.normal(size=(40, 64)))
+    signal.signal(signal.SIGALRM, lambda *_: pytest.fail("the tree has no end"))
+    signal.alarm(60)
+    try:
+        tree = covertree.CoverTree(np.concatenate([points, points, points[:7]]), 0.0)
+    finally:
+        signal.alarm(0)
+    assert sorted(tree.levels[-1][0].tolist()) == list(range(87))
+    v = [float(x) for x in rng.integers(-8, 9, 64)]
+    v[5], other = 0.0, [0.0] * 63 + [1.0]
+    rows = [(1, v, 1, "c"), (2, [2 * x for x in v], 1, "c"), (3, [x if x else -0.0 for x in v], 1, "c"), (4, other, 1, "c")]
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in covertree.near_duplicates(vectors(spark, rows)).collect()}
+    assert found == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
+
+
 def test_cover_tree_on_an_empty_table(spark):
     assert covertree.near_duplicates(vectors(spark, [])).count() == 0
 
