@@ -483,6 +483,21 @@ def test_copies_of_a_page_make_no_template(spark):
     assert sorted(found["d"]) == sorted(f"Told once.\nReply {i}" for i in range(12))
 
 
+def test_the_template_of_a_host_is_never_one_row(spark):
+    # each block is on 5 of 100 pages, so the template grows with the pages
+    pages = [
+        (f"http://a.example/{i}", "".join(f"<div>block {i // 5} {k}</div>" for k in range(10)) + f"<p>Story {i}</p>")
+        for i in range(100)
+    ]
+    rows = spark.createDataFrame(pages, "url string, html string").selectExpr("monotonically_increasing_id() AS page_id", "*")
+    template = templates.site_templates(rows)
+    assert template.columns == ["host", "mark"] and template.count() == 200
+    assert "collect_" not in template._jdf.queryExecution().toString()
+    for max_rows in (100_000, 199):
+        found = templates.main_texts(rows, max_rows=max_rows).collect()
+        assert {(r["url"], r["text"]) for r in found} == {(u, f"Story {u[17:]}") for u, _ in pages}
+
+
 # --- 7 mixing
 
 
