@@ -8,7 +8,9 @@ the model learns by itself which passages decide. Scores are calibrated on
 labelled documents that were held out from training.
 
 Training uses at most ``TRAIN_LABELS`` labelled documents in order of a hash of their
-id, never those whose crc32(id) mod 4 is 2. Only the text enters a score. Labels other
+id, never those whose crc32(id) mod 4 is 2. Of rows with equal ids one text is learnt from, the
+first by hash. The documents are taken in that order while their passages are at most
+``TRAIN_PASSAGES`` together; one that does not fit is left out. Only the text enters a score. Labels other
 than 0 and 1 and documents without text are not learnt from; of contradicting labels
 the lower counts. Null and empty texts are one empty passage and get a score. Without
 labels of both kinds every score is 0.5. An empty table gives no rows; repeated rows
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 
 PASSAGE = 512
 TRAIN_LABELS = 4000
+TRAIN_PASSAGES = 65_536  # of 1,600 bytes each on the driver
 THRESHOLD = 0.7
 _CLASSES = 20
 _HIDDEN, _GATE = 24, 12
@@ -151,8 +154,10 @@ def train(x: np.ndarray, counts: np.ndarray, labels: np.ndarray, seed: int = 5,
     return model
 
 
-def fit(documents: DataFrame, labels: DataFrame, most: int = TRAIN_LABELS) -> Attention | None:
-    """Train on at most ``most`` labelled documents of ``documents``."""
+def fit(
+    documents: DataFrame, labels: DataFrame, most: int = TRAIN_LABELS, most_passages: int = TRAIN_PASSAGES
+) -> Attention | None:
+    """Train on at most ``most`` labelled documents of ``documents``, and as many passages."""
     chosen = (
         labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
         .filter(~held_out(F.col("doc_id")))
@@ -161,8 +166,43 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = TRAIN_LABELS) -> At
         .orderBy(F.xxhash64("__id"), "__id")
         .limit(most)
     )
-    texts = documents.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
-    joined = texts.filter("__text IS NOT NULL").join(F.broadcast(chosen), "__id")
+    texts = documents.select(
+        F.col("doc_id").alias("__id"), F.col("text").alias("__text"), F.xxhash64("text").alias("__mark")
+    ).filter("__text IS NOT NULL")
+    size = F.greatest(F.lit(1), F.ceil(F.octet_length("__text") / PASSAGE)).cast("long")
+    sizes = (
+        texts.select("__id", "__mark", size.alias("__size"))
+        .join(F.broadcast(chosen), "__id")
+        .groupBy("__id", "__label", "__mark")
+        .agg(F.max("__size").alias("__size"))
+        .groupBy("__id", "__label")
+        .agg(F.min(F.struct("__mark", "__size")).alias("__first"))
+        .select("__id", "__label", "__first.*")
+        .orderBy(F.xxhash64("__id"), "__id")
+    )
+    taken, total = [], 0
+    for row in sizes.collect():
+        if total + row["__size"] <= most_passages:
+            taken.append((row["__id"], row["__label"], row["__mark"]))
+            total += row["__size"]
+    if not taken:
+        return None
+    kind = texts.schema["__id"].dataType.simpleString()
+    sample = documents.sparkSession.createDataFrame(taken, f"__id {kind}, __label int, __mark long")
+
+    def once(batches):
+        seen = set()  # at most the sample: a task sends each text once
+        for batch in batches:
+            new = []
+            for i, name in enumerate(batch.column("__id").to_pylist()):
+                if name not in seen:
+                    seen.add(name)
+                    new.append(i)
+            if new:
+                yield batch.take(pa.array(new))
+
+    joined = texts.join(F.broadcast(sample), ["__id", "__mark"]).select("__id", "__label", "__text")
+    joined = joined.mapInArrow(once, f"__id {kind}, __label int, __text string").dropDuplicates(["__id"])
 
     def run(batches):
         for batch in batches:
@@ -172,7 +212,6 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = TRAIN_LABELS) -> At
             blobs = [table[e - c : e].tobytes() for e, c in zip(ends, counts)]
             yield pa.RecordBatch.from_arrays([ids, truth, pa.array(blobs, pa.binary())], ["id", "label", "x"])
 
-    kind = texts.schema["__id"].dataType.simpleString()
     found = joined.mapInArrow(run, f"id {kind}, label int, x binary").toArrow()
     if not found.num_rows:
         return None

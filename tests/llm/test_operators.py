@@ -263,6 +263,21 @@ def test_quality_learns_and_handles_odd_rows(spark):
     assert quality.digests(docs.limit(0), labels).count() == 0
 
 
+def test_quality_learns_from_few_passages_whatever_is_repeated(spark, monkeypatch):
+    rows = [(1, "again and again", "s")] * 300 + [(1, "another text", "s")] * 3
+    rows += [(i, "a" * 700, "s") for i in range(2, 40)] + [(40, "b" * 60_000, "s"), (41, None, "s")]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 42)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda x, counts, truth: seen.append((x, counts, truth)))
+    docs, ids = frame(spark, rows).repartition(7), labels.filter(~quality.held_out(labels.doc_id)).count()
+    for bound in (quality.TRAIN_PASSAGES, 20, 0):
+        quality.fit(docs, labels, most_passages=bound)
+    (x, counts, truth), (y, few, _) = seen
+    assert len(x) == counts.sum() and len(counts) == len(truth) <= ids and sorted(counts)[-1] == 118
+    assert sorted(set(counts.tolist())) == [1, 2, 118] and (counts == 1).sum() == 1
+    assert 19 <= len(y) == few.sum() <= 20 and 118 not in few
+
+
 def test_attention_gradients_are_right():
     rng = np.random.default_rng(0)
     x, counts = quality.passages(["abc DEF! " * 90, "###", "", "x y z " * 200])
