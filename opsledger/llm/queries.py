@@ -10,6 +10,7 @@ from opsledger.llm import (
     pieces,
     quality,
     repeats,
+    runs,
     secret_scan,
     templates,
     topk,
@@ -79,6 +80,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(documents)
 
 
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def registry():
     return {
         name: _shipped(query)
@@ -93,6 +98,7 @@ def registry():
             "op8_topk": op8_topk,
             "op9_warc": op9_warc,
             "op10_sentencepiece": op10_sentencepiece,
+            "op13_runs": op13_runs,
         }.items()
     }
 
