@@ -10,6 +10,7 @@ from opsledger.llm import (
     onebit,
     pieces,
     quality,
+    repair,
     repeats,
     runs,
     secret_scan,
@@ -85,6 +86,10 @@ def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return onebit.search(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -104,6 +109,7 @@ def registry():
             "op9_warc": op9_warc,
             "op10_sentencepiece": op10_sentencepiece,
             "op11_neighbours": op11_neighbours,
+            "op12_repair": op12_repair,
             "op13_runs": op13_runs,
         }.items()
     }
