@@ -34,7 +34,7 @@ from opsledger.functions.workspace import stored
 from opsledger.llm.topk import finite
 
 K = 10
-SIGMAS = 4.0
+SIGMAS = 3.0
 SEED = 11
 ROWS_PER_LIST = 1024
 MAX_LISTS = 1024
