@@ -1,6 +1,7 @@
 """Lookup joins that stay balanced when one key holds much of the big side."""
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,13 @@ def row_salt(df: DataFrame, salts: int = SALTS):
     return F.pmod(F.xxhash64(*hashable) + F.spark_partition_id(), F.lit(salts)).cast("int")
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys in which null equals null; the keys come from the left."""
+    renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys], F.lit(True))
+    return left.join(renamed, same, how).drop(*[f"__r_{k}" for k in keys])
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
@@ -44,9 +52,12 @@ def lookup_join(
     max_bytes: int = MAX_BROADCAST_BYTES,
     salts: int = SALTS,
     is_small: bool | None = None,
+    nulls_match: bool = False,
 ) -> DataFrame:
     """Join ``big`` to a dimension: broadcast if measured small, salted otherwise.
 
+    Null keys match nothing, or each other with ``nulls_match``.
+
     The measurement runs a job over ``small``; a caller that joins the same
     dimension many times passes its earlier result as ``is_small``.
 
@@ -59,11 +70,12 @@ def lookup_join(
         raise ValueError(f"lookup_join cannot salt a {how} join")
     if is_small is None:
         is_small = fits_broadcast(small, max_rows, max_bytes)
+    join = join_same if nulls_match else DataFrame.join
     if is_small:
-        return big.join(F.broadcast(small), on, how)
+        return join(big, F.broadcast(small), on, how)
     salted = big.withColumn(_SALT, row_salt(big, salts))
     copies = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, _SALT], how).drop(_SALT)
+    return join(salted, copies, [*on, _SALT], how).drop(_SALT)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

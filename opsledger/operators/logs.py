@@ -15,7 +15,7 @@ from opsledger.functions.timegrid import (
     sliding_sums,
 )
 from opsledger.functions.workspace import stored
-from opsledger.operators.quantiles import exact_quantile
+from opsledger.operators.quantiles import windowed_quantile
 from opsledger.sources.logs import parse_log_json
 
 # Most lines one log query returns.
@@ -112,10 +112,8 @@ def field_quantile(
     if approximate:
         near = F.percentile_approx("value", q).alias("quantile")
         return expand_buckets(numbers, by, range_s, step_s, clustered=True).groupBy(*keys).agg(near)
-    counted = numbers.groupBy(*by, BUCKET, "value").agg(F.count("*").alias("copies"))
-    kept = stored(counted, "field-values")
-    values = expand_buckets(kept, by, range_s, step_s, clustered=True)
-    return exact_quantile(values, keys, "value", q, weight="copies")
+    counted = numbers.groupBy(*by, BUCKET, F.col("value").alias("v")).agg(F.count("*").alias("w"))
+    return windowed_quantile(stored(counted, "field-values"), by, q, range_s, step_s)
 
 
 def tail(logs: DataFrame, order: list[Column], limit: int = MAX_LINES) -> DataFrame:

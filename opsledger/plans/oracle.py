@@ -80,6 +80,10 @@ _VIEWS = {
                    AS status_code,
                value / 100 AS duration_seconds
         FROM events""",
+    "fx_weighted": """
+        SELECT ts, 'svc-' || (user_id % 5) AS job, value / 100 AS v,
+               1 + (event_id % 7) * 1500000000 AS w
+        FROM events""",
     "fx_published": """
         SELECT ts, job, 'created' AS kind FROM fx_requests WHERE method = 'POST'
         UNION ALL
@@ -563,6 +567,29 @@ _QUERIES = {
                time_bucket(INTERVAL 30 DAY, ts, TIMESTAMP '1970-01-01') + INTERVAL 30 DAY AS window_end,
                round(quantile_cont(duration_seconds, 0.95), 6) AS quantile
         FROM fx_enriched GROUP BY ALL""",
+    "latency_weighted_quantile": """
+        WITH counted AS (
+            SELECT job, window_start, window_end, v, sum(w) AS w
+            FROM fx_weighted JOIN grid ON ts >= window_start AND ts < window_end GROUP BY ALL),
+        placed AS (
+            SELECT *, sum(w) OVER (PARTITION BY job, window_end ORDER BY v) AS upto,
+                   0.95 * (sum(w) OVER (PARTITION BY job, window_end) - 1) AS place FROM counted),
+        ends AS (
+            SELECT job, window_start, window_end, max(place) - floor(max(place)) AS fraction,
+                   min(v) FILTER (upto > floor(place)) AS low, min(v) FILTER (upto > ceil(place)) AS high
+            FROM placed GROUP BY ALL)
+        SELECT job, window_start, window_end, round(low + (high - low) * fraction::DOUBLE, 6) AS quantile
+        FROM ends""",
+    "latency_summary": """
+        WITH counted AS (
+            SELECT job, time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') AS bucket, v, sum(w) AS w
+            FROM fx_weighted GROUP BY ALL),
+        placed AS (
+            SELECT *, sum(w) OVER (PARTITION BY job, bucket ORDER BY v) AS upto,
+                   sum(w) OVER (PARTITION BY job, bucket) AS total FROM counted)
+        SELECT job, bucket, v, (upto - w)::BIGINT AS before, upto::BIGINT AS upto, total::BIGINT AS total
+        FROM placed
+        WHERE upto = w OR ((upto - w) * 16) // total < (upto * 16) // total""",
     "log_tail": "SELECT ts, line FROM fx_logs ORDER BY ts DESC, line LIMIT 1000",
     "log_last_hours": """
         SELECT ts, path FROM fx_logs

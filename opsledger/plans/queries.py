@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from opsledger.functions import text
 from opsledger.functions.joins import union_all
-from opsledger.functions.timegrid import WINDOW_KEYS, in_last
+from opsledger.functions.timegrid import BUCKET, WINDOW_KEYS, in_last, with_bucket
 from opsledger.functions.workspace import new_folder, stored
 from opsledger.operators import (
     alerts,
@@ -19,6 +19,7 @@ from opsledger.operators import (
     logs as lg,
     orders as od,
     quality,
+    quantiles,
     ratios,
 )
 from opsledger.plans import alert_rules as ar
@@ -387,6 +388,26 @@ def latency_quantile(spark, sf):
     return found.withColumn("quantile", F.round("quantile", 9))
 
 
+def _weighted(spark, sf, step_s):
+    rows = with_bucket(v.fx_weighted(_events(spark, sf)), "ts", step_s)
+    return stored(rows.groupBy("job", BUCKET, "v").agg(F.sum("w").alias("w")), "weighted-values")
+
+
+@_register
+def latency_weighted_quantile(spark, sf):
+    """Exact, by summaries of step buckets and a bracket for each window."""
+    found = quantiles.windowed_quantile(
+        _weighted(spark, sf, STEP_S), ["job"], 0.95, RANGE_S, STEP_S, small_group=0, points=16
+    )
+    return found.withColumn("quantile", F.round("quantile", 6))
+
+
+@_register
+def latency_summary(spark, sf):
+    """Cut points per job and day, which is all that later windows need to bound a quantile."""
+    return quantiles.quantile_summary(_weighted(spark, sf, od.DAY_S), ["job", BUCKET], points=16)
+
+
 @_register
 def error_ratio(spark, sf):
     return ratios.error_ratio(v.fx_requests(_events(spark, sf)), ["job"], "ts", RANGE_S, STEP_S)

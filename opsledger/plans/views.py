@@ -184,6 +184,14 @@ def fx_requests(events: DataFrame) -> DataFrame:
     )
 
 
+def fx_weighted(events: DataFrame) -> DataFrame:
+    """Latencies ``v`` that count up to nine billion times, as a sampled trace would report."""
+    weight = F.lit(1) + (F.col("event_id") % 7) * 1_500_000_000
+    return events.select(
+        "ts", _job().alias("job"), (F.col("value") / 100).alias("v"), weight.cast("long").alias("w")
+    )
+
+
 def fx_published(events: DataFrame) -> DataFrame:
     published = (F.col("job") != "svc-0") & (F.col("duration_seconds") <= 1)
     kinds = F.when(published, F.array(F.lit("created"), F.lit("published"))).otherwise(

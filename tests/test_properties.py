@@ -72,7 +72,7 @@ def test_quantile(spark, rows, q, small_group):
     for key, value in rows:
         groups[key].append(value)
     found = exact_quantile(
-        spark.createDataFrame(rows, "k string, v double"), ["k"], "v", q, small_group, 20, 4)
+        spark.createDataFrame(rows, "k string, v double"), ["k"], "v", q, small_group)
     values = {r.k: r["quantile"] for r in found.collect()}
     assert values.keys() == groups.keys()
     for key, group in groups.items():

@@ -54,7 +54,7 @@ def test_routing_by_salted_rules(spark, rows):
 
 def test_exact_quantile_of_a_hot_group(rows):
     expected = {r.k: r.q for r in rows.groupBy("k").agg(F.percentile("v", 0.95).alias("q")).collect()}
-    found = exact_quantile(rows, ["k"], "v", 0.95, small_group=1000, accuracy=200, cells=64)
+    found = exact_quantile(rows, ["k"], "v", 0.95, small_group=1000)
     values = {r.k: r["quantile"] for r in found.collect()}
     assert values.keys() == expected.keys()
     assert all(abs(values[k] - expected[k]) < 1e-9 for k in values)
