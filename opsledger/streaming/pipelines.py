@@ -17,6 +17,7 @@ from opsledger.operators.events import delivery_attempts, route_events
 from opsledger.operators.ratios import SERVER_ERROR
 from opsledger.sinks.tables import run_of, write_batch
 from opsledger.sources.messages import dead_letters, decode_messages, good_messages
+from opsledger.streaming.processors import alert_processor, rocksdb_state
 
 # Our choice: how far apart the copies of an event may be.
 LATE_S = 600
@@ -196,38 +197,84 @@ def alert_state_stream(
     path: str,
     checkpoint: str,
     trigger: dict | None = None,
+    late_s: int = LATE_S,
 ) -> StreamingQuery:
     """Alert states of a stream of evaluations, which may come in any order.
 
-    ``evaluations`` has the series columns, ``eval_ts``, ``value`` and ``breach``. Each
-    micro-batch is stored, and the states of its series are found again from its
-    earliest evaluation on, by the batch operator. So an evaluation that comes late
-    corrects what follows it; ``latest_states`` reads the last word on each.
+    ``evaluations`` has the series columns, ``eval_ts``, ``value`` (a double) and ``breach``. Each series
+    keeps its evaluations of the last ``late_s`` seconds as keyed state, and of all older ones a
+    single row, so a micro-batch costs the same however long the stream has run. An evaluation
+    that comes late corrects what follows it; ``latest_states`` reads the last word on each.
+    Those more than ``late_s`` behind the newest go to ``late_evaluations``, without a state;
+    ``correct_late`` finds their states from the stored ones.
     """
     run = run_of(checkpoint)
-    columns = [*series, "eval_ts", "value", "breach"]
+    kinds = {f.name: f.dataType.simpleString() for f in evaluations.schema}
+    names = ", ".join(f"`{c}` {kinds[c]}" for c in series)
+    # the watermark moves timers; as a plain number the time lets late rows through to be stored
+    timed = evaluations.withColumn("__at", F.col("eval_ts").cast("timestamp")).withWatermark(
+        "__at", f"{late_s} seconds"
+    )
+    states = (
+        timed.select(*series, F.unix_micros("__at").alias("at_us"), F.col("value").cast("double").alias("value"), "breach")
+        .groupBy(*series)
+        .transformWithStateInPandas(
+            alert_processor(series, step_s, hold_s, late_s),
+            f"{names}, at_us long, value double, breach boolean, since_us long, state string, late boolean",
+            "append",
+            "EventTime",
+        )
+    )
+    moment = lambda c: F.timestamp_micros(c).cast(kinds["eval_ts"])
+    found = states.select(
+        *series, moment("at_us").alias("eval_ts"), "value", "breach",
+        moment("since_us").alias("active_since"), "state", "late",
+    )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        write_batch(batch.select(columns), f"{path}/evaluations", batch_id, run)
-        folder = f"{path}/evaluations/run={run}"
-        known = spark.read.option("basePath", folder).parquet(f"{folder}/batch_id=*")
-        known = known.where(F.col("batch_id") <= batch_id)
-        firsts = known.where(F.col("batch_id") == batch_id).groupBy(*series).agg(
-            F.min("eval_ts").alias("__from")
+        once = batch.persist()
+        try:
+            write_batch(once.where("NOT late").drop("late"), f"{path}/states", batch_id, run)
+            late = once.where("late").select(*series, "eval_ts", "value", "breach")
+            write_batch(late, f"{path}/late", batch_id, run)
+        finally:
+            once.unpersist()
+
+    with rocksdb_state(evaluations.sparkSession):
+        return (
+            found.writeStream.outputMode("append")
+            .foreachBatch(store)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or AVAILABLE_NOW))
+            .start()
         )
-        touched = lookup_join(known, firsts, series)
-        last = F.max_by(F.struct("value", "breach", "__from"), "batch_id").alias("e")
-        once = touched.groupBy(*series, "eval_ts").agg(last).select(*series, "eval_ts", "e.*")
-        states = alert_states(once, series, step_s, hold_s).where("eval_ts >= __from")
-        write_batch(states.drop("__from"), f"{path}/states", batch_id, run)
 
-    return (
-        evaluations.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or AVAILABLE_NOW))
-        .start()
+
+def late_evaluations(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
+    """Evaluations that came too late for the state of ``alert_state_stream``."""
+    return spark.read.parquet(f"{path}/late/run={run_of(checkpoint)}").drop("batch_id")
+
+
+def correct_late(
+    spark: SparkSession, path: str, series: list[str], checkpoint: str, step_s: int, hold_s: int
+) -> DataFrame:
+    """All states, with the late evaluations in their places; a batch job for when there are any.
+
+    Only series that have late evaluations are computed again, by the batch operator.
+    """
+    known = latest_states(spark, path, series, checkpoint)
+    late = late_evaluations(spark, path, checkpoint)
+    columns = [*series, "eval_ts", "value", "breach"]
+    touched = late.select(*series).distinct()
+    again = lookup_join(known.select(columns), touched, series, "left_semi", nulls_match=True)
+    newest = F.max(F.struct("__late", "value", "breach")).alias("e")
+    both = again.withColumn("__late", F.lit(0)).unionByName(
+        late.where("eval_ts IS NOT NULL").withColumn("__late", F.lit(1))
     )
+    once = both.groupBy(*series, "eval_ts").agg(newest).select(*series, "eval_ts", "e.value", "e.breach")
+    corrected = alert_states(once, series, step_s, hold_s)
+    others = lookup_join(known, touched, series, "left_anti", nulls_match=True)
+    return others.unionByName(corrected.select(others.columns))
 
 
 def latest_states(spark: SparkSession, path: str, series: list[str], checkpoint: str) -> DataFrame:

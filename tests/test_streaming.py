@@ -123,6 +123,59 @@ def test_streamed_alert_state_equals_batch_out_of_order(spark, tmp_path):
     assert [s for _, (_, s) in sorted(found.items())] == ["pending"] * 3 + ["firing"] * 3
 
 
+def _feed(spark, folder, rows, name):
+    schema = "job string, eval_ts timestamp_ntz, value double, breach boolean"
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder / name))
+
+
+def test_alert_state_does_not_grow_with_the_stream(spark, tmp_path):
+    """Shuffled evaluations of two series over 14 micro-batches; one series ends early."""
+    import random
+
+    rng, rows = random.Random(1), []
+    for i in range(140):
+        for job in ("a", None) if i < 60 else ("a",):
+            if rng.random() < 0.95:
+                at = T0 + timedelta(seconds=30 * i)
+                rows.append((job, at, float(i), rng.choice([True, True, True, False, None])))
+    rows.sort(key=lambda r: r[1] + timedelta(seconds=rng.uniform(0, 240)))
+    size = -(-len(rows) // 14)
+    for part in range(14):
+        _feed(spark, tmp_path, rows[part * size : (part + 1) * size], f"in/{part:02}")
+    schema = "job string, eval_ts timestamp_ntz, value double, breach boolean"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+    out, c = str(tmp_path / "out"), str(tmp_path / "c")
+    query = pipelines.alert_state_stream(stream, ["job"], 30, 90, out, c, late_s=300)
+    query.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["numInputRows"]]
+    assert len(kept) >= 14
+    # ten open evaluations, a summary and timers for each of two series, however many have passed
+    assert max(kept) < 45 and kept[-1] <= max(kept[3:6]) + 5
+    states = pipelines.latest_states(spark, out, ["job"], c).collect()
+    batch = alerts.alert_states(spark.createDataFrame(rows, schema), ["job"], 30, 90).collect()
+    assert {(r.job, r.eval_ts): (r.active_since, r.state, r.value) for r in states} == {
+        (r.job, r.eval_ts): (r.active_since, r.state, r.value) for r in batch}
+    assert pipelines.late_evaluations(spark, out, c).count() == 0
+
+
+def test_evaluations_behind_the_watermark_are_kept_and_corrected(spark, tmp_path):
+    schema = "job string, eval_ts timestamp_ntz, value double, breach boolean"
+    rows = [("a", T0 + timedelta(seconds=30 * i), float(i), True) for i in range(40)]
+    out, c = str(tmp_path / "out"), str(tmp_path / "c")
+    parts = [rows[:5] + rows[6:30], rows[30:], [rows[5], ("b", T0, 1.0, True), ("b", None, 1.0, True)]]
+    for part in parts:
+        _feed(spark, tmp_path, part, "in")
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        pipelines.alert_state_stream(stream, ["job"], 30, 90, out, c, late_s=120).awaitTermination()
+    late = pipelines.late_evaluations(spark, out, c).collect()
+    assert sorted((r.job, r.eval_ts or T0, r.value) for r in late) == [("a", rows[5][1], 5.0), ("b", T0, 1.0), ("b", T0, 1.0)]
+    assert pipelines.latest_states(spark, out, ["job"], c).where("job = 'a'").count() == 39
+    corrected = pipelines.correct_late(spark, out, ["job"], c, 30, 90).collect()
+    batch = alerts.alert_states(spark.createDataFrame([*rows, ("b", T0, 1.0, True)], schema), ["job"], 30, 90).collect()
+    assert {(r.job, r.eval_ts): (r.active_since, r.state) for r in corrected} == {
+        (r.job, r.eval_ts): (r.active_since, r.state) for r in batch}
+
+
 def test_running_counts_end_at_the_totals(spark, sf, tmp_path):
     requests = v.fx_requests(v.stream_table(spark, sf, "events"))
     pipelines.running_counts(
