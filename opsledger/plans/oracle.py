@@ -622,6 +622,9 @@ _QUERIES = {
         SELECT event_id, ts, body, body[1:200] AS body_head FROM fx_decoded WHERE NOT good""",
     "stream_dedup": "SELECT event_id, ts, event_type FROM fx_events",
     "stream_event_rate": _RATE.format(keys="event_type", n="n", source="fx_events", where="true"),
+    "stream_windows": """
+        SELECT event_type, window_start, window_end, count(*) AS n
+        FROM fx_events JOIN grid ON ts >= window_start AND ts < window_end GROUP BY ALL""",
     "stream_error_ratio": "SELECT * FROM s_error_ratio",
     "stream_alert_states": f"""
         SELECT substr(labels, 9, 5) AS job, eval_ts, value, active_since, state

@@ -880,7 +880,27 @@ def stream_event_rate(spark, sf):
     pipelines.event_rate_stream(
         events, keys, STEP_S, f"{folder}/buckets", f"{folder}/checkpoint"
     ).awaitTermination()
-    return pipelines.event_rates(spark.read.parquet(f"{folder}/buckets"), keys, RANGE_S, STEP_S)
+    buckets = pipelines.stored_buckets(spark, f"{folder}/buckets", f"{folder}/checkpoint")
+    return pipelines.event_rates(buckets, keys, RANGE_S, STEP_S)
+
+
+@_register
+def stream_windows(spark, sf):
+    """Windows that the watermark has closed, and the corrections that make them whole."""
+    folder = new_folder(spark, "stream-windows")
+    keys, counts = ["event_type"], {"n": F.count("*")}
+    events = v.fx_events(v.stream_table(spark, sf, "events"))
+    pipelines.window_stream(
+        events, keys, counts, RANGE_S, STEP_S, f"{folder}/windows", f"{folder}/windows-checkpoint"
+    ).awaitTermination()
+    pipelines.bucket_stream(
+        events, keys, counts, STEP_S, f"{folder}/buckets", f"{folder}/checkpoint"
+    ).awaitTermination()
+    buckets = pipelines.stored_buckets(spark, f"{folder}/buckets", f"{folder}/checkpoint")
+    totals = pipelines.windows_of(buckets, keys, ["n"], RANGE_S, STEP_S)
+    closed = spark.read.parquet(f"{folder}/windows")
+    corrections = pipelines.window_corrections(closed, totals, keys, ["n"])
+    return pipelines.corrected_windows(closed, corrections, keys, ["n"])
 
 
 def _stream_ratios(spark, sf, folder):
@@ -888,7 +908,8 @@ def _stream_ratios(spark, sf, folder):
     pipelines.error_ratio_stream(
         requests, ["job"], STEP_S, f"{folder}/buckets", f"{folder}/checkpoint"
     ).awaitTermination()
-    return pipelines.error_ratios(spark.read.parquet(f"{folder}/buckets"), ["job"], RANGE_S, STEP_S)
+    buckets = pipelines.stored_buckets(spark, f"{folder}/buckets", f"{folder}/checkpoint")
+    return pipelines.error_ratios(buckets, ["job"], RANGE_S, STEP_S)
 
 
 @_register

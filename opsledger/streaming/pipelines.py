@@ -5,18 +5,30 @@ checkpoint when started again. Pass another ``trigger`` to keep them running, an
 call ``stop()`` on the returned query to end them between two micro-batches.
 """
 
+from datetime import datetime, timedelta
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from opsledger.functions.joins import fits_broadcast, lookup_join
 from opsledger.functions.text import matches_whole
-from opsledger.functions.timegrid import BUCKET, WINDOW_KEYS, expand_buckets, with_bucket
+from opsledger.functions.timegrid import (
+    BUCKET,
+    WINDOW_KEYS,
+    check_grid,
+    expand_buckets,
+    literal_like,
+    with_bucket,
+)
 from opsledger.operators.alerts import alert_states
 from opsledger.operators.events import delivery_attempts, route_events
 from opsledger.operators.ratios import SERVER_ERROR
 from opsledger.sinks.tables import run_of, write_batch
 from opsledger.sources.messages import dead_letters, decode_messages, good_messages
+from opsledger.streaming.parts import Parts
 from opsledger.streaming.processors import alert_processor, rocksdb_state
 
 # Our choice: how far apart the copies of an event may be.
@@ -97,13 +109,17 @@ def bucket_stream(
     """Additive aggregates per key and step bucket; each micro-batch stores its own part.
 
     Nothing is held back or dropped: a row counts in its bucket however late it
-    comes, and a replayed micro-batch replaces its part. ``windows_of`` adds the parts.
+    comes, and a replayed micro-batch changes nothing. Parts are merged in tiers;
+    ``stored_buckets`` reads them, ``windows_of`` adds them.
     """
-    run = run_of(checkpoint)
+    spark = df.sparkSession
+    names = list(counts)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         parts = with_bucket(batch, ts, step_s).groupBy(*keys, BUCKET)
-        write_batch(parts.agg(*[agg.alias(name) for name, agg in counts.items()]), path, batch_id, run)
+        _bucket_parts(spark, path, checkpoint, keys, names).add(
+            parts.agg(*[agg.alias(name) for name, agg in counts.items()]), batch_id
+        )
 
     return (
         df.writeStream.foreachBatch(store)
@@ -113,17 +129,106 @@ def bucket_stream(
     )
 
 
+def _bucket_parts(spark: SparkSession, path: str, checkpoint: str, keys: list[str], names: list[str]) -> Parts:
+    def add_up(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys, BUCKET).agg(*[F.sum(name).alias(name) for name in names])
+
+    return Parts(spark, path, checkpoint, add_up)
+
+
+def stored_buckets(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
+    """The buckets of a ``bucket_stream``; a bucket may lie in several parts."""
+    return Parts(spark, path, checkpoint).read()
+
+
 def windows_of(
-    buckets: DataFrame, keys: list[str], names: list[str], range_s: int, step_s: int
+    buckets: DataFrame,
+    keys: list[str],
+    names: list[str],
+    range_s: int,
+    step_s: int,
+    start: datetime | None = None,
+    end: datetime | None = None,
 ) -> DataFrame:
-    """Sliding totals of the stored buckets, up to all that has come so far."""
+    """Sliding totals of the stored buckets, up to all that has come so far.
+
+    With ``start`` or ``end`` only windows that end after the one and not after the other,
+    and only their buckets are read.
+    """
     sums = [F.sum(name).alias(name) for name in names]
+    if start is not None:
+        buckets = buckets.where(F.col(BUCKET) > literal_like(buckets, BUCKET, start - timedelta(seconds=range_s)))
+    if end is not None:
+        buckets = buckets.where(F.col(BUCKET) < literal_like(buckets, BUCKET, end))
     merged = buckets.groupBy(*keys, BUCKET).agg(*sums)
+    found = expand_buckets(merged, keys, range_s, step_s).groupBy(*keys, *WINDOW_KEYS).agg(*sums)
+    if start is not None:
+        found = found.where(F.col("window_end") > literal_like(found, "window_end", start))
+    if end is not None:
+        found = found.where(F.col("window_end") <= literal_like(found, "window_end", end))
+    return found
+
+
+def window_stream(
+    df: DataFrame,
+    keys: list[str],
+    counts: dict[str, Column],
+    range_s: int,
+    step_s: int,
+    path: str,
+    checkpoint: str,
+    ts: str = "ts",
+    late_s: int = LATE_S,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Sliding totals, each written once, when the watermark has passed its window.
+
+    Two aggregations follow each other: rows to step buckets, then buckets to the windows that
+    hold them, so a row is kept once however many windows it is in. Rows more than
+    ``late_s`` behind the newest are not in the totals; ``window_corrections`` adds them.
+    """
+    check_grid(range_s, step_s)
+    run = run_of(checkpoint)
+    timed = df.withColumn("__at", F.col(ts).cast("timestamp")).withWatermark("__at", f"{late_s} seconds")
+    step = F.window("__at", f"{step_s} seconds")
+    buckets = timed.groupBy(*keys, step.alias("__step")).agg(*[agg.alias(n) for n, agg in counts.items()])
+    span = F.window(F.window_time("__step"), f"{range_s} seconds", f"{step_s} seconds")
+    totals = buckets.groupBy(*keys, span.alias("__window")).agg(*[F.sum(n).alias(n) for n in counts])
+    kind = df.schema[ts].dataType
+    found = totals.select(
+        *keys,
+        *[F.col(f"__window.{side}").cast(kind).alias(f"window_{side}") for side in ("start", "end")],
+        *counts,
+    )
     return (
-        expand_buckets(merged, keys, range_s, step_s).groupBy(*keys, *WINDOW_KEYS).agg(*sums)
+        found.writeStream.outputMode("append")
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id, run))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .start()
     )
 
 
+def window_corrections(windows: DataFrame, totals: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """What must be added to each of ``windows`` to make it the true one.
+
+    ``totals`` comes from ``windows_of``, which counts rows however late; windows that are not
+    closed yet are corrections from nothing. Adding corrections to windows again and again,
+    each time against the sum so far, ends at the totals.
+    """
+    every = [*keys, *WINDOW_KEYS]
+    both = windows.select(*every, *[(-F.col(n)).alias(n) for n in names]).unionByName(totals.select(*every, *names))
+    delta = both.groupBy(*every).agg(*[F.sum(n).alias(n) for n in names])
+    return delta.where(reduce(or_, [F.col(n) != 0 for n in names]))
+
+
+def corrected_windows(windows: DataFrame, corrections: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """Windows with their corrections added."""
+    every = [*keys, *WINDOW_KEYS]
+    both = windows.select(*every, *names).unionByName(corrections.select(*every, *names))
+    return both.groupBy(*every).agg(*[F.sum(n).alias(n) for n in names])
+
+
 def event_rate_stream(
     events: DataFrame,
     keys: list[str],
@@ -208,7 +313,7 @@ def alert_state_stream(
     Those more than ``late_s`` behind the newest go to ``late_evaluations``, without a state;
     ``correct_late`` finds their states from the stored ones.
     """
-    run = run_of(checkpoint)
+    spark, run = evaluations.sparkSession, run_of(checkpoint)
     kinds = {f.name: f.dataType.simpleString() for f in evaluations.schema}
     names = ", ".join(f"`{c}` {kinds[c]}" for c in series)
     # the watermark moves timers; as a plain number the time lets late rows through to be stored
@@ -234,13 +339,14 @@ def alert_state_stream(
     def store(batch: DataFrame, batch_id: int) -> None:
         once = batch.persist()
         try:
-            write_batch(once.where("NOT late").drop("late"), f"{path}/states", batch_id, run)
+            states = once.where("NOT late").drop("late").withColumn("batch_id", F.lit(batch_id))
+            _state_parts(spark, path, checkpoint, series).add(states, batch_id)
             late = once.where("late").select(*series, "eval_ts", "value", "breach")
             write_batch(late, f"{path}/late", batch_id, run)
         finally:
             once.unpersist()
 
-    with rocksdb_state(evaluations.sparkSession):
+    with rocksdb_state(spark):
         return (
             found.writeStream.outputMode("append")
             .foreachBatch(store)
@@ -277,9 +383,17 @@ def correct_late(
     return others.unionByName(corrected.select(others.columns))
 
 
+def _last_word(states: DataFrame, series: list[str]) -> DataFrame:
+    rest = [c for c in states.columns if c not in series and c not in ("eval_ts", "batch_id")]
+    last = F.max_by(F.struct(*rest), "batch_id").alias("s")
+    newest = states.groupBy(*series, "eval_ts").agg(last, F.max("batch_id").alias("batch_id"))
+    return newest.select(*series, "eval_ts", *[F.col("s")[c].alias(c) for c in rest], "batch_id")
+
+
+def _state_parts(spark: SparkSession, path: str, checkpoint: str, series: list[str]) -> Parts:
+    return Parts(spark, f"{path}/states", checkpoint, lambda rows: _last_word(rows, series))
+
+
 def latest_states(spark: SparkSession, path: str, series: list[str], checkpoint: str) -> DataFrame:
     """The newest state of each evaluation that ``alert_state_stream`` has stored."""
-    states = spark.read.parquet(f"{path}/states/run={run_of(checkpoint)}")
-    values = ["value", "breach", "active_since", "state"]
-    last = F.max_by(F.struct(*values), "batch_id").alias("s")
-    return states.groupBy(*series, "eval_ts").agg(last).select(*series, "eval_ts", "s.*")
+    return _last_word(_state_parts(spark, path, checkpoint, series).read(), series).drop("batch_id")

@@ -12,6 +12,7 @@ from opsledger.sources.logs import pod_targets, stream_log_files, with_file_keys
 from opsledger.sources.messages import stream_messages
 from opsledger.sources.rules import NOTIFICATION_RULES, default_channels, rules_table
 from opsledger.streaming import pipelines
+from opsledger.streaming.parts import Parts
 
 T0 = datetime(2024, 1, 1)
 
@@ -85,7 +86,8 @@ def test_late_rows_and_open_windows_count(spark, tmp_path):
         requests = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
         pipelines.error_ratio_stream(
             requests, ["job"], 300, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
-        out = pipelines.error_ratios(spark.read.parquet(str(tmp_path / "out")), ["job"], 300, 300)
+        buckets = pipelines.stored_buckets(spark, str(tmp_path / "out"), str(tmp_path / "c"))
+        out = pipelines.error_ratios(buckets, ["job"], 300, 300)
         return sorted((r.window_start, r.n_part, r.n_all) for r in out.collect())
 
     minute = timedelta(minutes=1)
@@ -95,6 +97,106 @@ def test_late_rows_and_open_windows_count(spark, tmp_path):
         (T0, 2, 2), (T0 + 30 * minute, 0, 1), (T0 + 60 * minute, 0, 1)]
 
 
+def test_windows_close_once_and_corrections_make_them_whole(spark, tmp_path):
+    schema = "ts timestamp_ntz, job string"
+    minute, names = timedelta(minutes=1), ["n", "n_a"]
+    counts = {"n": F.count("*"), "n_a": F.count_if(F.col("job") == "a")}
+    batches = [[0, 1, 5, 12], [7, 20, 21], [3, 40], [2, 4, 30, 41, 90], [0, 91]]
+    rows = [[(T0 + m * minute, j) for m in b for j in ("a", None)] for b in batches]
+    folder = {n: str(tmp_path / n) for n in ("in", "windows", "buckets", "c1", "c2")}
+    closed_before = set()
+    for part in rows:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder["in"])
+        stream = spark.readStream.schema(schema).parquet(folder["in"])
+        pipelines.window_stream(
+            stream, ["job"], counts, 900, 300, folder["windows"], folder["c1"]).awaitTermination()
+        pipelines.bucket_stream(stream, ["job"], counts, 300, folder["buckets"], folder["c2"]).awaitTermination()
+        closed = spark.read.parquet(folder["windows"]).drop("batch_id")
+        found = [(r.job, r.window_end) for r in closed.collect()]
+        assert len(found) == len(set(found)) and closed_before <= set(found)
+        closed_before = set(found)
+        buckets = pipelines.stored_buckets(spark, folder["buckets"], folder["c2"])
+        totals = pipelines.windows_of(buckets, ["job"], names, 900, 300)
+        corrections = pipelines.window_corrections(closed, totals, ["job"], names)
+        whole = pipelines.corrected_windows(closed, corrections, ["job"], names)
+        assert pipelines.window_corrections(whole, totals, ["job"], names).count() == 0
+    expected = {}
+    for m in [m for b in batches for m in b]:
+        for step in range(3):
+            for job in ("a", None):
+                key = job, T0 + (m // 5 * 5 + 5 + 5 * step) * minute
+                n, n_a = expected.get(key, (0, 0))
+                expected[key] = n + 1, n_a + (job == "a")
+    assert {(r.job, r.window_end): (r.n, r.n_a) for r in whole.collect()} == expected
+    late = [r for r in corrections.collect() if (r.job, r.window_end) in closed_before]
+    assert late and len(closed_before) > 10
+    some = pipelines.windows_of(buckets, ["job"], names, 900, 300, T0 + 10 * minute, T0 + 25 * minute)
+    assert {(r.job, r.window_end): (r.n, r.n_a) for r in some.collect()} == {
+        k: v for k, v in expected.items() if T0 + 10 * minute < k[1] <= T0 + 25 * minute}
+
+
+def _part_table(spark, folder, stream="one", fan_in=3, merge=True):
+    (folder / "c").mkdir(exist_ok=True)
+    (folder / "c" / "metadata").write_text(json.dumps({"id": stream}))
+    add_up = lambda rows: rows.groupBy("k").agg(F.sum("n").alias("n"))
+    return Parts(spark, str(folder / "t"), str(folder / "c"), add_up if merge else None, fan_in)
+
+
+def _total(table):
+    return {r.k: r.n for r in table.read().groupBy("k").agg(F.sum("n").alias("n")).collect()}
+
+
+def test_parts_grow_with_the_logarithm_and_ignore_replays(spark, tmp_path):
+    table, first = _part_table(spark, tmp_path), None
+    for i in range(30):
+        table.add(spark.createDataFrame([("a", 1), (f"b{i % 2}", i)], "k string, n long"), i)
+        table.add(spark.createDataFrame([("a", 1), (f"b{i % 2}", i)], "k string, n long"), i)
+        live = table.live()
+        assert [p["first"] for p in live] == [0, *[p["last"] + 1 for p in live[:-1]]] and live[-1]["last"] == i
+        assert len(live) <= 2 * 4
+        if i == 20:
+            first = table.read()
+    assert _total(table) == {"a": 30, "b0": sum(range(0, 30, 2)), "b1": sum(range(1, 30, 2))}
+    table.add(spark.createDataFrame([("a", 1)], "k string, n long"), 4)
+    assert _total(table)["a"] == 30
+    # a reader of an earlier manifest goes on, for a while
+    assert first.groupBy("k").agg(F.sum("n").alias("n")).where("k = 'a'").first()["n"] == 21
+    files = {p.name for p in (tmp_path / "t").glob("run=*/parts/*")}
+    assert len(files) < 30 + 10 - 15
+
+
+def test_a_merge_that_fails_half_way_changes_nothing(spark, tmp_path, monkeypatch):
+    table = _part_table(spark, tmp_path)
+    for i in range(2):
+        table.add(spark.createDataFrame([("a", 1)], "k string, n long"), i)
+    switch = Parts._switch
+
+    def fails(self, manifest, parts, retired):
+        if retired:
+            raise RuntimeError("driver lost")
+        return switch(self, manifest, parts, retired)
+
+    monkeypatch.setattr(Parts, "_switch", fails)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        table.add(spark.createDataFrame([("a", 1)], "k string, n long"), 2)
+    assert _total(table) == {"a": 3} and len(table.live()) == 3
+    monkeypatch.setattr(Parts, "_switch", switch)
+    table.add(spark.createDataFrame([("a", 1)], "k string, n long"), 2)
+    assert _total(table) == {"a": 3} and [p["level"] for p in table.live()] == [1]
+
+
+def test_a_fresh_checkpoint_starts_the_table_anew(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1)], "k string, n long")
+    for i in range(4):
+        _part_table(spark, tmp_path, "one", merge=False).add(rows, i)
+    table = _part_table(spark, tmp_path, "two", merge=False)
+    assert table.read().count() == 4
+    table.add(rows, 0)
+    assert table.read().count() == 1
+    with pytest.raises(FileNotFoundError):
+        Parts(spark, str(tmp_path / "none"), str(tmp_path / "c")).read()
+
+
 def _stream_states(spark, folder, parts):
     schema = "job string, eval_ts timestamp, value double, breach boolean"
     for part in parts:
