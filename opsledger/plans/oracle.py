@@ -621,6 +621,7 @@ _QUERIES = {
     "stream_dead_letter": """
         SELECT event_id, ts, body, body[1:200] AS body_head FROM fx_decoded WHERE NOT good""",
     "stream_dedup": "SELECT event_id, ts, event_type FROM fx_events",
+    "stream_dedup_all": "SELECT event_id, ts, event_type FROM fx_events",
     "stream_event_rate": _RATE.format(keys="event_type", n="n", source="fx_events", where="true"),
     "stream_windows": """
         SELECT event_type, window_start, window_end, count(*) AS n

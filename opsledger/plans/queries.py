@@ -872,6 +872,22 @@ def stream_dedup(spark, sf):
     )
 
 
+@_register
+def stream_dedup_all(spark, sf):
+    """Three micro-batches; copies come in a later one than the event."""
+    folder = new_folder(spark, "stream-dedup-all")
+    events = v.fx_events(_events(spark, sf)).drop("payload")
+    third = F.col("event_id") % 3
+    for i in range(3):
+        again = events.where((F.col("event_id") % 10 == 0) & (third < i))
+        events.where(third == i).unionByName(again).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    pipelines.dedup_all_stream(
+        stream, f"{folder}/out", f"{folder}/checkpoint", same_time=True, buckets=2
+    ).awaitTermination()
+    return spark.read.parquet(f"{folder}/out/events").select("event_id", "ts", "event_type")
+
+
 @_register
 def stream_event_rate(spark, sf):
     folder = new_folder(spark, "stream-rate")

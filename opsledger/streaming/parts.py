@@ -61,11 +61,15 @@ class Parts:
             manifest = {"version": manifest["version"], "stream": stream, "parts": [], "retired": retired}
         if not any(p["first"] <= batch_id <= p["last"] for p in manifest["parts"]):
             part = {"name": self._name(manifest, 0, batch_id, batch_id), "level": 0, "first": batch_id, "last": batch_id}
-            rows.write.mode("overwrite").parquet(f"{self.folder}/{part['name']}")
+            part["note"] = self.write(rows, f"{self.folder}/{part['name']}")
             manifest = self._switch(manifest, [*manifest["parts"], part], [])
         while (chosen := self._crowded(manifest["parts"])) is not None:
             manifest = self._merged(manifest, chosen)
 
+    def write(self, rows: DataFrame, folder: str) -> dict | None:
+        """Write a part, over what an attempt that failed has left; the manifest keeps what is returned."""
+        rows.hint("rebalance").write.mode("overwrite").parquet(folder)
+
     def _crowded(self, parts: list[dict]) -> list[dict] | None:
         for level in sorted({p["level"] for p in parts}):
             same = [p for p in parts if p["level"] == level]
@@ -78,7 +82,7 @@ class Parts:
         part = {"name": self._name(manifest, level, first, last), "level": level, "first": first, "last": last}
         rows = self.read(chosen)
         rows = self.merge(rows) if self.merge else rows
-        rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.folder}/{part['name']}")
+        part["note"] = self.write(rows, f"{self.folder}/{part['name']}")
         at = manifest["parts"].index(chosen[0])
         parts = [p for p in manifest["parts"] if p not in chosen]
         return self._switch(manifest, [*parts[:at], part, *parts[at:]], [p["name"] for p in chosen])

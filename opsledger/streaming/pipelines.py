@@ -23,12 +23,14 @@ from opsledger.functions.timegrid import (
     literal_like,
     with_bucket,
 )
+from opsledger.functions.workspace import dropping_intermediates, stored
 from opsledger.operators.alerts import alert_states
-from opsledger.operators.events import delivery_attempts, route_events
+from opsledger.operators.events import delivery_attempts, first_deliveries, route_events
 from opsledger.operators.ratios import SERVER_ERROR
 from opsledger.sinks.tables import run_of, write_batch
 from opsledger.sources.messages import dead_letters, decode_messages, good_messages
-from opsledger.streaming.parts import Parts
+from opsledger.streaming.keystore import BUCKETS, KeyStore
+from opsledger.streaming.parts import FAN_IN, Parts
 from opsledger.streaming.processors import alert_processor, rocksdb_state
 
 # Our choice: how far apart the copies of an event may be.
@@ -87,6 +89,49 @@ def dedup_stream(events: DataFrame, key: str = "event_id", ts: str = "ts", late_
     return timed.withWatermark(ts, f"{late_s} seconds").dropDuplicatesWithinWatermark([key])
 
 
+def dedup_all_stream(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    key: str = "event_id",
+    ts: str = "ts",
+    same_time: bool = False,
+    trigger: dict | None = None,
+    buckets: int = BUCKETS,
+    fan_in: int = FAN_IN,
+) -> StreamingQuery:
+    """First delivery of each key, however far apart its copies come; nothing is too late.
+
+    Of the copies in one micro-batch the earliest counts. Keys are kept in a ``KeyStore`` under
+    ``path``, events in ``path``/events. ``same_time`` says that copies carry the event's own
+    time, so that only keys of its date are looked up. Rows without a key are nobody's copies.
+    """
+    spark, run = events.sparkSession, run_of(checkpoint)
+    scope = F.coalesce(F.to_date(ts).cast("string"), F.lit("none")) if same_time else F.lit("all")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        keys = KeyStore(spark, f"{path}/keys", checkpoint, buckets, fan_in)
+        first = stored(first_deliveries(batch.where(F.col(key).isNotNull()), key, ts), "dedup-first")
+        named = first.select("*", F.col(key).cast("string").alias("__key"), scope.alias("__scope"))
+        asked = named.select(F.col("__key").alias("key"), F.col("__scope").alias("scope"))
+        known = keys.known(asked, batch_id)
+        fresh = named.join(
+            known.select(F.col("key").alias("__key"), F.col("scope").alias("__scope")), ["__key", "__scope"], "left_anti"
+        )
+        fresh = stored(fresh, "dedup-fresh")
+        out = fresh.drop("__key", "__scope").unionByName(batch.where(F.col(key).isNull()))
+        write_batch(out, f"{path}/events", batch_id, run)
+        new = fresh.select(F.col("__key").alias("key"), F.lit(batch_id).cast("long").alias("batch"), F.col("__scope").alias("scope"))
+        keys.add(new, batch_id)
+
+    return (
+        events.writeStream.foreachBatch(dropping_intermediates(store))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .start()
+    )
+
+
 def rows_behind_watermark(query: StreamingQuery) -> int:
     """Rows that came later than a stream's watermark allows, in its known progress."""
     return sum(
