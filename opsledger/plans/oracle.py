@@ -621,6 +621,10 @@ _QUERIES = {
     "stream_dead_letter": """
         SELECT event_id, ts, body, body[1:200] AS body_head FROM fx_decoded WHERE NOT good""",
     "stream_dedup": "SELECT event_id, ts, event_type FROM fx_events",
+    "stream_retry": """
+        SELECT event_id, channel, CAST(least(attempts_needed, 1 + coalesce(retry, 0)) AS INTEGER)
+                   AS attempts_made, delivered
+        FROM fx_attempts""",
     "stream_dedup_all": "SELECT event_id, ts, event_type FROM fx_events",
     "stream_event_rate": _RATE.format(keys="event_type", n="n", source="fx_events", where="true"),
     "stream_windows": """

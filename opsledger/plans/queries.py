@@ -888,6 +888,29 @@ def stream_dedup_all(spark, sf):
     return spark.read.parquet(f"{folder}/out/events").select("event_id", "ts", "event_type")
 
 
+@_register
+def stream_retry(spark, sf):
+    """Into a sink that refuses a delivery until the attempt that it says it needs."""
+
+    def send(frame):
+        import json
+
+        return [json.loads(b)["attempts_needed"] <= a for b, a in zip(frame["body"], frame["attempt"])]
+
+    folder = new_folder(spark, "stream-retry")
+    deliveries = v.fx_attempts(v.stream_table(spark, sf, "events"), spark)
+    query = pipelines.delivery_stream(
+        deliveries, send, f"{folder}/delivered", f"{folder}/dead", f"{folder}/checkpoint",
+        backoff_s=(0.1,), shards=8, trigger={"processingTime": "100 milliseconds"},
+    )
+    pipelines.settle(query)
+    both = [
+        spark.read.parquet(f"{folder}/{side}").withColumn("delivered", F.lit(side == "delivered"))
+        for side in ("delivered", "dead")
+    ]
+    return union_all(both).select("event_id", "channel", "attempts_made", "delivered")
+
+
 @_register
 def stream_event_rate(spark, sf):
     folder = new_folder(spark, "stream-rate")

@@ -5,6 +5,8 @@ checkpoint when started again. Pass another ``trigger`` to keep them running, an
 call ``stop()`` on the returned query to end them between two micro-batches.
 """
 
+import time
+from collections.abc import Callable
 from datetime import datetime, timedelta
 from functools import reduce
 from operator import or_
@@ -25,17 +27,26 @@ from opsledger.functions.timegrid import (
 )
 from opsledger.functions.workspace import dropping_intermediates, stored
 from opsledger.operators.alerts import alert_states
-from opsledger.operators.events import delivery_attempts, first_deliveries, route_events
+from opsledger.operators.events import (
+    attempts_allowed,
+    delivery_attempts,
+    first_deliveries,
+    route_events,
+)
 from opsledger.operators.ratios import SERVER_ERROR
 from opsledger.sinks.tables import run_of, write_batch
 from opsledger.sources.messages import dead_letters, decode_messages, good_messages
 from opsledger.streaming.keystore import BUCKETS, KeyStore
 from opsledger.streaming.parts import FAN_IN, Parts
-from opsledger.streaming.processors import alert_processor, rocksdb_state
+from opsledger.streaming.processors import alert_processor, delivery_processor, rocksdb_state
 
 # Our choice: how far apart the copies of an event may be.
 LATE_S = 600
 
+# Our choice: seconds before the second, third .. attempt, and how many tasks share the waiting ones.
+BACKOFF_S = (1.0, 5.0, 25.0, 120.0)
+SHARDS = 64
+
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -83,6 +94,84 @@ def route_messages(
     )
 
 
+def delivery_stream(
+    deliveries: DataFrame,
+    send: Callable,
+    delivered: str,
+    dead: str,
+    checkpoint: str,
+    backoff_s: tuple[float, ...] = BACKOFF_S,
+    shards: int = SHARDS,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Send each delivery, again after a delay if it fails, until its attempts run out.
+
+    ``deliveries`` has ``retry``, how many more attempts than one its channel allows (null: none).
+    ``send`` gets pandas frames with ``body``, the delivery as JSON, and ``attempt``; it returns
+    whether each got through. Waiting deliveries and their attempts are the stream's state, so
+    they survive a restart; what was sent just before a failure may be sent again. Settled ones are
+    stored with ``attempts_made``; those out of attempts in ``dead``.
+
+    Repeated attempts need a stream that keeps running: the default trigger is one second.
+    ``settle`` waits until nothing is left to send.
+    """
+    spark, run = deliveries.sparkSession, run_of(checkpoint)
+    # times as written by Spark, to the microsecond
+    formats = {f"timestamp{kind}Format": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" for kind in ("", "NTZ")}
+    body = F.to_json(F.struct("*"), formats | {"ignoreNullFields": "false"})
+    rows = deliveries.select(body.alias("body"), attempts_allowed("retry").cast("int").alias("allowed"))
+    # a stream that goes on without new input would not look at its timers; a row of its own starts it
+    spark.range(1).coalesce(1).write.mode("append").parquet(f"{checkpoint}-wake")
+    wake = spark.readStream.schema("id long").parquet(f"{checkpoint}-wake").where("id < 0")
+    rows = rows.unionByName(wake.select(F.lit("").alias("body"), F.lit(0).alias("allowed")))
+    tried = (
+        rows.withColumn("shard", F.pmod(F.xxhash64("body"), F.lit(shards)).cast("int"))
+        .groupBy("shard")
+        .transformWithStateInPandas(
+            delivery_processor(send, [int(1000 * s) for s in backoff_s]),
+            "shard int, body string, attempts_made int, delivered boolean",
+            "append",
+            "ProcessingTime",
+        )
+    )
+    schema = deliveries.schema
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        once = stored(
+            batch.select(F.from_json("body", schema, formats).alias("d"), "attempts_made", "delivered"), "deliveries"
+        )
+        for path, side in ((delivered, once.where("delivered")), (dead, once.where("NOT delivered"))):
+            write_batch(side.select("d.*", "attempts_made"), path, batch_id, run)
+
+    with rocksdb_state(spark):
+        return (
+            tried.writeStream.outputMode("append")
+            .foreachBatch(dropping_intermediates(store))
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "1 second"}))
+            .start()
+        )
+
+
+def settle(query: StreamingQuery, seconds: float = 600) -> None:
+    """Wait until a ``delivery_stream`` has neither input nor waiting deliveries, and stop it."""
+    end = time.monotonic() + seconds
+    try:
+        while time.monotonic() < end:
+            if not query.isActive:
+                if query.exception() is not None:
+                    raise query.exception()
+                return
+            last = query.lastProgress
+            idle = last is not None and last["numInputRows"] == 0 and last["stateOperators"]
+            if idle and last["stateOperators"][0]["numRowsTotal"] == 0:
+                return
+            time.sleep(0.2)
+        raise TimeoutError(f"deliveries are still waiting after {seconds} s")
+    finally:
+        query.stop()
+
+
 def dedup_stream(events: DataFrame, key: str = "event_id", ts: str = "ts", late_s: int = LATE_S) -> DataFrame:
     """First delivery of each key; a copy must come within ``late_s`` of the first."""
     timed = events.withColumn(ts, F.col(ts).cast("timestamp"))

@@ -104,3 +104,62 @@ def alert_processor(series: list[str], step_s: int, hold_s: int, late_s: int) ->
             pass
 
     return AlertStates()
+
+
+def delivery_processor(send, backoff_ms: list[int]) -> StatefulProcessor:
+    """Attempts and repeated attempts, for ``transformWithStateInPandas`` over a ``shard`` of deliveries.
+
+    Rows are ``body`` (text) and ``allowed`` (attempts). ``send`` takes a frame with ``body`` and
+    ``attempt`` (from 1) and returns for each row whether it got through; an exception means that none
+    did. Failed deliveries wait in the shard's state until a processing-time timer finds them
+    due: after the k-th attempt the k-th of ``backoff_ms``, then the last. Settled deliveries
+    come out with ``attempts_made`` and ``delivered``.
+    """
+
+    class Deliveries(StatefulProcessor):
+        def init(self, handle):
+            self.handle = handle
+            self.waiting = handle.getListState("waiting", "body string, allowed int, attempts int, due long")
+
+        def handleInputRows(self, key, rows, timerValues):
+            new = [(b, int(a), 0, 0) for frame in rows for b, a in zip(frame["body"], frame["allowed"])]
+            yield self._try(key, new, [], timerValues.getCurrentProcessingTimeInMs())
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            now = timerValues.getCurrentProcessingTimeInMs()
+            held = [tuple(row) for row in self.waiting.get()] if self.waiting.exists() else []
+            due = [row for row in held if row[3] <= now]
+            self.waiting.clear()
+            yield self._try(key, due, [row for row in held if row[3] > now], now)
+
+        def _try(self, key, rows, others, now):
+            import pandas as pd
+
+            settled, failed = [], []
+            if rows:
+                frame = pd.DataFrame({"body": [r[0] for r in rows], "attempt": [r[2] + 1 for r in rows]})
+                try:
+                    through = [bool(x) for x in send(frame)]
+                except Exception:  # a sink that is down fails all
+                    through = [False] * len(rows)
+                if len(through) != len(rows):
+                    raise ValueError("send answers for each row")
+                for (body, allowed, attempts, _), ok in zip(rows, through):
+                    made = attempts + 1
+                    if ok or made >= allowed:
+                        settled.append((key[0], body, made, ok))
+                    else:
+                        wait = backoff_ms[min(made, len(backoff_ms)) - 1]
+                        failed.append((body, allowed, made, now + wait))
+            if others:
+                self.waiting.put(others + failed)
+            elif failed:
+                self.waiting.appendList(failed)
+            if failed:
+                self.handle.registerTimer(min(row[3] for row in failed))
+            return pd.DataFrame(settled, columns=["shard", "body", "attempts_made", "delivered"])
+
+        def close(self):
+            pass
+
+    return Deliveries()

@@ -278,6 +278,69 @@ def test_evaluations_behind_the_watermark_are_kept_and_corrected(spark, tmp_path
         (r.job, r.eval_ts): (r.active_since, r.state) for r in batch}
 
 
+DELIVERIES = "event_id long, ts timestamp_ntz, retry int, needs int, labels map<string,string>"
+
+
+def _deliver(spark, folder, send, seconds=60, wait=True):
+    stream = spark.readStream.schema(DELIVERIES).parquet(str(folder / "in"))
+    query = pipelines.delivery_stream(
+        stream, send, str(folder / "sent"), str(folder / "dead"), str(folder / "c"), backoff_s=(0.1, 0.3), shards=2,
+        trigger={"processingTime": "100 milliseconds"})
+    if wait:
+        pipelines.settle(query, seconds)
+    return query
+
+
+def _delivered(spark, folder, side):
+    return sorted((r.event_id, r.attempts_made) for r in spark.read.parquet(str(folder / side)).collect())
+
+
+def test_deliveries_are_tried_again_until_they_run_out(spark, tmp_path):
+    odd = T0 + timedelta(microseconds=123456)
+    rows = [(i, odd, [None, 0, 3][i % 3], i % 6, {"a": "1"}) for i in range(60)] + [(99, None, 2, 1, None)]
+    _feed_deliveries(spark, tmp_path, rows)
+
+    def send(frame):
+        import json
+
+        needs = [json.loads(b)["needs"] for b in frame["body"]]
+        if any(n == 5 for n in needs) and frame["attempt"].max() == 1:
+            raise OSError("sink down")
+        return [n <= a for n, a in zip(needs, frame["attempt"])]
+
+    _deliver(spark, tmp_path, send)
+    sent, dead = (dict(_delivered(spark, tmp_path, side)) for side in ("sent", "dead"))
+    assert sent.keys() | dead.keys() == {r[0] for r in rows} and not sent.keys() & dead.keys()
+    for event_id, _, retry, needs, _ in rows:
+        allowed = 1 + (retry or 0)
+        # the first attempt of a shard failed whole, as its sink was down
+        if event_id in dead:
+            assert dead[event_id] == allowed and needs >= allowed or allowed == 1
+        else:
+            assert max(needs, 1) <= sent[event_id] <= allowed
+    kept = {r.event_id: (r.ts, r.labels) for r in spark.read.parquet(str(tmp_path / "sent")).collect()}
+    assert kept[99] == (None, None) and all(kept[i] == (odd, {"a": "1"}) for i in kept if i != 99)
+
+
+def _feed_deliveries(spark, folder, rows):
+    spark.createDataFrame(rows, DELIVERIES).coalesce(1).write.mode("append").parquet(str(folder / "in"))
+
+
+def test_waiting_deliveries_survive_a_restart(spark, tmp_path):
+    import time
+
+    _feed_deliveries(spark, tmp_path, [(1, T0, 50, 1, None)])
+    query = _deliver(spark, tmp_path, lambda frame: [False] * len(frame), wait=False)
+    end = time.time() + 60
+    while not (query.lastProgress and query.lastProgress["batchId"] >= 3) and time.time() < end:
+        time.sleep(0.1)
+    query.stop()
+    assert _delivered(spark, tmp_path, "sent") == []
+    _deliver(spark, tmp_path, lambda frame: [True] * len(frame))
+    ((event_id, attempts),) = _delivered(spark, tmp_path, "sent")
+    assert event_id == 1 and attempts >= 2 and _delivered(spark, tmp_path, "dead") == []
+
+
 def test_running_counts_end_at_the_totals(spark, sf, tmp_path):
     requests = v.fx_requests(v.stream_table(spark, sf, "events"))
     pipelines.running_counts(
