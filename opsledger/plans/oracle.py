@@ -310,6 +310,10 @@ _RATE = """
     FROM {source} JOIN grid ON ts >= window_start AND ts < window_end
     WHERE {where} GROUP BY {keys}, window_start, window_end"""
 
+_CARDINALITY = """
+        SELECT job, window_start, window_end, count(DISTINCT (method, status_code, path)) AS n_series
+        FROM fx_requests JOIN grid ON ts >= window_start AND ts < window_end GROUP BY ALL"""
+
 _QUERIES = {
     "orders_scan": "SELECT * FROM fx_orders",
     "orders_in_period": """
@@ -497,6 +501,8 @@ _QUERIES = {
         FROM (SELECT DISTINCT job, method, path, status_code FROM fx_requests)
         UNION ALL
         SELECT 'requests_by_raw_path_total', count(DISTINCT '/orders/' || event_id) FROM events""",
+    "windowed_cardinality": _CARDINALITY,
+    "stream_cardinality": _CARDINALITY,
     "label_regex_filter": """
         SELECT * FROM fx_requests WHERE regexp_full_match(status_code, '4..|5..')
                                     AND regexp_full_match(job, 'svc-[0-3]')""",
@@ -540,7 +546,10 @@ _QUERIES = {
         f"alert_{name}": _STATES.format(source=f"(SELECT * FROM evaluated_all WHERE alert = '{alert}')")
         for name, alert in _ALERTS.items()
     },
-    "alert_rules": _STATES.format(source="evaluated_all"),
+    "alert_rules": " UNION ALL ".join(
+        f"SELECT * FROM ({_STATES.format(source=f"(SELECT * FROM evaluated_all WHERE alert = '{alert}')")})"
+        for alert in _ALERTS.values()
+    ),
     "log_scan": """
         SELECT ts, uid, 'app' AS container, strftime(ts, '%Y-%m-%d %H:%M:%S,%g') AS time, level,
                message, CAST(status_code AS VARCHAR) AS status_code, line FROM fx_logs""",

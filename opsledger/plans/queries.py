@@ -12,6 +12,7 @@ from opsledger.functions.timegrid import BUCKET, WINDOW_KEYS, in_last, with_buck
 from opsledger.functions.workspace import new_folder, stored
 from opsledger.operators import (
     alerts,
+    cardinality,
     counters,
     events as ev,
     gauges,
@@ -434,6 +435,17 @@ def series_cardinality(spark, sf):
     return by_template.unionByName(by_id)
 
 
+_SERIES = ["method", "status_code", "path"]
+
+
+@_register
+def windowed_cardinality(spark, sf):
+    """Label sets of each job in sliding windows, from stored states of an hour."""
+    requests = v.fx_requests(_events(spark, sf))
+    states = stored(cardinality.label_states(requests, ["job"], _SERIES, STEP_S), "label-states")
+    return cardinality.windowed_cardinality(states, ["job"], RANGE_S, STEP_S)
+
+
 @_register
 def label_regex_filter(spark, sf):
     return v.fx_requests(_events(spark, sf)).where(lg.label_matches(status_code="4..|5..", job="svc-[0-3]"))
@@ -951,6 +963,17 @@ def _stream_ratios(spark, sf, folder):
     return pipelines.error_ratios(buckets, ["job"], RANGE_S, STEP_S)
 
 
+@_register
+def stream_cardinality(spark, sf):
+    folder = new_folder(spark, "stream-labels")
+    requests = v.fx_requests(v.stream_table(spark, sf, "events"))
+    pipelines.label_state_stream(
+        requests, ["job"], _SERIES, STEP_S, f"{folder}/states", f"{folder}/checkpoint"
+    ).awaitTermination()
+    states = pipelines.stored_buckets(spark, f"{folder}/states", f"{folder}/checkpoint")
+    return cardinality.windowed_cardinality(states, ["job"], RANGE_S, STEP_S)
+
+
 @_register
 def stream_error_ratio(spark, sf):
     return _stream_ratios(spark, sf, new_folder(spark, "stream-ratio"))

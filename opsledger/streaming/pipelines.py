@@ -27,6 +27,7 @@ from opsledger.functions.timegrid import (
 )
 from opsledger.functions.workspace import dropping_intermediates, stored
 from opsledger.operators.alerts import alert_states
+from opsledger.operators.cardinality import LG_K, label_states, united
 from opsledger.operators.events import (
     attempts_allowed,
     delivery_attempts,
@@ -271,7 +272,7 @@ def _bucket_parts(spark: SparkSession, path: str, checkpoint: str, keys: list[st
 
 
 def stored_buckets(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
-    """The buckets of a ``bucket_stream``; a bucket may lie in several parts."""
+    """The buckets of a ``bucket_stream`` or ``label_state_stream``; one may lie in several parts."""
     return Parts(spark, path, checkpoint).read()
 
 
@@ -403,6 +404,32 @@ def error_ratios(buckets: DataFrame, keys: list[str], range_s: int, step_s: int)
     return counts.withColumn("ratio", F.try_divide("n_part", "n_all"))
 
 
+def label_state_stream(
+    samples: DataFrame,
+    by: list[str],
+    labels: list[str],
+    step_s: int,
+    path: str,
+    checkpoint: str,
+    ts: str = "ts",
+    trigger: dict | None = None,
+    lg_k: int = LG_K,
+) -> StreamingQuery:
+    """States of label sets per key and bucket, for ``windowed_cardinality``; late rows unite too."""
+    spark = samples.sparkSession
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        parts = Parts(spark, path, checkpoint, lambda rows: united(rows, by))
+        parts.add(label_states(batch, by, labels, step_s, ts, lg_k), batch_id)
+
+    return (
+        samples.writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .start()
+    )
+
+
 def append_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     return (
         df.writeStream.format("parquet")
