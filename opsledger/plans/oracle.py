@@ -599,6 +599,12 @@ _QUERIES = {
         SELECT job, bucket, v, (upto - w)::BIGINT AS before, upto::BIGINT AS upto, total::BIGINT AS total
         FROM placed
         WHERE upto = w OR ((upto - w) * 16) // total < (upto * 16) // total""",
+    "log_search": """
+        SELECT 'text' AS search, line FROM fx_logs WHERE trace_id = '77'
+        UNION ALL
+        SELECT 'regex', line FROM fx_logs
+        WHERE message IN ('order created', 'upstream timeout') AND trace_id LIKE '%7'
+              AND len(trace_id) BETWEEN 2 AND 3""",
     "log_tail": "SELECT ts, line FROM fx_logs ORDER BY ts DESC, line LIMIT 1000",
     "log_last_hours": """
         SELECT ts, path FROM fx_logs

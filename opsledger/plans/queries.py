@@ -22,6 +22,7 @@ from opsledger.operators import (
     quality,
     quantiles,
     ratios,
+    skip_index,
 )
 from opsledger.plans import alert_rules as ar
 from opsledger.plans import views as v
@@ -816,6 +817,22 @@ def log_quantile_by_app(spark, sf):
     return found.withColumn("quantile", F.round("quantile", 6))
 
 
+@_register
+def log_search(spark, sf):
+    """Log files by pod, indexed, and two searches that open only files that may match."""
+    folder = new_folder(spark, "log-search")
+    lines = _logs(spark, sf).select(F.regexp_extract("path", "pods/([0-9]+)/", 1).alias("uid"), "line")
+    lines.hint("rebalance", "uid").write.partitionBy("uid").text(f"{folder}/logs")
+    glob = f"{folder}/logs/*/*.txt"
+    skip_index.build_index(spark, glob).write.parquet(f"{folder}/index")
+    index = spark.read.parquet(f"{folder}/index")
+    found = {
+        "text": skip_index.search(spark, glob, index, text='"trace_id":"77"'),
+        "regex": skip_index.search(spark, glob, index, regex='(order created|timeout).*"trace_id":"[0-9]?[0-9]7"'),
+    }
+    return union_all([df.select(F.lit(name).alias("search"), "line") for name, df in found.items()])
+
+
 @_register
 def log_tail(spark, sf):
     return lg.tail(_logs(spark, sf), [F.col("ts").desc(), F.col("line")]).select("ts", "line")
