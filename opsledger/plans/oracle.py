@@ -437,6 +437,21 @@ _QUERIES = {
               UNION ALL SELECT '*.created', event_type FROM fx_events WHERE event_type = 'order.created'
               UNION ALL SELECT '#.shipped', event_type FROM fx_events WHERE event_type = 'order.shipped')
         GROUP BY 1, 2""",
+    "topic_bindings": """
+        WITH topics AS (
+            SELECT e.event_type, 'svc-' || (user_id % 5) AS job, user_id % 50 AS u
+            FROM fx_events e JOIN events USING (event_id)),
+        matched AS (
+            SELECT n_nationkey AS binding,
+                   'order.*.svc-' || (n_nationkey % 5) || '.u' || n_nationkey AS pattern
+            FROM topics JOIN nation ON u = n_nationkey AND job = 'svc-' || (n_nationkey % 5)
+            UNION ALL SELECT n_nationkey, '#.u' || n_nationkey FROM topics JOIN nation ON u = n_nationkey
+            UNION ALL SELECT n_nationkey, '*.created.#.u' || n_nationkey
+            FROM topics JOIN nation ON u = n_nationkey AND event_type = 'order.created'
+            UNION ALL SELECT n_nationkey, 'order.#.svc-' || n_nationkey || '.*'
+            FROM topics JOIN nation ON job = 'svc-' || n_nationkey
+            UNION ALL SELECT 0, '#' FROM topics)
+        SELECT binding, pattern, count(*) AS n FROM matched GROUP BY ALL""",
     "order_topic": """
         SELECT event_id, event_type FROM fx_events WHERE event_type = 'order.created'""",
     "message_counts": """

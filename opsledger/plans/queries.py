@@ -23,6 +23,7 @@ from opsledger.operators import (
     quantiles,
     ratios,
     skip_index,
+    topics,
 )
 from opsledger.plans import alert_rules as ar
 from opsledger.plans import views as v
@@ -257,6 +258,13 @@ def topic_subscribe(spark, sf):
     return union_all(bound)
 
 
+@_register
+def topic_bindings(spark, sf):
+    """Messages per binding, of 125 bindings at once."""
+    found = topics.subscribed(v.fx_topics(_events(spark, sf)), v.fx_bindings(spark, sf))
+    return found.groupBy("binding", "pattern").agg(F.count("*").alias("n"))
+
+
 @_register
 def order_topic(spark, sf):
     return ev.subscribe(v.fx_events(_events(spark, sf)), "*.created").select(

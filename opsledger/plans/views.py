@@ -149,6 +149,28 @@ def rules(spark: SparkSession) -> tuple[DataFrame, Column]:
     return rules_table(spark, NOTIFICATION_RULES), default_channels(NOTIFICATION_RULES)
 
 
+def fx_topics(events: DataFrame) -> DataFrame:
+    """Routing keys of four words: event type (two words), service, user."""
+    kind = _choose("event_type", _EVENT_TYPES, F.col("event_type"))
+    user = F.concat(F.lit("u"), (F.col("user_id") % 50).cast("string"))
+    return events.select("event_id", F.concat_ws(".", kind, _job(), user).alias("topic"))
+
+
+def fx_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five patterns for each nation."""
+    k = F.col("n_nationkey").cast("string")
+    patterns = F.array(
+        F.concat(F.lit("order.*.svc-"), (F.col("n_nationkey") % 5).cast("string"), F.lit(".u"), k),
+        F.concat(F.lit("#.u"), k),
+        F.concat(F.lit("*.created.#.u"), k),
+        F.concat(F.lit("order.#.svc-"), k, F.lit(".*")),
+        F.when(F.col("n_nationkey") == 0, "#").otherwise(F.concat(F.lit("order.created.u"), k)),
+    )
+    return table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("binding"), F.explode(patterns).alias("pattern")
+    )
+
+
 def _attempts_needed() -> Column:
     return (F.col("event_id") % 5 + 1).cast("int")
 
