@@ -105,8 +105,8 @@ def _settled(tree):
     parts = [_settled(p) for p in parts]
     if kind == "any":
         return None if any(p is None for p in parts) else (kind, parts)
-    parts = [p for p in parts if p is not None]
-    return (kind, parts) if parts else None
+    parts = [q for p in parts if p is not None for q in (p[1] if p[0] == "all" else [p])]
+    return (kind, parts) if len(parts) > 1 else parts[0] if parts else None
 
 
 def needed_of_text(text: str):

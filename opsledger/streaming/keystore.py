@@ -97,16 +97,15 @@ class KeyStore(Parts):
             return keys.limit(0)
         hits = stored(self.maybe(keys), "dedup-maybe")
         # at most one row per folder: scopes of the micro-batch x buckets x parts
-        folders = [
-            f"{self.folder}/{parts[r['part']]['name']}/keys/scope={_escaped(r['scope'])}/bucket={r['bucket']}"
-            for r in hits.select("part", "scope", "bucket").distinct().collect()
-        ]
-        self.opened = len(folders)
+        folders = {}
+        for r in hits.select("part", "scope", "bucket").distinct().collect():
+            base = f"{self.folder}/{parts[r['part']]['name']}/keys"
+            folders.setdefault(base, []).append(f"{base}/scope={_escaped(r['scope'])}/bucket={r['bucket']}")
+        self.opened = sum(map(len, folders.values()))
         if not folders:
             return keys.limit(0)
-        held = union_all([
-            self.spark.read.schema(_KEYS).option("basePath", f"{f.split('/keys/')[0]}/keys").parquet(f) for f in folders
-        ])
+        read = self.spark.read.schema(_KEYS)
+        held = union_all([read.option("basePath", base).parquet(*paths) for base, paths in folders.items()])
         old = held.where(F.col("batch") < before).select("key", "scope")
         return hits.select("key", "scope").distinct().join(old, ["key", "scope"], "left_semi")
 
