@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opsledger.functions.joins import lookup_join
 from opsledger.functions.text import topic_regex
@@ -107,13 +108,21 @@ def message_counts(events: DataFrame, needed: str = "attempts_needed") -> DataFr
 def first_deliveries(events: DataFrame, key: str = "event_id", ts: str = "ts") -> DataFrame:
     """One row per key: the earliest of its copies, whatever order they come in.
 
-    Copies of one time are told apart by their content, which may hold maps.
+    Copies of one time are told apart by their content, column by column; maps by their entries.
     """
-    rest = [c for c in events.columns if c != key]
-    times = [ts] if ts in rest else []
-    order = F.struct(*times, F.to_json(F.struct(*rest)))
-    first = events.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("__first"))
-    return first.select(key, *[F.col("__first")[c].alias(c) for c in rest])
+    rest = [f for f in events.schema if f.name != key]
+    names = [f.name for f in rest]
+    order = F.struct(*[ts] * (ts in names), *[_comparable(f) for f in rest if f.name != ts])
+    first = events.groupBy(key).agg(F.min_by(F.struct(*names), order).alias("__first"))
+    return first.select(key, *[F.col("__first")[c].alias(c) for c in names])
+
+
+def _comparable(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.MapType) and isinstance(field.dataType.valueType, T.AtomicType):
+        return F.array_sort(F.map_entries(field.name)).alias(field.name)
+    if isinstance(field.dataType, T.AtomicType):
+        return F.col(field.name)
+    return F.to_json(F.struct(field.name)).alias(field.name)
 
 
 def reconcile(orders: DataFrame, event_orders: DataFrame) -> DataFrame:

@@ -621,6 +621,7 @@ _QUERIES = {
         WHERE message IN ('order created', 'upstream timeout') AND trace_id LIKE '%7'
               AND len(trace_id) BETWEEN 2 AND 3""",
     "log_tail": "SELECT ts, line FROM fx_logs ORDER BY ts DESC, line LIMIT 1000",
+    "log_tail_many": "SELECT ts, line FROM fx_logs ORDER BY ts DESC, line LIMIT 3000",
     "log_last_hours": """
         SELECT ts, path FROM fx_logs
         WHERE ts >= TIMESTAMP '2024-01-15 06:00:00' AND ts < TIMESTAMP '2024-01-15 12:00:00'""",

@@ -846,6 +846,12 @@ def log_tail(spark, sf):
     return lg.tail(_logs(spark, sf), [F.col("ts").desc(), F.col("line")]).select("ts", "line")
 
 
+@_register
+def log_tail_many(spark, sf):
+    newest = [F.col("ts").desc(), F.col("line")]
+    return lg.tail(_logs(spark, sf), newest, 3000, newest_by="ts").select("ts", "line")
+
+
 @_register
 def log_last_hours(spark, sf):
     return in_last(_logs(spark, sf), "ts", RANGE_S, datetime(2024, 1, 15, 12)).select("ts", "path")

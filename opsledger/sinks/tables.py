@@ -18,22 +18,37 @@ def _by_folder(df: DataFrame, *keys: str):
 
 
 def append_orders(
-    requests: DataFrame, path: str, as_of: datetime | None = None, rejected: str | None = None
+    requests: DataFrame,
+    path: str,
+    as_of: datetime | None = None,
+    rejected: str | None = None,
+    run: str | None = None,
 ) -> None:
     """Store accepted requests by date. Publish their events from the stored table only.
 
-    Refused requests go to ``rejected``, by default beside the orders, with the reason.
+    Refused requests go to ``rejected``, by default beside the orders, with the reason. A named
+    ``run`` that is repeated replaces the orders and refusals it stored before, under ``run=``;
+    without a name each call adds to the table.
     """
-    orders = new_orders(requests, as_of).withColumn(CREATED_DATE, F.to_date("created_at"))
-    _by_folder(orders, CREATED_DATE).mode("append").parquet(path)
-    refused = rejected_requests(requests)
-    refused.write.mode("append").parquet(rejected or f"{path.rstrip('/')}_rejected")
+    once = stored(requests, "order-requests")
+    orders = new_orders(once, as_of).withColumn(CREATED_DATE, F.to_date("created_at"))
+    _mode(_by_folder(orders, CREATED_DATE), run).parquet(_of_run(path, run))
+    other = rejected or f"{path.rstrip('/')}_rejected"
+    _mode(rejected_requests(once).write, run).parquet(_of_run(other, run))
 
 
-def publish_events(events: DataFrame, path: str) -> None:
-    """Envelopes as text, in one folder per routing key."""
+def _of_run(path: str, run: str | None) -> str:
+    return path if run is None else f"{path.rstrip('/')}/run={run}"
+
+
+def _mode(writer, run: str | None):
+    return writer.mode("append" if run is None else "overwrite")
+
+
+def publish_events(events: DataFrame, path: str, run: str | None = None) -> None:
+    """Envelopes as text, in one folder per routing key; a repeated ``run`` replaces its own."""
     bodies = encode_events(events).select("routing_key", F.col("body").alias("value"))
-    _by_folder(bodies, "routing_key").mode("append").text(path)
+    _mode(_by_folder(bodies, "routing_key"), run).text(_of_run(path, run))
 
 
 def publish_event_stream(events: DataFrame, path: str, checkpoint: str):

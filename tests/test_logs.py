@@ -110,6 +110,32 @@ def test_lines_during_an_alert(spark, max_rows):
     assert sorted((r.app, r.ts, r.start_ts) for r in found.collect()) == expected
 
 
+def test_a_long_alert_is_a_few_blocks(spark):
+    rng = random.Random(2)
+    spans = [(0, 365 * 86400), (5, 5), (3600, 3599), (-7200, 86400)]
+    spans += [(a, a + rng.randrange(10**6)) for a in (rng.randrange(-(10**6), 10**6) for _ in range(60))]
+    base = datetime(1970, 1, 1)
+    rows = [(i, base + timedelta(seconds=a), base + timedelta(seconds=b)) for i, (a, b) in enumerate(spans)]
+    frame = spark.createDataFrame(rows, "i int, start_ts timestamp_ntz, end_ts timestamp_ntz")
+    blocks = {}
+    for r in lg.interval_blocks(frame, 3600).collect():
+        blocks.setdefault(r.i, []).extend(range(r["__block"] << r["__size"], (r["__block"] + 1) << r["__size"]))
+    assert lg.interval_blocks(frame.where("i = 0"), 3600).count() < 40
+    for i, (a, b) in enumerate(spans):
+        assert sorted(blocks.get(i, [])) == (list(range(a // 3600, b // 3600 + 1)) if a <= b else [])
+
+
+def test_tail_by_threshold(spark):
+    rng = random.Random(5)
+    rows = [(_at(rng.choice([0, 1, 59, 3600, 3601, 86400, 90061])) if rng.random() < 0.95 else None, f"l{i}") for i in range(900)]
+    frame = spark.createDataFrame(rows, "ts timestamp_ntz, line string").repartition(7)
+    ordered = sorted(rows, key=lambda r: (-(r[0] - _at(0)).total_seconds() if r[0] else 10**9, r[1]))
+    for limit in (1, 130, 500, 899, 5000):
+        found = lg.tail(frame, [F.col("ts").desc(), F.col("line")], limit, newest_by="ts")
+        assert [(r.ts, r.line) for r in found.collect()] == ordered[:limit]
+    assert lg.tail(frame.limit(0), [F.col("ts").desc()], 5, newest_by="ts").count() == 0
+
+
 def test_tail_keeps_the_newest_of_many_partitions(spark):
     frame = spark.range(0, 5000, numPartitions=20).select(
         (F.col("id") * 7919 % 5000).alias("ts"), F.col("id").cast("string").alias("line"))

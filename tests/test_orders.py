@@ -237,3 +237,17 @@ def test_report_document_dates(spark, summary):
     assert (row.period_start_date, row.period_end_date) == (date(2024, 1, 1), date(2024, 1, 8))
 
 
+def test_a_repeated_run_replaces_its_orders(spark, tmp_path):
+    from opsledger.sinks.tables import publish_events
+
+    schema = "customer_id string, product_id string, quantity string, status string"
+    requests = spark.createDataFrame([("c", "p", "2", None), ("c", "p", "x", None)], schema)
+    path = str(tmp_path / "orders")
+    for run in ("a", "a", "b"):
+        append_orders(requests, path, START, run=run)
+    assert spark.read.parquet(path).count() == 2
+    assert spark.read.parquet(f"{path}_rejected").count() == 2
+    events = od.created_events(spark.read.parquet(path))
+    for _ in range(2):
+        publish_events(events, str(tmp_path / "events"), run="a")
+    assert spark.read.text(str(tmp_path / "events")).count() == 2
