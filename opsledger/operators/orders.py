@@ -36,7 +36,7 @@ def orders_in_period(orders: DataFrame, start, end) -> DataFrame:
     return in_range(orders, "created_at", start, end, partition)
 
 
-def _counts() -> list[Column]:
+def status_counts() -> list[Column]:
     per_status = [F.count_if(F.col("status") == s).alias(s) for s in STATUSES]
     return [F.count("*").alias("total_orders"), *per_status]
 
@@ -54,7 +54,7 @@ def order_summary(
     kind = orders.schema["created_at"].dataType
     return (
         orders_in_period(orders, start, end)
-        .agg(*_counts())
+        .agg(*status_counts())
         .withColumn("period_start", start.cast(kind))
         .withColumn("period_end", end.cast(kind))
     )
@@ -76,8 +76,13 @@ def sliding_summary(
     schedule step; only those few counts are repeated per period.
     """
     per_step = (
-        with_bucket(orders, "created_at", every_s, anchor_s).groupBy(BUCKET).agg(*_counts())
+        with_bucket(orders, "created_at", every_s, anchor_s).groupBy(BUCKET).agg(*status_counts())
     )
+    return summary_of_steps(per_step, period_s, every_s, anchor_s)
+
+
+def summary_of_steps(per_step: DataFrame, period_s: int, every_s: int, anchor_s: int) -> DataFrame:
+    """``sliding_summary`` from the counts of each schedule step."""
     names = ["total_orders", *STATUSES]
     counted = expand_buckets(per_step, [], period_s, every_s, anchor_s)
     every, period = seconds(every_s), seconds(period_s)

@@ -332,6 +332,7 @@ _QUERIES = {
         UNION ALL SELECT 5, 'confirmed', CAST(confirmed AS VARCHAR) FROM s
         UNION ALL SELECT 6, 'cancelled', CAST(cancelled AS VARCHAR) FROM s""",
     "report_sliding": _DAILY,
+    "report_incremental": _DAILY,
     "report_weekly": _sliding(7, 7, "1970-01-05 06:00:00"),
     "report_shares": f"""
         WITH s AS ({_DAILY})

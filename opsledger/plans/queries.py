@@ -18,6 +18,7 @@ from opsledger.operators import (
     gauges,
     histograms,
     logs as lg,
+    order_counts,
     orders as od,
     quality,
     quantiles,
@@ -112,6 +113,19 @@ def report_sliding(spark, sf):
     return od.sliding_summary(v.fx_orders(spark, sf))
 
 
+@_register
+def report_incremental(spark, sf):
+    """Orders stored in two steps by month; the second refresh counts the months that changed."""
+    folder = new_folder(spark, "report-incremental")
+    orders = v.fx_orders(spark, sf).select("created_at", "status", F.date_format("created_at", "yyyy-MM").alias("month"))
+    recent = F.col("created_at") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    for part in (orders.where(~recent), orders.where(recent)):
+        part.hint("rebalance", "month").write.partitionBy("month").mode("append").parquet(f"{folder}/orders")
+        kept = spark.read.parquet(f"{folder}/orders")
+        order_counts.refresh_counts(spark, kept, f"{folder}/orders", f"{folder}/counts", partition="month")
+    return order_counts.kept_summary(spark, f"{folder}/counts")
+
+
 @_register
 def report_weekly(spark, sf):
     """Weekly on Monday at 06:00."""
