@@ -178,8 +178,8 @@ def report_html(summary: DataFrame) -> DataFrame:
     def row(status: str) -> Column:
         pct = _share(status)
         return F.format_string(
-            '<tr class="%s"><td>%s</td><td>%d</td><td>%s%%</td>'
-            '<td><span class="bar" style="width: %d%%"></span></td></tr>',
+            '<tr data-status="%s"><th scope="row">%s</th><td>%d</td><td>%s%%</td>'
+            '<td><hr align="left" style="width: %d%%"></td></tr>',
             F.lit(status),
             text.html_escape(F.lit(status)),
             F.col(status),
@@ -193,7 +193,7 @@ def report_html(summary: DataFrame) -> DataFrame:
         "<!DOCTYPE html><html><head><title>Order Report %s – %s</title></head><body>"
         "<h1>Order Summary Report</h1><p>Period: %s – %s | Generated: %s</p><table>"
         "<tr><th>Status</th><th>Count</th><th>Share</th><th></th></tr>%s"
-        '<tr class="total"><td>Total</td><td>%d</td><td>100%%</td><td></td></tr>'
+        '<tr><th scope="row">Total</th><td>%d</td><td>100%%</td><td></td></tr>'
         "</table></body></html>",
         *[d.cast("string") for d in (start, end, start, end)],
         text.minute_label("period_end"),

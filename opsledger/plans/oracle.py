@@ -350,11 +350,11 @@ _QUERIES = {
             UNION ALL SELECT period_start, 3, 'cancelled', cancelled, total_orders FROM s),
         t AS (
             SELECT period_start, string_agg(
-                '<tr class="' || status || '"><td>' || status || '</td><td>' || n || '</td><td>'
+                '<tr data-status="' || status || '"><th scope="row">' || status || '</th><td>' || n || '</td><td>'
                 || printf('%.1f', round_even(n / greatest(total_orders, 1)::DOUBLE * 100, 1)) || '%</td>'
-                || '<td><span class="bar" style="width: '
+                || '<td><hr align="left" style="width: '
                 || CAST(round_even(n / greatest(total_orders, 1)::DOUBLE * 100, 0) AS INTEGER)
-                || '%"></span></td></tr>', '' ORDER BY ordinal) AS body
+                || '%"></td></tr>', '' ORDER BY ordinal) AS body
             FROM r GROUP BY period_start)
         SELECT CAST(period_start AS DATE) AS period_start_date, CAST(period_end AS DATE) AS period_end_date,
                '<!DOCTYPE html><html><head><title>Order Report ' || CAST(period_start AS DATE) || ' – '
@@ -362,7 +362,7 @@ _QUERIES = {
                || CAST(period_start AS DATE) || ' – ' || CAST(period_end AS DATE) || ' | Generated: '
                || strftime(period_end, '%Y-%m-%d %H:%M UTC') || '</p><table>'
                || '<tr><th>Status</th><th>Count</th><th>Share</th><th></th></tr>' || body
-               || '<tr class="total"><td>Total</td><td>' || total_orders
+               || '<tr><th scope="row">Total</th><td>' || total_orders
                || '</td><td>100%</td><td></td></tr></table></body></html>' AS html
         FROM s JOIN t USING (period_start)""",
     "orders_lookup": """
@@ -615,6 +615,10 @@ _QUERIES = {
         SELECT job, bucket, v, (upto - w)::BIGINT AS before, upto::BIGINT AS upto, total::BIGINT AS total
         FROM placed
         WHERE upto = w OR ((upto - w) * 16) // total < (upto * 16) // total""",
+    "text_escape": """
+        SELECT page_id, sha256(replace(replace(replace(replace(replace(coalesce(html, ''), '&', '&amp;'),
+            '<', '&lt;'), '>', '&gt;'), '"', '&#34;'), chr(39), '&#39;')) AS escaped_sha256
+        FROM pages""",
     "log_search": """
         SELECT 'text' AS search, line FROM fx_logs WHERE trace_id = '77'
         UNION ALL

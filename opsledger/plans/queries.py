@@ -174,6 +174,13 @@ def scalar_formats(spark, sf):
     )
 
 
+@_register
+def text_escape(spark, sf):
+    """Whole pages as text for a report; their escaped forms are compared by checksum."""
+    escaped = text.html_escape(F.coalesce("html", F.lit("")))
+    return v.table(spark, sf, "pages").select("page_id", F.sha2(escaped, 256).alias("escaped_sha256"))
+
+
 @_register
 def dq_not_null(spark, sf):
     return quality.null_counts(v.fx_orders(spark, sf))

@@ -37,6 +37,7 @@ NOTIFICATION_RULES = {
     "default": [{"type": "log", "level": "warning"}],
 }
 
+# Fixed value: the channels of an event without a rule, where the rules name no default.
 _FALLBACK_DEFAULT = [{"type": "log", "level": "warning"}]
 
 

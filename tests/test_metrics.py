@@ -232,3 +232,13 @@ def test_text_form_of_a_histogram(spark):
     assert len(lines) == 14
     assert {'d_bucket{k="k",le="0.5"} 1', 'd_bucket{k="k",le="+Inf"} 2', 'd_bucket{k="k",le="10"} 1',
             'd_sum{k="k"} 11.3', 'd_count{k="k"} 2'} <= lines
+
+
+def test_sample_lines_that_hold_the_mark(spark):
+    from opsledger.sources.samples import malformed_samples, parse_samples
+
+    lines = ['m{a="x\x01y",b="\x01"} 4', "m 5 7\x018", "m\x01 5", "a\x01b\x01c\x01d", "m{} 1", 'm{a="1"', None, "# x", ""]
+    frame = spark.createDataFrame([(x,) for x in lines], "line string")
+    found = sorted((r.metric, sorted(r.labels.items()), r.value) for r in parse_samples(frame).collect())
+    assert found == [("m", [], 1.0), ("m", [("a", "x\x01y"), ("b", "\x01")], 4.0)]
+    assert sorted(r.line for r in malformed_samples(frame).collect()) == sorted(lines[1:4] + [lines[5]])
