@@ -24,6 +24,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -374,19 +375,40 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
     def run(batches):
         _, decoder = _worker(path)
         for batch in batches:
-            column = batch.column(ids)
-            flat = column.values.to_numpy(zero_copy_only=False)
-            ends = column.offsets.to_numpy()
-            texts = [decoder.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
-            yield _appended(batch, into, pa.array(texts, pa.string()))
+            yield _appended(batch, into, _decoded(decoder, batch.column(ids)))
 
     kept = [f for f in df.schema if f.name != into]
     return df.mapInArrow(run, T.StructType([*kept, T.StructField(into, T.StringType())]))
 
 
+def _decoded(decoder: Decoder, column: pa.Array) -> pa.Array:
+    flat = column.values.to_numpy(zero_copy_only=False)
+    ends = column.offsets.to_numpy()
+    return pa.array([decoder.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.string())
+
+
+def encode_and_decode(
+    df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``decode`` of ``encode`` in one pass: one Python worker and one vocabulary per task."""
+
+    def run(batches):
+        encoder, decoder = _worker(path)
+        for batch in batches:
+            for part in _parts(batch, text):
+                flat, lengths = encoder.encode(part.column(text).to_pylist())
+                ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                column = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                yield _appended(_appended(part, ids, column), decoded, _decoded(decoder, column))
+
+    kept = [f for f in df.schema if f.name not in (ids, decoded)]
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())]
+    return df.mapInArrow(run, T.StructType([*kept, *added]))
+
+
 def _parts(batch: pa.RecordBatch, text: str):
     """Slices of a batch with few characters, so that memory does not follow the batch."""
-    sizes = np.cumsum([len(t) if t else 0 for t in batch.column(text).to_pylist()])
+    sizes = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False))
     start = 0
     while start < batch.num_rows:
         before = sizes[start - 1] if start else 0
@@ -403,9 +425,8 @@ def _appended(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBa
 def digests(documents: DataFrame, path: str | None = None) -> DataFrame:
     """Per document: number of ids, and digests of the ids and of the decoded text."""
     path = path or default_model()
-    coded = encode(documents.select("doc_id", "text"), path).drop("text")
-    decoded = decode(coded, path)
-    return decoded.select(
+    coded = encode_and_decode(documents.select("doc_id", "text"), path).drop("text")
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),

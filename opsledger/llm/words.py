@@ -12,7 +12,7 @@ _SHIFT = np.uint64(33)
 class WordHashes(dict):
     """Hash of each word seen; forgets all when it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 
