@@ -45,7 +45,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Ids of each text, and whether they decode to the text again."""
     ship(spark)
     path = pieces.default_model()
-    coded = pieces.decode(pieces.encode(docs.select("doc_id", "text"), path), path)
+    coded = pieces.encode_and_decode(docs.select("doc_id", "text"), path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
