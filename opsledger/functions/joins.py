@@ -75,6 +75,8 @@ def lookup_join(
         return join(big, F.broadcast(small), on, how)
     salted = big.withColumn(_SALT, row_salt(big, salts))
     copies = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Spark's estimate does not count the copies, and would broadcast all of them through the driver
+    copies = copies.hint("merge")
     return join(salted, copies, [*on, _SALT], how).drop(_SALT)
 
 

@@ -213,7 +213,9 @@ def lookup_orders(keys: DataFrame, orders: DataFrame) -> DataFrame:
     collapse before they are shuffled.
     """
     wanted = keys.select("id").distinct()
-    stored = lookup_join(orders, wanted, ["id"], "left_semi").groupBy("id").agg(
+    # the salt hashes all columns, so those not needed leave first
+    needed = orders.select("id", "status", "customer_id")
+    stored = lookup_join(needed, wanted, ["id"], "left_semi").groupBy("id").agg(
         F.count("*").alias("copies"),
         F.min("status").alias("status"),
         F.min("customer_id").alias("customer_id"),

@@ -72,6 +72,14 @@ def test_salted_join_spreads_one_hot_key(spark):
     assert big.select(row_salt(big, 16).alias("s")).distinct().count() == 4
 
 
+def test_salted_copies_are_not_broadcast(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "keys"))
+    small = spark.read.parquet(str(tmp_path / "keys")).distinct()
+    salted = lookup_join(spark.range(2000), small, ["id"], "left_semi", max_rows=10)
+    assert salted.count() == 1000
+    assert "Broadcast" not in salted._jdf.queryExecution().executedPlan().toString()
+
+
 def test_lookup_join_refuses_joins_it_cannot_salt(spark):
     with pytest.raises(ValueError):
         lookup_join(spark.range(1), spark.range(1), ["id"], "full")
