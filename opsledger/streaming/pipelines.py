@@ -108,8 +108,8 @@ def delivery_stream(
     """Send each delivery, again after a delay if it fails, until its attempts run out.
 
     ``deliveries`` has ``retry``, how many more attempts than one its channel allows (null: none).
-    ``send`` gets pandas frames with ``body``, the delivery as JSON, and ``attempt``; it returns
-    whether each got through. Waiting deliveries and their attempts are the stream's state, so
+    ``send`` gets pandas frames of some thousand rows with ``body``, the delivery as JSON, and
+    ``attempt``; it returns whether each got through. Waiting deliveries and their attempts are the stream's state, so
     they survive a restart; what was sent just before a failure may be sent again. Settled ones are
     stored with ``attempts_made``; those out of attempts in ``dead``.
 

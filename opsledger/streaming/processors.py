@@ -106,59 +106,78 @@ def alert_processor(series: list[str], step_s: int, hold_s: int, late_s: int) ->
     return AlertStates()
 
 
-def delivery_processor(send, backoff_ms: list[int]) -> StatefulProcessor:
+def delivery_processor(send, backoff_ms: list[int], chunk: int = 2000) -> StatefulProcessor:
     """Attempts and repeated attempts, for ``transformWithStateInPandas`` over a ``shard`` of deliveries.
 
     Rows are ``body`` (text) and ``allowed`` (attempts). ``send`` takes a frame with ``body`` and
-    ``attempt`` (from 1) and returns for each row whether it got through; an exception means that none
-    did. Failed deliveries wait in the shard's state until a processing-time timer finds them
-    due: after the k-th attempt the k-th of ``backoff_ms``, then the last. Settled deliveries
-    come out with ``attempts_made`` and ``delivered``.
+    ``attempt`` (from 1) of at most ``chunk`` rows and returns for each row whether it got through; an
+    exception means that none did. Failed deliveries wait in the shard's state, in chunks by the time
+    they are due, until a processing-time timer finds them: after the k-th attempt the k-th of
+    ``backoff_ms``, then the last. Settled deliveries come out with ``attempts_made`` and
+    ``delivered``. A task holds a few chunks at a time, however many deliveries a shard has.
     """
 
     class Deliveries(StatefulProcessor):
         def init(self, handle):
             self.handle = handle
-            self.waiting = handle.getListState("waiting", "body string, allowed int, attempts int, due long")
+            self.waiting = handle.getMapState(
+                "chunks", "due long, part int", "bodies array<string>, allowed array<int>, attempts array<int>"
+            )
 
         def handleInputRows(self, key, rows, timerValues):
-            new = [(b, int(a), 0, 0) for frame in rows for b, a in zip(frame["body"], frame["allowed"])]
-            yield self._try(key, new, [], timerValues.getCurrentProcessingTimeInMs())
+            now, failed, parts = timerValues.getCurrentProcessingTimeInMs(), {}, {}
+            for frame in rows:
+                for at in range(0, len(frame), chunk):
+                    part = frame.iloc[at : at + chunk]
+                    new = [(b, int(a), 0) for b, a in zip(part["body"], part["allowed"])]
+                    yield self._try(key, new, now, failed, parts)
+            self._hold(failed, parts, 1)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            now = timerValues.getCurrentProcessingTimeInMs()
-            held = [tuple(row) for row in self.waiting.get()] if self.waiting.exists() else []
-            due = [row for row in held if row[3] <= now]
-            self.waiting.clear()
-            yield self._try(key, due, [row for row in held if row[3] > now], now)
-
-        def _try(self, key, rows, others, now):
+            now, failed, parts = timerValues.getCurrentProcessingTimeInMs(), {}, {}
+            at = expiredTimerInfo.getExpiryTimeInMs(), 0
+            while self.waiting.containsKey(at):
+                held = list(zip(*self.waiting.getValue(at)))
+                self.waiting.removeKey(at)
+                yield self._try(key, held, now, failed, parts)
+                at = at[0], at[1] + 1
+            self._hold(failed, parts, 1)
+
+        def _try(self, key, rows, now, failed, parts):
             import pandas as pd
 
-            settled, failed = [], []
-            if rows:
-                frame = pd.DataFrame({"body": [r[0] for r in rows], "attempt": [r[2] + 1 for r in rows]})
-                try:
-                    through = [bool(x) for x in send(frame)]
-                except Exception:  # a sink that is down fails all
-                    through = [False] * len(rows)
-                if len(through) != len(rows):
-                    raise ValueError("send answers for each row")
-                for (body, allowed, attempts, _), ok in zip(rows, through):
-                    made = attempts + 1
-                    if ok or made >= allowed:
-                        settled.append((key[0], body, made, ok))
-                    else:
-                        wait = backoff_ms[min(made, len(backoff_ms)) - 1]
-                        failed.append((body, allowed, made, now + wait))
-            if others:
-                self.waiting.put(others + failed)
-            elif failed:
-                self.waiting.appendList(failed)
-            if failed:
-                self.handle.registerTimer(min(row[3] for row in failed))
+            settled = []
+            frame = pd.DataFrame({"body": [r[0] for r in rows], "attempt": [r[2] + 1 for r in rows]})
+            try:
+                through = [bool(x) for x in send(frame)]
+            except Exception:  # a sink that is down fails all
+                through = [False] * len(rows)
+            if len(through) != len(rows):
+                raise ValueError("send answers for each row")
+            for (body, allowed, attempts), ok in zip(rows, through):
+                made = attempts + 1
+                if ok or made >= allowed:
+                    settled.append((key[0], body, made, ok))
+                else:
+                    # later than the timer that is being served
+                    wait = max(1, backoff_ms[min(made, len(backoff_ms)) - 1])
+                    failed.setdefault(now + wait, []).append((body, allowed, made))
+            self._hold(failed, parts, chunk)
             return pd.DataFrame(settled, columns=["shard", "body", "attempts_made", "delivered"])
 
+        def _hold(self, failed, parts, least):
+            """Put what has failed into the state, where there are ``least`` rows for one time."""
+            for due, rows in failed.items():
+                while len(rows) >= least:
+                    if due not in parts:
+                        parts[due] = 0
+                        self.handle.registerTimer(due)
+                    # other micro-batches may have chunks due at the same time
+                    while self.waiting.containsKey((due, parts[due])):
+                        parts[due] += 1
+                    self.waiting.updateValue((due, parts[due]), tuple(list(c) for c in zip(*rows[:chunk])))
+                    del rows[:chunk]
+
         def close(self):
             pass
 

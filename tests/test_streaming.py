@@ -341,6 +341,32 @@ def test_waiting_deliveries_survive_a_restart(spark, tmp_path):
     assert event_id == 1 and attempts >= 2 and _delivered(spark, tmp_path, "dead") == []
 
 
+def test_a_large_shard_is_sent_and_kept_in_chunks(spark, tmp_path):
+    n, big = 7000, str(tmp_path / "largest")
+    needs = F.when(F.col("id") % 7 == 6, 9).otherwise(F.col("id") % 4 + 1)
+    rows = spark.range(n).select(
+        F.col("id").alias("event_id"), F.lit(T0).cast("timestamp_ntz").alias("ts"), F.lit(3).alias("retry"),
+        needs.cast("int").alias("needs"), F.lit(None).cast("map<string,string>").alias("labels"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+
+    def send(frame):
+        import json
+
+        with open(big, "a") as log:
+            log.write(f"{len(frame)}\n")
+        return [json.loads(b)["needs"] <= a for b, a in zip(frame["body"], frame["attempt"])]
+
+    deliveries = spark.readStream.schema(DELIVERIES).parquet(str(tmp_path / "in"))
+    pipelines.settle(pipelines.delivery_stream(
+        deliveries, send, *(str(tmp_path / x) for x in ("sent", "dead", "c")), backoff_s=(0.1,), shards=1,
+        trigger={"processingTime": "100 milliseconds"}), 120)
+    wanted = {i: 9 if i % 7 == 6 else i % 4 + 1 for i in range(n)}
+    assert _delivered(spark, tmp_path, "sent") == [(i, w) for i, w in wanted.items() if w < 9]
+    assert _delivered(spark, tmp_path, "dead") == [(i, 4) for i, w in wanted.items() if w == 9]
+    with open(big) as log:
+        assert max(map(int, log)) <= 2000
+
+
 def test_running_counts_end_at_the_totals(spark, sf, tmp_path):
     requests = v.fx_requests(v.stream_table(spark, sf, "events"))
     pipelines.running_counts(
