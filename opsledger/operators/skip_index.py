@@ -46,11 +46,16 @@ def build_index(spark: SparkSession, glob: str | list[str]) -> DataFrame:
     """Rows (path, length, modified, part, bits), and one with ``part`` -1 for each file."""
     lines = spark.read.text(glob).select(*_file(), F.translate("value", _UPPER, _LOWER).alias("line"))
     starts = F.sequence(F.lit(1), F.length("line") - 2)
-    grams = F.transform(starts, lambda i: F.substring(F.col("line"), i, F.lit(3)))
-    each = lines.where(F.length("line") >= 3).select(*_FILE, F.explode(F.array_distinct(grams)).alias("gram"))
-    bit = F.pmod(F.xxhash64("gram"), F.lit(BITS))
+    bits = F.transform(starts, lambda i: F.pmod(F.xxhash64(F.substring(F.col("line"), i, F.lit(3))), F.lit(BITS)))
+    each = lines.where(F.length("line") >= 3).select(*_FILE, F.explode(F.array_distinct(bits)).alias("place"))
+    # each bit of a file once, by hashing, before bitmaps are built, which sorts all rows that come in
+    each = each.distinct()
     filters = (
-        each.select(*_FILE, F.floor(bit / _PART_BITS).cast("int").alias("part"), (bit % _PART_BITS).alias("bit"))
+        each.select(
+            *_FILE,
+            F.floor(F.col("place") / _PART_BITS).cast("int").alias("part"),
+            (F.col("place") % _PART_BITS).alias("bit"),
+        )
         .groupBy(*_FILE, "part")
         .agg(F.bitmap_construct_agg("bit").alias("bits"))
     )

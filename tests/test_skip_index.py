@@ -55,6 +55,18 @@ def test_few_files_are_read(spark, logs):
     assert len(skip_index.search(spark, logs, index, text="only7").inputFiles()) == 1
 
 
+def test_bitmaps_are_built_from_each_bit_once(spark, tmp_path):
+    (tmp_path / "0.log").write_text("abcdef Abc\n" * 3000)
+    index = skip_index.build_index(spark, str(tmp_path / "*.log"))
+    index.collect()
+    plan = index._jdf.queryExecution().executedPlan()
+    aggregates = plan.toString().split("== Initial Plan ==")[0]
+    lower = aggregates[aggregates.index("partial_bitmap_construct_agg") :]
+    assert "HashAggregate(keys=[path" in lower.split("Generate explode")[0]
+    bits = index.where("part >= 0").select(F.sum(F.bitmap_count("bits"))).first()[0]
+    assert bits == len({"abcdef abc"[i : i + 3] for i in range(8)})
+
+
 def test_changed_and_new_files_are_read(spark, logs, tmp_path):
     path = str(tmp_path / "index")
     skip_index.build_index(spark, logs).write.parquet(path)
