@@ -18,7 +18,8 @@ Texts are lower-cased (A-Z) and cut into words; a set holds the distinct runs of
 5. Pairs of groups that still lie in different components and share a posting, expanded to
    members, are all the candidates that remain. Sizes, the places of the shared shingle and the
    triangle inequality of the Jaccard distance, through the verified pairs with the pivot, remove
-   what cannot link; the rest is verified. So every link between components is found.
+   what cannot link; so does, in ``ROUNDS``, how many shingles of a set any other set that is left
+   has too. The rest is verified. So every link between components is found.
 
 Null and empty texts and texts without words have no set and link with nothing; a text
 of fewer words is one shingle. Repeated rows and equal ids are rows of their own;
@@ -41,6 +42,7 @@ from opsledger.llm.words import WordHashes, shingle_set, split_words
 WIDTH = 5
 PERCENT = 75
 TURNS = 2
+ROUNDS = 2
 _PART, _PARTS = 8, 16  # the counted part of all shingles; must exceed 1 - PERCENT / 100
 
 
@@ -68,6 +70,11 @@ def _longs(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
+def _each(lists: pa.ListArray) -> list[np.ndarray]:
+    ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    return [flat[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def rows_with_keys(documents: DataFrame) -> DataFrame:
     """``doc_id``, ``text`` and ``row``, a hash of both that names a row."""
     return documents.select(
@@ -115,7 +122,7 @@ def _counts(rows: DataFrame, width: int) -> DataFrame:
 
 
 def _full_sets(rows: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """``key``, ``n`` and the whole set of each class, as bytes and as counted and other parts."""
+    """``key``, ``n`` and the whole set of each class, and of it the counted and other parts."""
 
     def run(batches):
         for part, sets in _sets(batches, width):
@@ -126,14 +133,13 @@ def _full_sets(rows: DataFrame, classes: DataFrame, width: int) -> DataFrame:
                 spill.append(other[:missing])
             yield pa.RecordBatch.from_arrays(
                 [part.column("key"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary()),
-                 _longs([_counted(s) for s in sets]), _longs(spill)],
+                 _longs(sets), _longs([_counted(s) for s in sets]), _longs(spill)],
                 ["key", "n", "tokens", "counted", "others"],
             )
 
     chosen = lookup_join(rows.select("row", "text"), classes.select("row", "key"), ["row"])
     sets = chosen.select("key", "text").mapInArrow(
-        run, "key long, n long, tokens binary, counted array<long>, others array<long>"
+        run, "key long, n long, tokens array<long>, counted array<long>, others array<long>"
     )
     return stored(sets, "shingle-sets")
 
@@ -183,8 +189,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             shared = [
-                len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist())
+                len(np.intersect1d(x, y, assume_unique=True))
+                for x, y in zip(_each(batch.column("ta")), _each(batch.column("tb")))
             ]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("a", "b", "na", "nb")), pa.array(shared, pa.int64())],
@@ -204,7 +210,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _pivots(postings: DataFrame, turn: int) -> DataFrame:
     """One group of each posting list that holds several classes, another one each turn."""
-    order = F.struct(F.xxhash64("first", F.lit(turn)).alias("h"), "first", "n", "at")
+    order = F.struct(F.xxhash64("first", "token", F.lit(turn)).alias("h"), "first", "n", "at")
     chosen = postings.groupBy("token").agg(F.sum("m").alias("c"), F.min(order).alias("p"))
     return stored(
         chosen.filter("c > 1").select(
@@ -243,7 +249,30 @@ def _roots(checked: DataFrame) -> DataFrame:
     return stored(found.select(F.col("node").alias("key"), "root"), "shingle-roots")
 
 
-def _other_pairs(groups, postings, pivots, checked, roots) -> DataFrame:
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows of the postings that hold several components."""
+    mixed = rows.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+    return rows.join(mixed.select("token"), "token")
+
+
+def _with_shared(rows: DataFrame, member: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rows`` with ``most``, how many shingles a set has that others of these rows have too.
+
+    Both sets of a pair that may link are here, so no intersection is larger; sets with less than
+    PERCENT shared leave.
+    """
+    here = member.join(rows.select("group", "root").distinct(), ["group", "root"])
+    here = here.select("key", "group", "root", "n")
+    each = lookup_join(sets.select("key", "tokens"), here.select("key"), ["key"], "left_semi")
+    each = each.select("key", F.explode("tokens").alias("token"))
+    several = each.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
+    shared = each.join(several, "token").groupBy("key").agg(F.count("*").alias("most"))
+    kept = here.join(shared, "key").filter(F.expr(f"100 * most >= {PERCENT} * n"))
+    units = kept.groupBy("group", "root").agg(F.max("most").alias("most"))
+    return rows.join(units, ["group", "root"])
+
+
+def _other_pairs(groups, postings, pivots, checked, roots, sets) -> DataFrame:
     """Pairs of members of groups that share a posting, in different components."""
     member = groups.select("group", "key", "n").join(roots, "key", "left")
     member = member.withColumn("root", F.coalesce("root", "key"))
@@ -261,11 +290,12 @@ def _other_pairs(groups, postings, pivots, checked, roots) -> DataFrame:
         F.coalesce(F.when(lone, F.col("d")), F.lit(0.0)).alias("lo"),
         F.coalesce(F.when(lone, F.col("d")), F.lit(1.0)).alias("hi"),
     )
-    mixed = rows.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-    rows = stored(rows.join(mixed.select("token"), "token"), "shingle-mixed")
+    rows = stored(_mixed(rows), "shingle-mixed")
+    for _ in range(ROUNDS):  # what leaves makes more shingles of the others unique
+        rows = stored(_mixed(_with_shared(rows.drop("most"), member, sets)), "shingle-mixed")
     parts = rows.groupBy("token", "root").agg(
         F.count("*").alias("size"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-        F.min("n").alias("least"), F.max(F.col("n") - F.col("at")).alias("rest"),
+        F.min("n").alias("least"), F.max(F.least(F.col("n") - F.col("at"), "most")).alias("rest"),
     )
     most = 1 - PERCENT / 100 + 1e-9
 
@@ -283,6 +313,7 @@ def _other_pairs(groups, postings, pivots, checked, roots) -> DataFrame:
         .join(side(rows, 2), ["token", "root2"])
         .filter(near)
         .filter(_can_link("n1", "at1", "n2", "at2"))
+        .filter(F.expr(f"{100 + PERCENT} * least(most1, most2) >= {PERCENT} * (n1 + n2)"))
         .select("group1", "root1", "group2", "root2")
         .distinct()
     )
@@ -323,7 +354,7 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     for turn in range(1, TURNS):
         pairs = _without(_star_pairs(postings, _pivots(postings, turn), _roots(checked)), checked)
         checked = checked.unionByName(_verified(stored(pairs, "shingle-candidates"), sets))
-    others = _other_pairs(groups, postings, first_pivots, checked, _roots(checked))
+    others = _other_pairs(groups, postings, first_pivots, checked, _roots(checked), sets)
     late = _verified(stored(others, "shingle-candidates"), sets)
     links = checked.unionByName(late).filter("linked").select("a", "b")
     final = components(links).select(F.col("node").alias("key"), "root")

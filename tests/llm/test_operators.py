@@ -678,3 +678,26 @@ def test_pieces_on_odd_rows(spark, library):
 def test_batches_are_cut_by_characters():
     batch = pa.RecordBatch.from_pydict({"text": ["a" * 900_000, None, "b" * 900_000, "c" * 3_000_000, ""]})
     assert [p.num_rows for p in pieces._parts(batch, "text")] == [2, 1, 1, 1]
+
+
+def test_near_misses_of_one_text_are_not_all_compared(spark, monkeypatch):
+    rng, rows = random.Random(8), []
+    for i in range(150):
+        words = [f"base{k}" for k in range(44)]
+        for k in rng.sample(range(5, 39), 2):
+            words[k] = f"own{i}at{k}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, rows[i][1] + f" tail{i}") for i in range(20)]
+    compared, real = [], jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, sets: (compared.append(pairs.count()), real(pairs, sets))[1])
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r.component_id for r in found.collect()}
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    roots = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                low, high = sorted((roots[a], roots[b]))
+                roots = {i: low if r == high else r for i, r in roots.items()}
+    assert got == roots
+    assert compared[-1] < 1000
