@@ -1,25 +1,25 @@
-"""Near-duplicate texts by Jaccard similarity of word shingles: a grouped prefix join.
+"""Near-duplicate texts by Jaccard similarity of word shingles: a prefix join with exact counts.
 
 Texts are lower-cased (A-Z) and cut into words; a set holds the distinct runs of
 ``WIDTH`` words. Two sets link when 100 * intersection >= ``PERCENT`` * union.
 
 1. Equal sets are one class. Classes, not copies, are joined.
-2. A fixed part of all shingles (by hash) is counted over all texts. A text whose
+2. A fixed part of all shingles (by hash) is looked up in all texts. A text whose
    shingles of that part are unique more often than a link allows can have no
    partner and leaves.
-3. For the others, shingles are ordered: counted ones first, by rising count, then the
-   rest by hash. Any two that link share a shingle in their prefixes, which hold
-   one more than the shingles that a partner may lack. Unique shingles take room in a prefix but
-   need no posting.
-4. Classes with the same prefix and size are one group. In each posting list the groups
-   are compared to one pivot, then those still apart to ``TURNS`` - 1 others, and in each group the
-   members to one member; candidates are verified on whole sets. This joins large groups of
-   near copies in a number of pairs linear in their size.
-5. Pairs of groups that still lie in different components and share a posting, expanded to
-   members, are all the candidates that remain. Sizes, the places of the shared shingle and the
-   triangle inequality of the Jaccard distance, through the verified pairs with the pivot, remove
-   what cannot link; so does, in ``ROUNDS``, how many shingles of a set any other set that is left
-   has too. The rest is verified. So every link between components is found.
+3. The shingles of the others are counted, all of them. No intersection is larger than the number
+   of shingles that a set shares with any other; sets with too few leave. Shingles are ordered by
+   rising count, unique ones first. Any two that link share a shingle in their prefixes, which hold
+   one more than the shingles that a partner may lack; unique ones take room there but need no
+   posting. Place and number shared tell each posting's reach: how large a set may be to link with it.
+4. In each posting list the sets are compared to one pivot, the one with the largest shared part
+   (of a group of near copies, the text that they are copies of), then those still apart to another
+   one in each of ``TURNS`` - 1 turns; candidates are verified on whole sets. This joins large groups
+   of near copies in a number of pairs linear in their size.
+5. Between turns, and ``ROUNDS`` times each, postings leave whose list has one component only, or
+   none of another component that is in reach. Pairs that are left in the end, in a list, in different
+   components and in each other's reach, are all the candidates that remain and are verified.
+   So every link between components is found.
 
 Null and empty texts and texts without words have no set and link with nothing; a text
 of fewer words is one shingle. Repeated rows and equal ids are rows of their own;
@@ -31,7 +31,7 @@ by 64-bit hashes.
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsledger.functions.joins import lookup_join
@@ -43,7 +43,7 @@ WIDTH = 5
 PERCENT = 75
 TURNS = 2
 ROUNDS = 2
-_PART, _PARTS = 8, 16  # the counted part of all shingles; must exceed 1 - PERCENT / 100
+_PART, _PARTS = 8, 16  # the part of all shingles that is looked up; must exceed 1 - PERCENT / 100
 
 
 def _counted(tokens: np.ndarray) -> np.ndarray:
@@ -97,9 +97,8 @@ def _signatures(rows: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, row long, n long, key long")
 
 
-def _counts(rows: DataFrame, width: int) -> DataFrame:
-    """Counted shingles: (``unique``, ``id``, ``n``): how many the set ``id`` has that no other
-    set has, or in how many texts the shingle ``id`` occurs, if in several sets."""
+def _unshared(rows: DataFrame, width: int) -> DataFrame:
+    """``key`` of sets with counted shingles that no other set has, and how many, ``unshared``."""
 
     def run(batches):
         for _, sets in _sets(batches, width):
@@ -109,80 +108,56 @@ def _counts(rows: DataFrame, width: int) -> DataFrame:
 
     tokens = rows.select("text").mapInArrow(run, "key long, tokens array<long>")
     each = tokens.select("key", F.explode("tokens").alias("token"))
-    counts = each.groupBy("token").agg(
-        F.count("*").alias("c"), F.min("key").alias("key"), F.max("key").alias("last")
-    )
-    unique = F.col("key") == F.col("last")
-    marked = counts.select(
-        unique.alias("unique"),
-        F.when(unique, F.col("key")).otherwise(F.col("token")).alias("id"),
-        F.when(unique, F.lit(1)).otherwise(F.col("c")).alias("c"),
-    )
-    return stored(marked.groupBy("unique", "id").agg(F.sum("c").alias("n")), "shingle-counts")
+    owners = each.groupBy("token").agg(F.min("key").alias("key"), F.max("key").alias("last"))
+    return owners.filter("key = last").groupBy("key").agg(F.count("*").alias("unshared"))
 
 
 def _full_sets(rows: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """``key``, ``n`` and the whole set of each class, and of it the counted and other parts."""
+    """``key``, ``n`` and the whole set ``tokens`` of each class."""
 
     def run(batches):
         for part, sets in _sets(batches, width):
-            spill = []
-            for s in sets:
-                other = s[(s & np.uint64(_PARTS - 1)) >= _PART]
-                missing = max(0, _prefix_length(len(s)) - (len(s) - len(other)))
-                spill.append(other[:missing])
             yield pa.RecordBatch.from_arrays(
-                [part.column("key"), pa.array([len(s) for s in sets], pa.int64()),
-                 _longs(sets), _longs([_counted(s) for s in sets]), _longs(spill)],
-                ["key", "n", "tokens", "counted", "others"],
-            )
+                [part.column("key"), pa.array([len(s) for s in sets], pa.int64()), _longs(sets)], ["key", "n", "tokens"]
+            )
 
     chosen = lookup_join(rows.select("row", "text"), classes.select("row", "key"), ["row"])
-    sets = chosen.select("key", "text").mapInArrow(
-        run, "key long, n long, tokens array<long>, counted array<long>, others array<long>"
-    )
-    return stored(sets, "shingle-sets")
+    sets = stored(chosen.select("key", "text").mapInArrow(run, "key long, n long, tokens array<long>"), "shingle-sets")
+    # rows equal in id and text gave their set several times
+    if not sets.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").isEmpty():
+        sets = stored(sets.dropDuplicates(["key"]), "shingle-sets")
+    return sets
 
 
-def _prefix_length(n: int, percent: int = PERCENT) -> int:
-    return n - -(-percent * n // 100) + 1
-
-
-def _groups(sets: DataFrame, counts: DataFrame) -> DataFrame:
-    """``key``, ``n``, ``prefix`` (postings: token, place) and ``group`` of classes with postings."""
-    shared = counts.filter("NOT unique").select(F.col("id").alias("token"), F.col("n").alias("c"))
-    counted = sets.select("key", F.explode("counted").alias("token")).join(shared, "token")
-    lists = counted.groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("c", "token"))).alias("common"), F.count("*").alias("k")
-    )
-    room = F.expr(f"n - ((n * {PERCENT} + 99) div 100) + 1")
-    joined = sets.select("key", "n", F.size("counted").alias("s"), "others").join(lists, "key", "left")
-    # unique shingles come first; places count them
-    lone = F.col("s") - F.coalesce("k", F.lit(0))
-    left = F.greatest(room - lone, F.lit(0)).cast("int")
-    nearest = F.slice(F.coalesce("common", F.array().cast("array<struct<c:bigint,token:bigint>>")), F.lit(1), left)
-    ahead = F.transform(nearest, lambda t, i: F.struct(t["token"].alias("token"), (lone + i).alias("at")))
-    rest = F.transform("others", lambda t, i: F.struct(t.alias("token"), (F.col("s") + i).cast("long").alias("at")))
-    prefix = F.concat(ahead, rest)
-    out = joined.select("key", "n", prefix.alias("prefix")).filter(F.size("prefix") > 0).distinct()
-    return stored(out.withColumn("group", F.xxhash64("prefix", "n")), "shingle-groups")
-
+def _postings(sets: DataFrame) -> DataFrame:
+    """``token``, ``key``, ``root``, ``n``, ``most`` and ``reach`` of the shared shingles in each prefix.
 
-def _can_link(n1: str, at1: str, n2: str, at2: str):
-    """Could sets of these sizes link if their first common shingle has these places?
-
-    The intersection is then at most what lies behind, and must reach
-    PERCENT / (100 + PERCENT) of both sizes together.
+    ``most`` is how many shingles a set shares with any other, ``reach`` the largest set that it may
+    link with if this is their first common shingle: the intersection is then at most what lies behind
+    it, and must reach PERCENT / (100 + PERCENT) of both sizes together.
     """
-    return F.expr(
-        f"{100 + PERCENT} * least({n1} - {at1}, {n2} - {at2}) >= {PERCENT} * ({n1} + {n2})"
+    each = sets.select("key", "n", F.explode("tokens").alias("token"))
+    shared = each.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
+    own = Window.partitionBy("key")
+    placed = each.join(shared, "token").select(
+        "token", "key", "n",
+        F.count("*").over(own).alias("most"),
+        F.row_number().over(own.orderBy("c", "token")).alias("place"),
+    )
+    # unique shingles come first; places count them
+    at = F.col("n") - F.col("most") + F.col("place") - 1
+    kept = placed.filter(F.expr(f"100 * most >= {PERCENT} * n")).withColumn("at", at)
+    kept = kept.filter(F.expr(f"at < n - ((n * {PERCENT} + 99) div 100) + 1"))
+    reach = F.expr(f"({100 + PERCENT} * least(n - at, most)) div {PERCENT} - n")
+    return stored(
+        kept.select("token", "key", F.col("key").alias("root"), "n", "most", reach.alias("reach")), "shingle-postings"
     )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a``, ``b``, their distance ``d`` and whether they link."""
+    """``a``, ``b`` and whether they are ``linked``."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    narrow = lookup_join(sets.select("key", "n", "tokens"), wanted, ["key"], "left_semi")
+    narrow = lookup_join(sets, wanted, ["key"], "left_semi")
     one = narrow.toDF("a", "na", "ta")
     two = narrow.toDF("b", "nb", "tb")
 
@@ -200,127 +175,60 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "ta", "tb")
     checked = joined.mapInArrow(run, "a long, b long, na long, nb long, shared long")
     union = F.col("na") + F.col("nb") - F.col("shared")
-    return stored(
-        checked.select(
-            "a", "b", (1 - F.col("shared") / union).alias("d"), (100 * F.col("shared") >= PERCENT * union).alias("linked")
-        ).distinct(),
-        "shingle-pairs",
-    )
-
+    return checked.select("a", "b", (100 * F.col("shared") >= PERCENT * union).alias("linked"))
 
-def _pivots(postings: DataFrame, turn: int) -> DataFrame:
-    """One group of each posting list that holds several classes, another one each turn."""
-    order = F.struct(F.xxhash64("first", "token", F.lit(turn)).alias("h"), "first", "n", "at")
-    chosen = postings.groupBy("token").agg(F.sum("m").alias("c"), F.min(order).alias("p"))
-    return stored(
-        chosen.filter("c > 1").select(
-            "token", F.col("p.first").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.at").alias("pivot_at")
-        ),
-        "shingle-pivots",
-    )
 
-
-def _star_pairs(postings: DataFrame, pivots: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Each group with the pivot of its postings, unless they are in one component."""
-    across = postings.join(pivots, "token").filter("first <> pivot")
-    across = across.filter(_can_link("n", "at", "pivot_n", "pivot_at"))
-    pairs = across.select(F.col("first").alias("a"), F.col("pivot").alias("b")).distinct()
-    if roots is None:
-        return pairs
-    one, two = roots.toDF("a", "root_a"), roots.toDF("b", "root_b")
-    apart = pairs.join(one, "a", "left").join(two, "b", "left")
-    return apart.filter("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b")
-
-
-def _member_pairs(groups: DataFrame) -> DataFrame:
-    """Each member of a group with the first one."""
-    within = groups.join(groups.groupBy("group").agg(F.min("key").alias("b")), "group")
-    return within.filter("key <> b").select(F.col("key").alias("a"), "b")
-
-
-def _without(pairs: DataFrame, checked: DataFrame) -> DataFrame:
-    known = checked.select("a", "b")
-    known = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return pairs.join(known, ["a", "b"], "left_anti")
-
-
-def _roots(checked: DataFrame) -> DataFrame:
-    found = components(checked.filter("linked").select("a", "b"))
-    return stored(found.select(F.col("node").alias("key"), "root"), "shingle-roots")
-
-
-def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows of the postings that hold several components."""
-    mixed = rows.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-    return rows.join(mixed.select("token"), "token")
-
-
-def _with_shared(rows: DataFrame, member: DataFrame, sets: DataFrame) -> DataFrame:
-    """``rows`` with ``most``, how many shingles a set has that others of these rows have too.
-
-    Both sets of a pair that may link are here, so no intersection is larger; sets with less than
-    PERCENT shared leave.
-    """
-    here = member.join(rows.select("group", "root").distinct(), ["group", "root"])
-    here = here.select("key", "group", "root", "n")
-    each = lookup_join(sets.select("key", "tokens"), here.select("key"), ["key"], "left_semi")
-    each = each.select("key", F.explode("tokens").alias("token"))
-    several = each.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
-    shared = each.join(several, "token").groupBy("key").agg(F.count("*").alias("most"))
-    kept = here.join(shared, "key").filter(F.expr(f"100 * most >= {PERCENT} * n"))
-    units = kept.groupBy("group", "root").agg(F.max("most").alias("most"))
-    return rows.join(units, ["group", "root"])
-
-
-def _other_pairs(groups, postings, pivots, checked, roots, sets) -> DataFrame:
-    """Pairs of members of groups that share a posting, in different components."""
-    member = groups.select("group", "key", "n").join(roots, "key", "left")
-    member = member.withColumn("root", F.coalesce("root", "key"))
-    units = member.select("group", "root").distinct()
-    rows = postings.join(pivots, "token").join(units, "group")
-    both = checked.select("a", "b", "d")
-    both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
-    distances = both.select(F.col("a").alias("first"), F.col("b").alias("pivot"), "d")
-    rows = rows.join(distances, ["first", "pivot"], "left")
-    # a group of several members has no one distance
-    rows = rows.withColumn("d", F.when(F.col("first") == F.col("pivot"), 0.0).otherwise(F.col("d")))
-    lone = F.col("m") == 1
-    rows = rows.select(
-        "token", "group", "root", "n", "at",
-        F.coalesce(F.when(lone, F.col("d")), F.lit(0.0)).alias("lo"),
-        F.coalesce(F.when(lone, F.col("d")), F.lit(1.0)).alias("hi"),
+def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """Each set with the pivot of its lists, unless they are in one component or out of reach."""
+    first = F.xxhash64("key", "token", F.lit(turn)) if turn else F.col("most") / F.col("n")
+    order = F.struct(first.alias("first"), "key", "root", "n", "reach")
+    pivots = rows.groupBy("token").agg(F.max(order).alias("p"), F.min("root").alias("x"), F.max("root").alias("y"))
+    pivots = pivots.filter("x <> y").select(
+        "token", F.col("p.key").alias("b"), F.col("p.root").alias("root_b"),
+        F.col("p.n").alias("n_b"), F.col("p.reach").alias("reach_b"),
     )
-    rows = stored(_mixed(rows), "shingle-mixed")
-    for _ in range(ROUNDS):  # what leaves makes more shingles of the others unique
-        rows = stored(_mixed(_with_shared(rows.drop("most"), member, sets)), "shingle-mixed")
+    near = rows.join(pivots, "token").filter("root <> root_b AND n <= reach_b AND n_b <= reach")
+    return near.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct()
+
+
+def _apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Postings, with their components, that may meet one of another component in their list."""
+    rows = rows.drop("root").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    for _ in range(ROUNDS):
+        best = rows.groupBy("token").agg(
+            F.min(F.struct("n", "root")).alias("low"), F.max(F.struct("reach", "root")).alias("high"),
+            F.min("root").alias("x"), F.max("root").alias("y"),
+        )
+        met = rows.join(best.filter("x <> y"), "token").filter("root = low.root OR low.n <= reach")
+        rows = stored(
+            met.filter("root = high.root OR n <= high.reach").select("token", "key", "root", "n", "most", "reach"),
+            "shingle-apart",
+        )
+    return rows
+
+
+def _other_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of a list that lie in different components and in each other's reach."""
     parts = rows.groupBy("token", "root").agg(
-        F.count("*").alias("size"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-        F.min("n").alias("least"), F.max(F.least(F.col("n") - F.col("at"), "most")).alias("rest"),
-    )
-    most = 1 - PERCENT / 100 + 1e-9
+        F.count("*").alias("size"), F.min("n").alias("n"), F.max("reach").alias("reach")
+    )
+    rows = rows.select("token", "root", "key", "n", "reach")
 
     def side(df, k):
         return df.select("token", *(F.col(c).alias(f"{c}{k}") for c in df.columns if c != "token"))
 
-    near = (F.col("lo1") - F.col("hi2") <= most) & (F.col("lo2") - F.col("hi1") <= most)
-    sizes = F.expr(f"{100 + PERCENT} * least(rest1, rest2) >= {PERCENT} * (least1 + least2)")
     # the smaller part of a list is spelt out first
-    smaller = F.expr("root1 <> root2 AND (size1, root1) < (size2, root2)")
-    kept = side(parts, 1).join(side(parts, 2), "token").filter(smaller).filter(near).filter(sizes)
-    kept = kept.select("token", "root1", "root2")
-    pairs = (
-        kept.join(side(rows, 1), ["token", "root1"])
-        .join(side(rows, 2), ["token", "root2"])
-        .filter(near)
-        .filter(_can_link("n1", "at1", "n2", "at2"))
-        .filter(F.expr(f"{100 + PERCENT} * least(most1, most2) >= {PERCENT} * (n1 + n2)"))
-        .select("group1", "root1", "group2", "root2")
-        .distinct()
+    meet = side(parts, 1).join(side(parts, 2), "token").filter(
+        "root1 <> root2 AND (size1, root1) < (size2, root2) AND n1 <= reach2 AND n2 <= reach1"
     )
-    one = member.select(F.col("group").alias("group1"), F.col("root").alias("root1"), F.col("key").alias("a"))
-    two = member.select(F.col("group").alias("group2"), F.col("root").alias("root2"), F.col("key").alias("b"))
-    expanded = pairs.join(one, ["group1", "root1"]).join(two, ["group2", "root2"])
-    return _without(expanded.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), checked)
+    meet = meet.select("token", "root1", "root2", F.col("n2").alias("least"), F.col("reach2").alias("furthest"))
+    spelt = meet.join(side(rows, 1), ["token", "root1"]).filter("n1 <= furthest AND least <= reach1")
+    pairs = spelt.join(side(rows, 2), ["token", "root2"]).filter("n1 <= reach2 AND n2 <= reach1")
+    return pairs.select(F.least("key1", "key2").alias("a"), F.greatest("key1", "key2").alias("b")).distinct()
+
+
+def _roots(links: DataFrame) -> DataFrame:
+    return stored(components(links).select(F.col("node").alias("key"), "root"), "shingle-roots")
 
 
 def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -330,35 +238,28 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     rows = rows_with_keys(documents)
     signed = stored(_signatures(rows, width), "shingle-rows")
-    counts = _counts(rows, width)
     classes = (
         signed.filter("n > 0")
         .groupBy("key", "n")
         .agg(F.min("doc_id").alias("least"), F.min("row").alias("row"))
     )
-    unique = counts.filter("unique").select(F.col("id").alias("key"), F.col("n").alias("unshared"))
-    open_classes = classes.join(unique, "key", "left").filter(
+    open_classes = classes.join(_unshared(rows, width), "key", "left").filter(
         F.coalesce("unshared", F.lit(0)) < F.expr(f"n - ((n * {PERCENT} + 99) div 100) + 1")
     )
     sets = _full_sets(rows, stored(open_classes.select("row", "key"), "shingle-open"), width)
-    groups = _groups(sets, counts)
-    firsts = groups.groupBy("group").agg(
-        F.min("key").alias("first"), F.first("n").alias("n"),
-        F.first("prefix").alias("prefix"), F.count("*").alias("m"),
-    )
-    postings = firsts.select("group", "first", "n", "m", F.inline("prefix"))
-    postings = stored(postings, "shingle-postings")
-    first_pivots = _pivots(postings, 0)
-    pairs = _member_pairs(groups).unionByName(_star_pairs(postings, first_pivots, None)).distinct()
-    checked = _verified(stored(pairs, "shingle-candidates"), sets)
-    for turn in range(1, TURNS):
-        pairs = _without(_star_pairs(postings, _pivots(postings, turn), _roots(checked)), checked)
-        checked = checked.unionByName(_verified(stored(pairs, "shingle-candidates"), sets))
-    others = _other_pairs(groups, postings, first_pivots, checked, _roots(checked), sets)
-    late = _verified(stored(others, "shingle-candidates"), sets)
-    links = checked.unionByName(late).filter("linked").select("a", "b")
-    final = components(links).select(F.col("node").alias("key"), "root")
-    joined = classes.select("key", "least").join(final, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    postings = _postings(sets)
+    roots = None
+    for turn in range(TURNS + 1):
+        pairs = stored(_star_pairs(postings, turn) if turn < TURNS else _other_pairs(postings), "shingle-candidates")
+        links = _verified(pairs, sets).filter("linked").select("a", "b")
+        if roots is not None:
+            links = links.unionByName(roots.select(F.col("key").alias("a"), F.col("root").alias("b")))
+        roots = _roots(links)
+        if turn < TURNS:
+            postings = _apart(postings, roots)
+            if postings.isEmpty():
+                break
+    joined = classes.select("key", "least").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     named = joined.join(smallest, "root").select("key", "component_id", F.col("root").alias("group"))
     out = signed.withColumn("key", F.when(F.col("n") > 0, F.col("key"))).join(named, "key", "left")

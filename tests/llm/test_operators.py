@@ -701,3 +701,31 @@ def test_near_misses_of_one_text_are_not_all_compared(spark, monkeypatch):
                 roots = {i: low if r == high else r for i, r in roots.items()}
     assert got == roots
     assert compared[-1] < 1000
+
+
+def test_copies_of_one_text_are_compared_to_it(spark, monkeypatch):
+    rng, base = random.Random(5), [f"w{k}" for k in range(100)]
+    rows = [(500, " ".join(base))]
+    for i in range(120):  # each links with the text, hardly any with another copy
+        words = list(base)
+        for k in rng.sample(range(4, 96), 2):
+            words[k] = f"own{i}at{k}"
+        rows.append((i, " ".join(words)))
+    compared, real = [], jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, sets: (compared.append(pairs.count()), real(pairs, sets))[1])
+    stores, store = [], components.stored
+    counted = lambda df, name: (stores.append(name), store(df, name))[1]
+    monkeypatch.setattr(components, "stored", counted)
+    monkeypatch.setattr(jaccard, "stored", counted)
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in found} == {0}
+    assert sum(compared) < 3 * len(rows)
+    assert len(stores) <= 20  # each is a query of the driver's
+
+
+def test_rows_equal_in_id_and_text_share_their_shingles_with_others_only(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, text)] * 3 + [(2, text + " tail"), (3, text.upper()), (4, "a b c d e f g")] + [(None, text)] * 2
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in found) == [
+        (0, 36, 1), (0, 36, 1), (1, 36, 1), (1, 36, 1), (1, 36, 1), (2, 37, 1), (3, 36, 1), (4, 3, 4)]
