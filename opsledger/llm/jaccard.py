@@ -187,6 +187,7 @@ def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
         "token", F.col("p.key").alias("b"), F.col("p.root").alias("root_b"),
         F.col("p.n").alias("n_b"), F.col("p.reach").alias("reach_b"),
     )
+    pivots = stored(pivots, "shingle-pivots")  # so that a join can deal out a long list
     near = rows.join(pivots, "token").filter("root <> root_b AND n <= reach_b AND n_b <= reach")
     return near.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct()
 
@@ -199,7 +200,8 @@ def _apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
             F.min(F.struct("n", "root")).alias("low"), F.max(F.struct("reach", "root")).alias("high"),
             F.min("root").alias("x"), F.max("root").alias("y"),
         )
-        met = rows.join(best.filter("x <> y"), "token").filter("root = low.root OR low.n <= reach")
+        best = stored(best.filter("x <> y"), "shingle-best")
+        met = rows.join(best, "token").filter("root = low.root OR low.n <= reach")
         rows = stored(
             met.filter("root = high.root OR n <= high.reach").select("token", "key", "root", "n", "most", "reach"),
             "shingle-apart",
